@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, token_output, topk, url_filter
+from . import imatch, langid, mixing, pieces, token_output, topk, url_filter
 
 #: The url rules of the contract: verdict, host and path prefix.
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
@@ -21,10 +21,22 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
+def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprint_edits(_table(spark, sf_dir, "documents"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_pieces(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"), keep_ids=False)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(_table(spark, sf_dir, "documents"), weight=F.col("ord") % 3 + 1, max_epochs=3.0)
     return mixed.select(
@@ -42,5 +54,5 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_documents(shards, dictionary)
 
 
-QUERIES = {f.__name__: f for f in (op3_url_filter, op6_mixing, op8_exact_top_k, op9_token_output)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_imatch, op3_url_filter, op5_sentencepiece, op6_mixing, op8_exact_top_k, op9_token_output)}
 ORACLE_SQL: dict[str, str] = {}
