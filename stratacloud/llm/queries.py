@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import imatch, langid, mixing, pieces, token_output, topk, url_filter
+from . import imatch, langid, mixing, near_dedup, pieces, token_output, topk, url_filter
 
 #: The url rules of the contract: verdict, host and path prefix.
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
@@ -54,5 +54,9 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_documents(shards, dictionary)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_imatch, op3_url_filter, op5_sentencepiece, op6_mixing, op8_exact_top_k, op9_token_output)}
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_imatch, op3_url_filter, op5_sentencepiece, op6_mixing, op8_exact_top_k, op9_token_output, op10_minhash)}
 ORACLE_SQL: dict[str, str] = {}
