@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import imatch, langid, mixing, near_dedup, pieces, token_output, topk, url_filter
+from . import imatch, langid, mixing, near_dedup, pieces, suffix_dedup, token_output, topk, url_filter
 
 #: The url rules of the contract: verdict, host and path prefix.
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
@@ -33,6 +33,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), span=100).drop("kept_text")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_pieces(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"), keep_ids=False)
 
@@ -58,5 +62,5 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_imatch, op3_url_filter, op5_sentencepiece, op6_mixing, op8_exact_top_k, op9_token_output, op10_minhash)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_imatch, op3_url_filter, op4_suffix_dedup, op5_sentencepiece, op6_mixing, op8_exact_top_k, op9_token_output, op10_minhash)}
 ORACLE_SQL: dict[str, str] = {}
