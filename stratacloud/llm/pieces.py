@@ -32,6 +32,7 @@ SPACE = "▁"
 SPACE_BYTES = SPACE.encode()
 #: Cached cuts in one Python worker, and the longest cut that is kept.
 CACHE_CUTS, CACHE_LENGTH = 300_000, 48
+OUTPUTS = ("ids", "begins", "ends", "decoded")
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE = 1, 2, 3, 4, 6
 
 
@@ -134,13 +135,13 @@ class PieceCoder:
         # bytes of normalised text that a piece covers; 0 where the text must say
         self.width = [1 if p.type == BYTE else 0 if p.type in (UNKNOWN, CONTROL) else len(p.piece.encode()) for p in model.pieces]
         inner = re.compile(f"[^{SPACE}]{SPACE}")
-        self.cuts = self.normalise.plain and self.normalise.prefix and not any(p.type == USER_DEFINED or p.type == NORMAL and inner.search(p.piece) for p in model.pieces) and any(p.type == BYTE for p in model.pieces)
+        self.cuts = self.normalise.plain and self.normalise.prefix and not any(p.type == USER_DEFINED or p.type == NORMAL and inner.search(p.piece) for p in model.pieces) and any(p.type == BYTE for p in model.pieces) and max(self.width) < 256 and self.library.piece_to_id(SPACE) != self.library.unk_id()
         self.end_id = self.library.eos_id()
         self.cache: dict[str, tuple] = {}
         self.runs = re.compile(" *[^ ]+| +").findall
 
     def _known(self, cut: str) -> tuple[str, list[int], bytes]:
-        ids = self.library.encode(cut)
+        ids = self.library.encode(cut) or [self.library.piece_to_id(SPACE)]
         out = " ".join(map(str, ids)), ids, bytes([self.width[i] for i in ids])
         if len(cut) <= CACHE_LENGTH:
             if len(self.cache) >= CACHE_CUTS:
@@ -157,14 +158,14 @@ class PieceCoder:
             ids = [p.id for p in pieces]
             return " ".join(map(str, ids)), ids, np.array([self.width[p.id] or len(p.piece.encode()) for p in pieces], np.int64)
         # the model adds one space in front of what it is given, so each cut goes in without its first space
+        text = text.replace(SPACE, " ")  # the same once normalised
         single = "  " not in text and text[0] != " " and text[-1] != " "
         cuts = text.split(" ") if single else [c[1:] for c in self.runs(" " + text)]
         get, known = self.cache.get, self._known
         found = [get(c) or known(c) for c in cuts]
         decimal, ids, widths = zip(*found, strict=True)
         widths = b"".join(widths)
-        widths = np.frombuffer(widths, np.uint8).astype(np.int64) if len(max(cuts, key=len)) < 4096 or 0 not in widths else np.array([self.width[i] for i in chain.from_iterable(ids)])
-        return " ".join(decimal), list(chain.from_iterable(ids)), widths
+        return " ".join(decimal), list(chain.from_iterable(ids)), np.frombuffer(widths, np.uint8).astype(np.int64)
 
     def spans(self, text: bytes, widths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and last-plus-one original byte of each piece."""
@@ -184,9 +185,9 @@ def piece_coder(path: str) -> PieceCoder:
     return _coders[path]
 
 
-def encode_pieces(docs: DataFrame, path: str, keep_ids: bool = True) -> DataFrame:
+def encode_pieces(docs: DataFrame, path: str, keep: tuple[str, ...] = OUTPUTS) -> DataFrame:
     """docs(doc_id, text): doc_id, n_tokens, ids_sha256, decoded_sha256, spans_crc32 (over first and last bytes of the
-    pieces, as little-endian int32 pairs), and with keep_ids ids (end id last), begins, ends, decoded."""
+    pieces, as little-endian int32 pairs), and those of OUTPUTS to keep: ids (end id last), begins, ends, decoded."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = piece_coder(path)
@@ -201,14 +202,14 @@ def encode_pieces(docs: DataFrame, path: str, keep_ids: bool = True) -> DataFram
                     decoded = coder.library.decode(ids)
                     spans = np.stack([begins, ends], axis=1).astype("<i4")
                     row = [len(ids), hashlib.sha256(f"{decimal} {coder.end_id}".lstrip().encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), zlib.crc32(spans.tobytes())]
-                    rows.append(row + [np.array(ids, np.int32), begins.astype(np.int32), ends.astype(np.int32), decoded] if keep_ids else row)
+                    outputs = {"ids": ids, "begins": begins, "ends": ends, "decoded": decoded}
+                    rows.append([*row, *(outputs[c] if c == "decoded" else np.asarray(outputs[c], np.int32) for c in keep)])
                 columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), fields, strict=True)]
                 yield pa.record_batch([part.column(0), *columns], names=["doc_id", *(f.name for f in fields)])
 
     ints = pa.list_(pa.int32())
     fields = [pa.field("n_tokens", pa.int64()), pa.field("ids_sha256", pa.string()), pa.field("decoded_sha256", pa.string()), pa.field("spans_crc32", pa.int64())]
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, spans_crc32 bigint"
-    if keep_ids:
-        fields += [pa.field("ids", ints), pa.field("begins", ints), pa.field("ends", ints), pa.field("decoded", pa.string())]
-        schema += ", ids array<int>, begins array<int>, ends array<int>, decoded string"
+    fields += [pa.field(c, pa.string() if c == "decoded" else ints) for c in keep]
+    schema += "".join(f", {c} {'string' if c == 'decoded' else 'array<int>'}" for c in keep)
     return docs.select("doc_id", "text").mapInArrow(code, schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import imatch, langid, mixing, near_dedup, pieces, suffix_dedup, token_output, topk, url_filter
+from . import imatch, langid, license_scan, mixing, near_dedup, pieces, suffix_dedup, token_output, topk, url_filter
 
 #: The url rules of the contract: verdict, host and path prefix.
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
@@ -38,7 +38,7 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encode_pieces(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"), keep_ids=False)
+    return pieces.encode_pieces(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"), keep=())
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +49,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
 
@@ -62,5 +66,5 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_imatch, op3_url_filter, op4_suffix_dedup, op5_sentencepiece, op6_mixing, op8_exact_top_k, op9_token_output, op10_minhash)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_imatch, op3_url_filter, op4_suffix_dedup, op5_sentencepiece, op6_mixing, op7_license_scan, op8_exact_top_k, op9_token_output, op10_minhash)}
+ORACLE_SQL: dict[str, str] = {"op7_license_scan": license_scan.scan_sql()}

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import anchored_runs
@@ -42,10 +42,10 @@ _KEY = ["doc", "tie"]
 _RUN = np.dtype([("start", "<i4"), ("count", "<i2"), ("kind", "<i2"), ("gram", "<i8")])
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _keyed(docs: DataFrame, *extra: Column) -> DataFrame:
     """doc and tie identify a document and order documents; both are never null."""
     text = F.coalesce("text", F.lit(""))
-    return docs.select(F.coalesce("doc_id", F.lit(_NULL)).alias("doc"), F.xxhash64(text).alias("tie"), text.alias("text"))
+    return docs.select(F.coalesce("doc_id", F.lit(_NULL)).alias("doc"), F.xxhash64(text).alias("tie"), text.alias("text"), *extra)
 
 
 def candidate_runs(keyed: DataFrame, span: int) -> DataFrame:
@@ -177,7 +177,7 @@ def _repeats(strings: DataFrame, span: int) -> DataFrame:
 
 
 def _removed(docs: DataFrame, span: int) -> DataFrame:
-    """doc, tie, text, runs, more: the documents with their repeated runs cut out."""
+    """doc, extra, text, runs, more: the documents with their repeated runs cut out."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,14 +194,16 @@ def _removed(docs: DataFrame, span: int) -> DataFrame:
                 begin, end = start[first], reach[np.concatenate([first[1:], [True]])]
                 kept = b"".join(text[a:b] for a, b in zip([0, *end.tolist()], [*begin.tolist(), len(text)], strict=True))
                 out.append((len(text), int((end - begin).sum()), len(begin), hashlib.sha256(kept).hexdigest(), kept.decode(errors="replace")))
-            yield pa.record_batch([batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * 5, types, strict=True))], names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
+            yield pa.record_batch([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * 5, types, strict=True))], names=["doc", "extra", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
 
     types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-    return docs.select("doc", "tie", "text", "runs", "more").mapInArrow(cut, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string")
+    docs = docs.select("doc", "extra", "text", "runs", "more")
+    extra = docs.schema["extra"].dataType.simpleString()
+    return docs.mapInArrow(cut, f"doc bigint, extra {extra}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string")
 
 
-def remove_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
-    """docs(doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text."""
+def remove_repeats(docs: DataFrame, span: int = SPAN, keep: list[str] | None = None) -> DataFrame:
+    """docs(doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text, and the columns to keep as they are."""
     parts = task_count(docs.sparkSession)
     keyed = _keyed(docs)
     rows = candidate_runs(keyed, span)
@@ -212,5 +214,8 @@ def remove_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     strings = _strings(keyed.join(runs.filter(F.exists("runs", lambda r: r["kind"] == 2)), _KEY), span)
     strings = strings.repartition(parts, "gram").sortWithinPartitions("gram", *_KEY, "start")
     more = _packed(_repeats(strings, span)).withColumnRenamed("runs", "more")
-    out = _removed(keyed.join(runs, _KEY, "left").join(more, _KEY, "left"), span)
-    return out.select(F.when(F.col("doc") != _NULL, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")
+    keep = keep or []
+    extra = F.struct(*(F.col(c).alias(f"c{k}") for k, c in enumerate(keep)), F.lit(None).cast("int").alias("none"))
+    out = _removed(_keyed(docs, extra.alias("extra")).join(runs, _KEY, "left").join(more, _KEY, "left"), span)
+    out = out.select(F.when(F.col("doc") != _NULL, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "extra")
+    return out.select(*out.columns[:-1], *(F.col(f"extra.c{k}").alias(c) for k, c in enumerate(keep)))
