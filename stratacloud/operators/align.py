@@ -1,0 +1,64 @@
+"""Similarity transforms: sums over pairs are one aggregation; only a 3 x 3 problem is solved on the driver."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .spatial import nearest
+
+
+def pair_sums(pairs: DataFrame) -> DataFrame:
+    """pairs(sx, sy, sz, dx, dy, dz): n, means, variance of the source, cross-covariances (shifted by the means first)."""
+    means = pairs.agg(*(F.avg(f"{s}{a}").alias(f"m{s}{a}") for s in "sd" for a in "xyz"))
+    j = pairs.join(F.broadcast(means))
+    centred = lambda s, a: F.col(f"{s}{a}") - F.col(f"m{s}{a}")
+    sums = [F.avg(centred("d", a) * centred("s", b)).alias(f"c{a}{b}") for a in "xyz" for b in "xyz"]
+    return j.agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in means.columns), F.avg(sum(centred("s", a) ** 2 for a in "xyz")).alias("var"), *sums)
+
+
+def fit_similarity(pairs: DataFrame, with_scale: bool = True) -> tuple[float, np.ndarray, np.ndarray]:
+    """Least-squares scale, rotation and translation (source to destination), reflections excluded; three pairs at least."""
+    r = pair_sums(pairs).first()
+    if r is None or r["n"] < 3:
+        raise ValueError("a similarity needs three pairs")
+    u, d, vt = np.linalg.svd(np.array([[r[f"c{a}{b}"] for b in "xyz"] for a in "xyz"]))
+    sign = np.diag([1, 1, np.sign(np.linalg.det(u @ vt)) or 1])
+    rotation = u @ sign @ vt
+    scale = float((d * np.diag(sign)).sum() / r["var"]) if with_scale else 1.0
+    source, target = (np.array([r[f"m{s}{a}"] for a in "xyz"]) for s in "sd")
+    return scale, rotation, target - scale * rotation @ source
+
+
+def apply_similarity(points: DataFrame, scale: float, rotation: np.ndarray, translation: np.ndarray) -> DataFrame:
+    new = {a: scale * sum((F.col(b) * float(rotation[k][m]) for m, b in enumerate("xyz")), F.lit(0.0)) + float(translation[k]) for k, a in enumerate("xyz")}
+    return points.withColumns(new)
+
+
+def residuals(pairs: DataFrame) -> DataFrame:
+    d = F.sqrt(sum((F.col(f"s{a}") - F.col(f"d{a}")) ** 2 for a in "xyz"))
+    return pairs.agg(F.avg(d).alias("mean"), F.max(d).alias("max"))
+
+
+def icp(source: DataFrame, target: DataFrame, threshold: float, rounds: int = 20, cell: float = 1.0, tolerance: float = 1e-6) -> tuple[np.ndarray, np.ndarray]:
+    """Rigid point-to-point registration: nearest neighbours within the threshold, then a fit, until it moves no more."""
+    rotation, translation = np.eye(3), np.zeros(3)
+    moved = source
+    for _ in range(rounds):
+        near = nearest(moved, target, 1, cell).filter(F.col("d2") <= threshold * threshold)
+        pairs = near.join(moved.select(F.col("pid").alias("qid"), *(F.col(a).alias(f"s{a}") for a in "xyz")), "qid").join(target.select("pid", *(F.col(a).alias(f"d{a}") for a in "xyz")), "pid")
+        _, r, t = fit_similarity(pairs, with_scale=False)
+        rotation, translation = r @ rotation, r @ translation + t
+        moved = apply_similarity(source, 1.0, rotation, translation)
+        if np.abs(r - np.eye(3)).max() < tolerance and np.abs(t).max() < tolerance:
+            break
+    return rotation, translation
+
+
+def axis_permutations() -> list[tuple[tuple[int, int, int], tuple[int, int, int]]]:
+    """The 24 proper axis mappings: order of axes and their signs."""
+    from itertools import permutations, product
+
+    even = {(0, 1, 2), (1, 2, 0), (2, 0, 1)}
+    return [(p, s) for p in permutations(range(3)) for s in product((1, -1), repeat=3) if (s[0] * s[1] * s[2] > 0) == (p in even)]

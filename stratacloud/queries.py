@@ -1,4 +1,492 @@
-"""Named queries of the engine and the SQL each agrees with."""
+"""Named queries of the engine over the driver's tables, and the SQL that each agrees with.
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+Clouds, colours and walls are views of the tables: `cloud` is embeddings (first three components), `big` is lineitem, `rgb` is
+part, `wall` gives every nation a box of four walls, `pts` is cloud in the walls' range.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from .functions import color as C
+from .functions import geometry as G
+from .functions import text as X
+from .operators import align, clouds, clustering, models, spatial, walls
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+VIEWS = {
+    "cloud": "SELECT vec_id AS pid, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y, CAST(embedding[3] AS DOUBLE) AS z, label AS classification FROM embeddings",
+    "pts": "SELECT pid, x * 100 AS x, y * 100 AS y, z * 10 AS z, classification FROM cloud",
+    "big": "SELECT l_quantity AS x, l_extendedprice / 1000 AS y, l_discount * 100 AS z, l_returnflag AS cls FROM lineitem",
+    "rgb": "SELECT p_partkey AS pid, CAST(p_partkey * 37 % 256 AS INT) AS red, CAST(p_partkey * 91 % 256 AS INT) AS green, CAST(p_partkey * 13 % 256 AS INT) AS blue, p_size FROM part",
+    "wall": """SELECT n_nationkey * 4 + side AS idx, nx, ny, 20.0 * (n_nationkey % 5) + 5.0 * nx AS ox, 20.0 * (n_nationkey // 5) + 5.0 * ny AS oy, 0.0 AS z_min, 3.0 + n_nationkey % 3 AS z_max
+      FROM nation, (VALUES (0, 1.0, 0.0), (1, 0.0, 1.0), (2, -1.0, 0.0), (3, 0.0, -1.0)) s(side, nx, ny)""",
+    "w": "SELECT *, ox * nx + oy * ny AS wall_d, ox - 5 * abs(ny) AS x_min, ox + 5 * abs(ny) AS x_max, oy - 5 * abs(nx) AS y_min, oy + 5 * abs(nx) AS y_max FROM wall",
+    "corner": """SELECT idx, k, ox - ny * t AS x, oy + nx * t AS y, CASE WHEN top THEN z_max ELSE z_min END AS z
+      FROM wall, (VALUES (0, -5.0, false), (1, 5.0, false), (2, 5.0, true), (3, -5.0, true)) c(k, t, top)""",
+}
+_NEEDS = {"pts": ["cloud"], "w": ["wall"], "corner": ["wall"]}
+
+
+def _with(*views: str) -> str:
+    names = list(dict.fromkeys(x for v in views for x in (*_NEEDS.get(v, []), v)))
+    return "WITH " + ", ".join(f"{n} AS MATERIALIZED ({VIEWS[n]})" for n in names)
+
+
+def query(*views: str, sql: str | None = None):
+    """Register a query; its SQL may use the named views."""
+
+    def put(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = f"{_with(*views)} {sql}" if views else sql
+        return f
+
+    return put
+
+
+def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def cloud(spark: SparkSession, sf: str) -> DataFrame:
+    e = lambda k: F.element_at("embedding", k).cast("double")
+    return _table(spark, sf, "embeddings").select(F.col("vec_id").alias("pid"), e(1).alias("x"), e(2).alias("y"), e(3).alias("z"), F.col("label").alias("classification"))
+
+
+def pts(spark: SparkSession, sf: str) -> DataFrame:
+    return cloud(spark, sf).withColumns({"x": F.col("x") * 100, "y": F.col("y") * 100, "z": F.col("z") * 10})
+
+
+def big(spark: SparkSession, sf: str) -> DataFrame:
+    return _table(spark, sf, "lineitem").select(F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000).alias("y"), (F.col("l_discount") * 100).alias("z"), F.col("l_returnflag").alias("cls"))
+
+
+def rgb(spark: SparkSession, sf: str) -> DataFrame:
+    c = lambda k: (F.col("p_partkey") * k % 256).cast("int")
+    return _table(spark, sf, "part").select(F.col("p_partkey").alias("pid"), c(37).alias("red"), c(91).alias("green"), c(13).alias("blue"), "p_size")
+
+
+def wall(spark: SparkSession, sf: str) -> DataFrame:
+    sides = F.explode(F.array(*(F.struct(F.lit(s).alias("side"), F.lit(nx).alias("nx"), F.lit(ny).alias("ny")) for s, nx, ny in ((0, 1.0, 0.0), (1, 0.0, 1.0), (2, -1.0, 0.0), (3, 0.0, -1.0)))))
+    n = _table(spark, sf, "nation").select("n_nationkey", sides.alias("s")).select("n_nationkey", "s.*")
+    k = F.col("n_nationkey")
+    w = n.select((k * 4 + F.col("side")).alias("idx"), "nx", "ny", (k % 5 * 20.0 + F.col("nx") * 5).alias("ox"), (F.floor(k / 5) * 20.0 + F.col("ny") * 5).alias("oy"), F.lit(0.0).alias("z_min"), (k % 3 + 3.0).alias("z_max"), k.alias("n_nationkey"))
+    w = w.withColumns({"wall_d": F.col("ox") * F.col("nx") + F.col("oy") * F.col("ny"), **{f"{a}_{n}": F.col(f"o{a}") + s * 5 * F.abs(f"n{b}") for a, b in ("xy", "yx") for n, s in (("min", -1), ("max", 1))}})
+    at = lambda t, z: F.struct((F.col("ox") - F.col("ny") * t).alias("x"), (F.col("oy") + F.col("nx") * t).alias("y"), F.col(z).alias("z"))
+    return w.withColumn("ring", F.array(at(-5.0, "z_min"), at(5.0, "z_min"), at(5.0, "z_max"), at(-5.0, "z_max")))
+
+
+def r6(c, name: str) -> Column:
+    return (F.round(F.col(c) if isinstance(c, str) else c, 6) + 0.0).alias(name)
+
+
+# --- clouds
+
+
+@query("cloud", sql="SELECT CAST(floor(x / 0.2) AS BIGINT) AS i, CAST(floor(y / 0.2) AS BIGINT) AS j, CAST(floor(z / 0.2) AS BIGINT) AS k, count(*) AS n, round(avg(x), 6) + 0.0 AS cx, round(avg(y), 6) + 0.0 AS cy, round(avg(z), 6) + 0.0 AS cz FROM cloud GROUP BY 1, 2, 3")
+def voxel_centroid(spark, sf):
+    return clouds.voxel_downsample(cloud(spark, sf), 0.2).select("i", "j", "k", "n", r6("x", "cx"), r6("y", "cy"), r6("z", "cz"))
+
+
+@query("cloud", sql="SELECT CAST(floor(x / 0.1) AS BIGINT) AS i, CAST(floor(y / 0.1) AS BIGINT) AS j, CAST(floor(z / 0.1) AS BIGINT) AS k, round(avg(x), 6) + 0.0 AS cx, round(avg(y), 6) + 0.0 AS cy, round(avg(z), 6) + 0.0 AS cz, arg_max(classification, pid) AS classification FROM cloud GROUP BY 1, 2, 3")
+def grid_subsample(spark, sf):
+    return clouds.grid_subsample(cloud(spark, sf), 0.1).select("i", "j", "k", r6("x", "cx"), r6("y", "cy"), r6("z", "cz"), "classification")
+
+
+@query("cloud", sql=", c AS (SELECT CAST(floor(x / 0.2) AS BIGINT) AS i, CAST(floor(y / 0.2) AS BIGINT) AS j, CAST(floor(z / 0.2) AS BIGINT) AS k, classification, count(*) AS m FROM cloud GROUP BY ALL) SELECT i, j, k, CAST(sum(m) OVER (PARTITION BY i, j, k) AS BIGINT) AS n, classification FROM c QUALIFY row_number() OVER (PARTITION BY i, j, k ORDER BY m DESC, classification) = 1")
+def voxel_majority_class(spark, sf):
+    return clouds.majority_class(cloud(spark, sf), 0.2).select("i", "j", "k", "n", "classification")
+
+
+@query("big", sql="SELECT CAST(floor(x / 2) AS BIGINT) AS i, CAST(floor(y / 2) AS BIGINT) AS j, min(z) AS ground FROM big GROUP BY 1, 2")
+def grid_min_z(spark, sf):
+    return clouds.grid_min_z(big(spark, sf), 2.0)
+
+
+@query("big", sql=", g AS (SELECT *, z - min(z) OVER (PARTITION BY floor(x / 2), floor(y / 2)) AS h FROM big) SELECT CASE WHEN h < 0.3 THEN 2 WHEN h < 2 THEN 3 ELSE 5 END AS band, count(*) AS n, round(avg(h), 6) AS mean_height FROM g GROUP BY 1")
+def height_above_ground_bands(spark, sf):
+    return clouds.above_ground(big(spark, sf), 2.0).groupBy("band").agg(F.count("*").alias("n"), r6(F.avg("height"), "mean_height"))
+
+
+@query("big", sql="SELECT cls, count(*) AS n FROM big GROUP BY 1")
+def class_histogram(spark, sf):
+    return big(spark, sf).groupBy("cls").agg(F.count("*").alias("n"))
+
+
+@query("big", sql="SELECT count(*) AS n, min(x) AS x_min, max(x) AS x_max, min(y) AS y_min, max(y) AS y_max, min(z) AS z_min, max(z) AS z_max, round((max(x) - min(x)) * (max(y) - min(y)), 6) AS area, round(count(*) / ((max(x) - min(x)) * (max(y) - min(y))), 6) AS density FROM big")
+def cloud_extent_density(spark, sf):
+    return clouds.extent(big(spark, sf)).withColumns({"area": F.round("area", 6), "density": F.round("density", 6)})
+
+
+@query("big", sql="SELECT cls, count(*) AS n, round(avg(z), 6) AS mean_z FROM big WHERE z BETWEEN 2 AND 7 GROUP BY 1")
+def z_clip(spark, sf):
+    return big(spark, sf).filter(F.col("z").between(2, 7)).groupBy("cls").agg(F.count("*").alias("n"), r6(F.avg("z"), "mean_z"))
+
+
+@query("big", sql="SELECT median(x) AS mx, round(median(y), 6) AS my FROM big")
+def cloud_median(spark, sf):
+    return big(spark, sf).agg(F.median("x").alias("mx"), r6(F.median("y"), "my"))
+
+
+@query("big", sql="SELECT CAST(floor(x / 5) AS BIGINT) AS i, CAST(floor(y / 5) AS BIGINT) AS j, round(median(z), 6) AS depth, count(*) AS n FROM big GROUP BY 1, 2")
+def median_depth_grid(spark, sf):
+    return big(spark, sf).groupBy(F.floor(F.col("x") / 5).alias("i"), F.floor(F.col("y") / 5).alias("j")).agg(r6(F.median("z"), "depth"), F.count("*").alias("n"))
+
+
+@query("cloud", sql="SELECT CAST(floor(x / 0.05) AS BIGINT) AS u, CAST(floor(y / 0.05) AS BIGINT) AS v, arg_min(pid, {'a': z, 'b': pid}) AS pid, min(z) AS depth FROM cloud GROUP BY 1, 2")
+def depth_buffer_min(spark, sf):
+    return clouds.depth_buffer(cloud(spark, sf), F.floor(F.col("x") / 0.05), F.floor(F.col("y") / 0.05), F.col("z"), [])
+
+
+@query("cloud", sql="SELECT concat(CASE WHEN x - 0.02 >= 0 THEN '+' ELSE '-' END, CASE WHEN y + 0.01 >= 0 THEN '+' ELSE '-' END, CASE WHEN x * 0.6 + y * 0.8 - 0.0 >= 0 THEN '+' ELSE '-' END) AS segment, count(*) AS n, min(pid) AS first_pid FROM cloud GROUP BY 1")
+def halfspace_segments(spark, sf):
+    key = clouds.segment_key([(1.0, 0.0, 0.02), (0.0, 1.0, -0.01), (0.6, 0.8, 0.0)])
+    return cloud(spark, sf).groupBy(key.alias("segment")).agg(F.count("*").alias("n"), F.min("pid").alias("first_pid"))
+
+
+@query("cloud", sql=", t AS (SELECT *, min(x) OVER (PARTITION BY classification) AS lo, max(x) OVER (PARTITION BY classification) AS hi FROM cloud) SELECT classification, CAST(CASE WHEN hi > lo THEN least(floor((x - lo) / ((hi - lo) / 5)), 4) ELSE 0 END AS INT) AS slab, count(*) AS n, round(min(z), 6) + 0.0 AS z_min, round(max(z), 6) + 0.0 AS z_max FROM t GROUP BY 1, 2")
+def curve_slabs(spark, sf):
+    s = clouds.slabs(cloud(spark, sf), F.col("x"), 5, ["classification"])
+    return s.groupBy("classification", "slab").agg(F.count("*").alias("n"), r6(F.min("z"), "z_min"), r6(F.max("z"), "z_max"))
+
+
+@query("big", sql="SELECT CAST(floor(x) AS BIGINT) AS i, CAST(floor(y / 10) AS BIGINT) AS j, count(*) AS n FROM big GROUP BY 1, 2 ORDER BY n DESC, i, j LIMIT 20")
+def topk_clusters(spark, sf):
+    return big(spark, sf).groupBy(F.floor("x").alias("i"), F.floor(F.col("y") / 10).alias("j")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "i", "j").limit(20)
+
+
+@query(sql="SELECT CAST(floor(epoch(ts) / 3600) AS BIGINT) AS bin, round(avg(user_id), 6) AS ox, round(avg(event_id), 6) AS oy, round(min(value) - 1.5, 6) AS oz, count(*) AS n FROM events GROUP BY 1")
+def gps_bin_origins(spark, sf):
+    e = _table(spark, sf, "events").select(F.unix_micros(F.col("ts").cast("timestamp")).cast("double").alias("us"), F.col("user_id").alias("x"), F.col("event_id").alias("y"), F.col("value").alias("z"))
+    o = clouds.gps_origins(e.withColumn("gps_time", F.col("us") / 1e6), 3600.0)
+    return o.select("bin", r6("ox", "ox"), r6("oy", "oy"), r6("oz", "oz"), "n")
+
+
+@query(sql="""WITH a AS (SELECT 'customer' AS src, CAST(c_custkey AS DOUBLE) AS x, c_nationkey AS red FROM customer UNION ALL SELECT 'supplier', CAST(s_suppkey AS DOUBLE), NULL FROM supplier)
+  SELECT src, count(*) AS n, CAST(sum(x) AS BIGINT) AS sx, CAST(0 AS BIGINT) AS colored FROM a GROUP BY 1""")
+def merge_clouds_union(spark, sf):
+    a = _table(spark, sf, "customer").select(F.lit("customer").alias("src"), F.col("c_custkey").cast("double").alias("x"), F.col("c_nationkey").alias("red"))
+    b = _table(spark, sf, "supplier").select(F.lit("supplier").alias("src"), F.col("s_suppkey").cast("double").alias("x"))
+    both = a.unionByName(b, allowMissingColumns=True).withColumn("group_id", F.lit(0))
+    lacks = both.groupBy("group_id").agg(F.bool_and(F.col("red").isNotNull()).alias("has"))
+    both = both.join(F.broadcast(lacks), "group_id").withColumn("red", F.when(F.col("has"), F.col("red")))
+    return both.groupBy("src").agg(F.count("*").alias("n"), F.sum("x").cast("bigint").alias("sx"), F.count("red").alias("colored"))
+
+
+@query("cloud", sql="SELECT count(*) AS n, round(sum(x), 6) + 0.0 AS sx FROM cloud WHERE pid NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
+def anti_join_replaced(spark, sf):
+    gone = _table(spark, sf, "orders").filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("pid"))
+    return cloud(spark, sf).join(gone, "pid", "left_anti").agg(F.count("*").alias("n"), r6(F.sum("x"), "sx"))
+
+
+# --- colours
+
+
+@query("rgb", sql=""", t AS (SELECT pid, red / 255.0 AS r, green / 255.0 AS g, blue / 255.0 AS b FROM rgb), m AS (SELECT *, greatest(r, g, b) AS v, greatest(r, g, b) - least(r, g, b) AS d FROM t)
+  SELECT pid, round(60 * CASE WHEN d <= 1e-10 THEN 0 WHEN v = r THEN (g - b) / d - 6 * floor((g - b) / d / 6) WHEN v = g THEN (b - r) / d + 2 ELSE (r - g) / d + 4 END, 6) + 0.0 AS h, round(CASE WHEN v > 1e-10 THEN d / v ELSE 0 END, 6) AS s, round(v, 6) AS v FROM m""")
+def rgb_to_hsv(spark, sf):
+    return rgb(spark, sf).withColumn("c", C.hsv(F.col("red") / 255, F.col("green") / 255, F.col("blue") / 255)).select("pid", r6("c.h", "h"), r6("c.s", "s"), r6("c.v", "v"))
+
+
+@query("rgb", sql=""", t AS (SELECT p_size % 5 AS cluster, red / 255.0 AS r, green / 255.0 AS g, blue / 255.0 AS b FROM rgb), m AS (SELECT *, greatest(r, g, b) AS v, greatest(r, g, b) - least(r, g, b) AS d FROM t)
+  SELECT cluster, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 6) AS pct, round(avg(CASE WHEN v > 1e-10 THEN d / v ELSE 0 END), 6) AS s, round(avg(v), 6) AS v FROM m GROUP BY 1""")
+def hsv_cluster_stats(spark, sf):
+    c = rgb(spark, sf).withColumn("c", C.hsv(F.col("red") / 255, F.col("green") / 255, F.col("blue") / 255)).groupBy((F.col("p_size") % 5).alias("cluster"))
+    c = c.agg(F.count("*").alias("n"), r6(F.avg("c.s"), "s"), r6(F.avg("c.v"), "v"))
+    return c.withColumn("pct", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()), 6))
+
+
+@query("rgb", sql=", t AS (SELECT (red // 64) * 64 AS r, (green // 64) * 64 AS g, (blue // 64) * 64 AS b, count(*) AS n FROM rgb GROUP BY ALL) SELECT r AS red, g AS green, b AS blue, n, concat(CASE WHEN r >= g AND r >= b THEN 'red' WHEN g >= b THEN 'green' ELSE 'blue' END, CASE WHEN count(*) OVER (PARTITION BY CASE WHEN r >= g AND r >= b THEN 'red' WHEN g >= b THEN 'green' ELSE 'blue' END) > 1 THEN ' #' || row_number() OVER (PARTITION BY CASE WHEN r >= g AND r >= b THEN 'red' WHEN g >= b THEN 'green' ELSE 'blue' END ORDER BY n DESC, r, g, b) ELSE '' END) AS name FROM t")
+def distinct_colors_named(spark, sf):
+    q = lambda c: (F.floor(F.col(c) / 64) * 64).cast("int").alias(c)
+    t = rgb(spark, sf).groupBy(q("red"), q("green"), q("blue")).agg(F.count("*").alias("n"))
+    r, g, b = F.col("red"), F.col("green"), F.col("blue")
+    t = t.withColumn("base", F.when((r >= g) & (r >= b), "red").when(g >= b, "green").otherwise("blue"))
+    same = Window.partitionBy("base")
+    suffix = F.when(F.count("*").over(same) > 1, F.concat(F.lit(" #"), F.row_number().over(same.orderBy(F.desc("n"), "red", "green", "blue")).cast("string"))).otherwise("")
+    return t.select("red", "green", "blue", "n", F.concat("base", suffix).alias("name"))
+
+
+@query(sql="SELECT * FROM (VALUES (0, 242, 36, 36), (1, 201, 242, 36), (2, 36, 242, 118), (3, 36, 118, 242), (4, 201, 36, 242)) t(k, red, green, blue)")
+def palette(spark, sf):
+    return spark.createDataFrame([(k, *c) for k, c in enumerate(C.palette(5))], "k int, red int, green int, blue int")
+
+
+# --- spatial joins
+
+_AREAS = [("a", [(5.0, 5.0), (20.0, 5.0), (20.0, 30.0), (5.0, 30.0)]), ("b", [(15.0, 20.0), (40.0, 20.0), (40.0, 60.0), (15.0, 60.0)])]
+
+
+def _areas(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(n, [(x, y, 0.0) for x, y in p]) for n, p in _AREAS], "polygon_id string, ring array<struct<x:double,y:double,z:double>>")
+
+
+@query("big", sql="SELECT polygon_id, count(*) AS n, round(avg(z), 6) AS mean_z FROM big JOIN (VALUES ('a', 5.0, 20.0, 5.0, 30.0), ('b', 15.0, 40.0, 20.0, 60.0)) p(polygon_id, x0, x1, y0, y1) ON x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1 GROUP BY 1")
+def pip_reclassify(spark, sf):
+    return spatial.points_in_polygons(big(spark, sf), _areas(spark), 10.0).groupBy("polygon_id").agg(F.count("*").alias("n"), r6(F.avg("z"), "mean_z"))
+
+
+@query("big", sql="SELECT cls, round(avg(CASE WHEN x > 5 AND x < 20 AND y > 5 AND y < 30 THEN 1.0 ELSE 0.0 END), 6) AS fraction FROM big GROUP BY 1")
+def footprint_interior_fraction(spark, sf):
+    ring = F.array(*(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.lit(0.0).alias("z")) for x, y in _AREAS[0][1]))
+    return big(spark, sf).groupBy("cls").agg(r6(F.avg(G.in_polygon(F.col("x"), F.col("y"), ring, False).cast("double")), "fraction"))
+
+
+_PAIRS = ", d AS (SELECT a.pid AS qid, b.pid AS pid, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z) AS d2, b.classification FROM cloud a, cloud b)"
+
+
+@query("cloud", sql=_PAIRS + " SELECT qid, pid, classification, round(sqrt(d2), 6) AS distance FROM d WHERE qid % 5 = 0 AND pid % 5 <> 0 QUALIFY row_number() OVER (PARTITION BY qid ORDER BY d2, pid) = 1")
+def knn1_label_transfer(spark, sf):
+    c = cloud(spark, sf)
+    near = spatial.nearest(c.filter("pid % 5 = 0"), c.filter("pid % 5 <> 0"), 1, 0.1)
+    return near.join(c.select("pid", "classification"), "pid").select("qid", "pid", "classification", r6(F.sqrt("d2"), "distance"))
+
+
+@query("cloud", sql=_PAIRS + ", k AS (SELECT * FROM d WHERE qid <> pid QUALIFY row_number() OVER (PARTITION BY qid ORDER BY d2, pid) <= 20) SELECT qid, count(*) AS n, round(avg(sqrt(d2)), 6) AS mean_distance, CAST(sum(pid) AS BIGINT) AS pids FROM k GROUP BY 1")
+def knn_k20_curvature_input(spark, sf):
+    c = cloud(spark, sf)
+    return spatial.nearest(c, c, 20, 0.15, same=True).groupBy("qid").agg(F.count("*").alias("n"), r6(F.avg(F.sqrt("d2")), "mean_distance"), F.sum("pid").alias("pids"))
+
+
+@query("cloud", sql=_PAIRS + " SELECT qid AS pid, count(*) AS n FROM d WHERE d2 <= 0.1 * 0.1 GROUP BY 1")
+def radius_count(spark, sf):
+    c = cloud(spark, sf)
+    return spatial.radius_pairs(c, c, 0.1).groupBy(F.col("qid").alias("pid")).agg(F.count("*").alias("n"))
+
+
+@query("cloud", sql=_PAIRS + ", k AS (SELECT * FROM d WHERE qid <> pid QUALIFY row_number() OVER (PARTITION BY qid ORDER BY d2, pid) <= 20), m AS (SELECT qid AS pid, avg(sqrt(d2)) AS mean_distance FROM k GROUP BY 1) SELECT pid, round(mean_distance, 6) AS mean_distance, mean_distance > (SELECT avg(mean_distance) + 2 * stddev_samp(mean_distance) FROM m) AS outlier FROM m")
+def sor_outliers(spark, sf):
+    c = cloud(spark, sf)
+    return clouds.outliers(spatial.nearest(c, c, 20, 0.15, same=True)).withColumn("mean_distance", F.round("mean_distance", 6))
+
+
+@query("cloud", sql=_PAIRS + " SELECT qid AS pid, count(*) AS n_neighbours, count(*) >= 5 AS core FROM d WHERE d2 <= 0.08 * 0.08 GROUP BY 1")
+def dbscan_core_points(spark, sf):
+    c = cloud(spark, sf)
+    return clustering.core_points(spatial.radius_pairs(c, c, 0.08), 5)
+
+
+@query("cloud", sql=_PAIRS.replace(", d AS", ", e AS").replace("b.classification FROM", "0 AS c FROM") + """, n AS MATERIALIZED (SELECT qid, pid FROM e WHERE d2 <= 0.08 * 0.08), core AS MATERIALIZED (SELECT qid AS pid FROM n GROUP BY 1 HAVING count(*) >= 5),
+  cc AS MATERIALIZED (SELECT n.qid, n.pid FROM n JOIN core a ON n.qid = a.pid JOIN core b ON n.pid = b.pid), reach AS (SELECT a, least FROM (WITH RECURSIVE r(a, b) AS (SELECT qid, pid FROM cc UNION SELECT r.a, cc.pid FROM r JOIN cc ON r.b = cc.qid) SELECT a, min(b) AS least FROM r GROUP BY 1)),
+  near AS (SELECT n.qid AS pid, min(reach.least) AS label FROM n JOIN reach ON n.pid = reach.a GROUP BY 1)
+  SELECT cloud.pid, coalesce(reach.least, near.label, -1) AS label FROM cloud LEFT JOIN reach ON cloud.pid = reach.a LEFT JOIN near ON cloud.pid = near.pid""")
+def dbscan_labels(spark, sf):
+    return clustering.dbscan(cloud(spark, sf), 0.08, 5)
+
+
+@query("cloud", sql=", m AS (SELECT classification, covar_pop(x, y) AS c, var_pop(x) AS vx, var_pop(y) AS vy FROM cloud GROUP BY 1) SELECT classification, round(0.5 * atan2(2 * c, vx - vy), 6) + 0.0 AS angle FROM m")
+def pca_angle_2d(spark, sf):
+    m = cloud(spark, sf).groupBy("classification").agg(F.covar_pop("x", "y").alias("c"), F.var_pop("x").alias("vx"), F.var_pop("y").alias("vy"))
+    return m.select("classification", r6(0.5 * F.atan2(2 * F.col("c"), F.col("vx") - F.col("vy")), "angle"))
+
+
+# --- walls
+
+_BOX = "x BETWEEN x_min - 2 AND x_max + 2 AND y BETWEEN y_min - 2 AND y_max + 2"
+
+
+@query("pts", "w", sql=f", j AS (SELECT pid, idx, (x - ox) * nx + (y - oy) * ny AS d FROM pts, w WHERE {_BOX} AND z BETWEEN z_min - 2 AND z_max + 2 AND abs((x - ox) * nx + (y - oy) * ny) <= 2), b AS (SELECT * FROM j QUALIFY row_number() OVER (PARTITION BY pid ORDER BY abs(d), idx) = 1) SELECT pid, idx, round(d, 6) + 0.0 AS d FROM b WHERE idx IN (SELECT idx FROM b GROUP BY 1 HAVING count(*) >= 2)")
+def nearest_wall_assign(spark, sf):
+    return walls.assign_nearest(pts(spark, sf), wall(spark, sf).drop("ring", "n_nationkey"), least_points=2).select("pid", "idx", r6("d", "d"))
+
+
+@query("pts", "w", sql=f""", c AS (SELECT pid AS cluster_id, x, y, z - 0.5 AS z_lo, z + 0.5 AS z_hi FROM pts), j AS (SELECT cluster_id, idx, (x - ox) * nx + (y - oy) * ny AS d, CASE WHEN abs((x - ox) * nx + (y - oy) * ny) < 2 AND {_BOX} THEN CASE WHEN z_hi >= z_min - 0.5 AND z_lo <= z_max + 0.5 THEN 1 ELSE 2 END ELSE 3 END AS stage FROM c, w)
+  SELECT cluster_id, idx, stage, round(d, 6) + 0.0 AS d FROM j QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY stage, abs(d), idx) = 1""")
+def wall_stage_match(spark, sf):
+    c = pts(spark, sf).select(F.col("pid").alias("cluster_id"), "x", "y", (F.col("z") - 0.5).alias("z_lo"), (F.col("z") + 0.5).alias("z_hi"))
+    return walls.match_clusters(c, wall(spark, sf).drop("ring", "n_nationkey")).select("cluster_id", "idx", "stage", r6("d", "d"))
+
+
+@query("w", sql=", m AS (SELECT 10.0 AS mx, 30.0 AS my), h AS (SELECT idx, round_even(degrees(atan2(ny, nx)) / 10, 0) * 10 + 0.0 AS heading, abs((mx - ox) * nx + (my - oy) * ny) AS distance FROM w, m) SELECT idx, heading, round(distance, 6) AS distance FROM h QUALIFY distance <= min(distance) OVER (PARTITION BY heading) + 2")
+def wall_heading_filter(spark, sf):
+    return walls.nearest_by_heading(wall(spark, sf), F.lit(10.0), F.lit(30.0)).select("idx", "heading", r6("distance", "distance"))
+
+
+@query("w", sql=", b AS (SELECT idx AS box_id, nx AS bnx, ny AS bny, wall_d AS bd, -ny AS tx, nx AS ty, z_min AS zl, 2.0 AS zh, -ny * ox + nx * oy - 2 AS t0, -ny * ox + nx * oy + 2 AS t1 FROM w WHERE idx % 7 = 0) SELECT box_id, idx FROM b, w WHERE nx * bnx + ny * bny >= 0.8 AND abs(wall_d - bd) <= 0.3 AND z_max >= zl - 0.05 AND z_min <= zh + 0.05 AND greatest(x_min * tx + y_min * ty, x_max * tx + y_max * ty) >= t0 - 0.05 AND least(x_min * tx + y_min * ty, x_max * tx + y_max * ty) <= t1 + 0.05")
+def wall_overlap(spark, sf):
+    w = wall(spark, sf).drop("ring", "n_nationkey")
+    t = -F.col("ny") * F.col("ox") + F.col("nx") * F.col("oy")
+    b = w.filter("idx % 7 = 0").select(F.col("idx").alias("box_id"), "nx", "ny", "wall_d", (-F.col("ny")).alias("tx"), F.col("nx").alias("ty"), (t - 2).alias("t_min"), (t + 2).alias("t_max"), F.col("z_min").alias("z_lo"), F.lit(2.0).alias("z_hi"))
+    return walls.overlapping(b, w)
+
+
+@query("pts", "w", sql=", j AS (SELECT pid, classification AS cluster_id, x, y, z, w.* FROM pts JOIN w ON idx = classification * 3), t AS (SELECT cluster_id, idx, x * -ny + y * nx AS t, z, least(x_min * -ny + y_min * nx, x_max * -ny + y_max * nx) AS lo, greatest(x_min * -ny + y_min * nx, x_max * -ny + y_max * nx) AS hi, z_min, z_max FROM j), a AS (SELECT cluster_id, idx, greatest(min(t), min(lo)) AS t0, least(max(t), max(hi)) AS t1, greatest(min(z), min(z_min)) AS z0, least(max(z), max(z_max)) AS z1 FROM t GROUP BY 1, 2) SELECT cluster_id, idx, round(t0, 6) + 0.0 AS t0, round(t1, 6) + 0.0 AS t1, round(z0, 6) + 0.0 AS z0, round(z1, 6) + 0.0 AS z1 FROM a WHERE t1 > t0 AND z1 > z0")
+def opening_projection(spark, sf):
+    p = pts(spark, sf).select(F.col("classification").alias("cluster_id"), "x", "y", "z", (F.col("classification") * 3).alias("idx"))
+    m = p.join(spatial.small(wall(spark, sf).drop("ring", "n_nationkey")), "idx")
+    return walls.project_openings(m).select("cluster_id", "idx", r6("t0", "t0"), r6("t1", "t1"), r6("z0", "z0"), r6("z1", "z1"))
+
+
+@query("cloud", sql=", r AS (SELECT pid, classification AS wall, x AS t0, x + 0.1 AS t1, z AS z0, z + 0.1 AS z1 FROM cloud), j AS (SELECT a.pid AS a, b.pid AS b, greatest(least(a.t1, b.t1) - greatest(a.t0, b.t0), 0) * greatest(least(a.z1, b.z1) - greatest(a.z0, b.z0), 0) AS i, (a.t1 - a.t0) * (a.z1 - a.z0) + (b.t1 - b.t0) * (b.z1 - b.z0) AS s FROM r a JOIN r b ON a.wall = b.wall AND a.pid < b.pid) SELECT a, b, round(i / (s - i), 6) AS iou FROM j WHERE i / (s - i) > 0.3")
+def rect_iou_pairs(spark, sf):
+    r = cloud(spark, sf).select("pid", F.col("classification").alias("wall"), F.struct(F.col("x").alias("t0"), (F.col("x") + 0.1).alias("t1"), F.col("z").alias("z0"), (F.col("z") + 0.1).alias("z1")).alias("r"))
+    j = r.select(F.col("pid").alias("a"), "wall", F.col("r").alias("ra")).join(r.select(F.col("pid").alias("b"), "wall", F.col("r").alias("rb")), "wall").filter("a < b")
+    return j.withColumn("iou", G.rect_iou(F.col("ra"), F.col("rb"))).filter("iou > 0.3").select("a", "b", r6("iou", "iou"))
+
+
+_EDGES = ", e AS (SELECT p.idx, p.k, p.x AS ax, p.y AS ay, p.z AS az, q.x AS ex, q.y AS ey, q.z AS ez FROM corner p JOIN corner q ON p.idx = q.idx AND q.k = (p.k + 1) % 4)"
+_NEWELL = _EDGES + ", nw AS (SELECT idx, sum((ay - ey) * (az + ez)) AS vx, sum((az - ez) * (ax + ex)) AS vy, sum((ax - ex) * (ay + ey)) AS vz FROM e GROUP BY 1)"
+
+
+@query("corner", sql=_NEWELL + " SELECT idx, round(vx / sqrt(vx * vx + vy * vy + vz * vz), 6) + 0.0 AS nx, round(vy / sqrt(vx * vx + vy * vy + vz * vz), 6) + 0.0 AS ny, round(vz / sqrt(vx * vx + vy * vy + vz * vz), 6) + 0.0 AS nz, round(sqrt(vx * vx + vy * vy + vz * vz) / 2, 6) AS area FROM nw")
+def newell_normal(spark, sf):
+    w = wall(spark, sf).select("idx", G.unit_normal(F.col("ring")).alias("n"), (G.norm(G.newell(F.col("ring"))) / 2).alias("area"))
+    return w.select("idx", r6("n.x", "nx"), r6("n.y", "ny"), r6("n.z", "nz"), r6("area", "area"))
+
+
+@query("corner", sql=_EDGES + " SELECT idx, round(sum(az * ey - ez * ay) / 2, 6) + 0.0 AS area FROM e GROUP BY 1")
+def ring_area(spark, sf):
+    """Signed area in the plane of z and y."""
+    return wall(spark, sf).select("idx", r6(G.area_xy(F.transform("ring", lambda p: F.struct(p["z"].alias("x"), p["y"].alias("y"), p["x"].alias("z")))), "area"))
+
+
+@query("corner", sql=_NEWELL + " SELECT count(*) AS n_vertical FROM nw WHERE abs(vz) / sqrt(vx * vx + vy * vy + vz * vz) <= 0.3")
+def vertical_walls(spark, sf):
+    return wall(spark, sf).filter(G.is_vertical(F.col("ring"))).agg(F.count("*").alias("n_vertical"))
+
+
+@query("cloud", sql="SELECT pid, CAST(round_even((x + 1) / 0.001, 0) AS BIGINT) AS ix, abs(round_even((x + 1) / 0.001, 0) * 0.001 - 1 - x) <= 0.0005001 AS ok FROM cloud")
+def encode_decode_vertices(spark, sf):
+    c = cloud(spark, sf).withColumn("ix", G.encode(F.col("x"), 0.001, -1.0))
+    return c.select("pid", "ix", (F.abs(G.decode(F.col("ix"), 0.001, -1.0) - F.col("x")) <= 0.0005001).alias("ok"))
+
+
+@query(sql="SELECT n_nationkey AS k, i AS a, i + 1 AS b FROM nation, unnest(generate_series(1, CAST(n_nationkey % 7 AS BIGINT))) t(i)")
+def fan_triangles(spark, sf):
+    n = _table(spark, sf, "nation").select(F.col("n_nationkey").alias("k"), F.explode(G.fan((F.col("n_nationkey") % 7 + 2).cast("int"))).alias("t"))
+    return n.select("k", F.col("t")[1].cast("bigint").alias("a"), F.col("t")[2].cast("bigint").alias("b"))
+
+
+@query("corner", sql=_EDGES + ", q AS (SELECT DISTINCT idx, CASE WHEN (ax, ay, az) < (ex, ey, ez) THEN (ax, ay, az, ex, ey, ez) ELSE (ex, ey, ez, ax, ay, az) END AS key FROM e) SELECT min(idx) AS face_1, max(idx) AS face_2 FROM q GROUP BY key HAVING count(*) = 2")
+def shared_edges(spark, sf):
+    return models.shared_edges(wall(spark, sf).select(F.col("idx").alias("face_id"), "ring")).select("face_1", "face_2")
+
+
+@query("cloud", sql=", r AS (SELECT classification AS face_id, row_number() OVER (PARTITION BY classification ORDER BY pid) AS rn, x, y FROM cloud), f AS (SELECT face_id, rn - 1 AS k, x, y FROM r WHERE rn <= 12), m AS (SELECT face_id, count(*) AS n FROM f GROUP BY 1), e AS (SELECT p.face_id, p.k, n, p.x AS ax, p.y AS ay, q.x AS bx, q.y AS by FROM f p JOIN m USING (face_id) JOIN f q ON p.face_id = q.face_id AND q.k = (p.k + 1) % n) SELECT a.face_id, a.k AS i, b.k AS j FROM e a JOIN e b ON a.face_id = b.face_id AND b.k > a.k + 1 AND NOT (a.k = 0 AND b.k = a.n - 1) WHERE sign((a.bx - a.ax) * (b.ay - a.ay) - (a.by - a.ay) * (b.ax - a.ax)) <> sign((a.bx - a.ax) * (b.by - a.ay) - (a.by - a.ay) * (b.bx - a.ax)) AND sign((b.bx - b.ax) * (a.ay - b.ay) - (b.by - b.ay) * (a.ax - b.ax)) <> sign((b.bx - b.ax) * (a.by - b.ay) - (b.by - b.ay) * (a.bx - b.ax))")
+def segment_crossings(spark, sf):
+    c = cloud(spark, sf).withColumn("k", F.row_number().over(Window.partitionBy("classification").orderBy("pid")) - 1).filter("k < 12")
+    ring = F.transform(F.array_sort(F.collect_list(F.struct("k", "x", "y", F.lit(0.0).alias("z")))), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"), p["z"].alias("z")))
+    return models.self_crossings(c.groupBy(F.col("classification").alias("face_id")).agg(ring.alias("ring"))).select("face_id", F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"))
+
+
+@query("corner", sql=", roof AS (SELECT DISTINCT round_even(x * 10, 0) AS x, round_even(y * 10, 0) AS y FROM corner WHERE idx % 3 = 0) SELECT DISTINCT idx FROM corner JOIN roof ON round_even(corner.x * 10, 0) = roof.x AND round_even(corner.y * 10, 0) = roof.y")
+def roof_wall_semijoin(spark, sf):
+    v = wall(spark, sf).select("idx", F.explode("ring").alias("p")).select("idx", F.bround(F.col("p.x") * 10, 0).alias("x"), F.bround(F.col("p.y") * 10, 0).alias("y"))
+    return v.join(v.filter("idx % 3 = 0").select("x", "y").distinct(), ["x", "y"], "left_semi").select("idx").distinct()
+
+
+_RAYS = """, ray AS (SELECT CAST(floor(0.0 / 2) AS DOUBLE) AS ax, floor(0.0 / 2) AS ay, floor(1.0 / 2) AS az, floor(x / 2) AS ex, floor(y / 2) AS ey, floor(z / 2) AS ez FROM pts), st AS (SELECT *, greatest(abs(ex - ax), abs(ey - ay), abs(ez - az)) AS steps FROM ray),
+  walk AS (SELECT CAST(floor(ax + (ex - ax) * s / steps + 0.5) AS BIGINT) AS i, CAST(floor(ay + (ey - ay) * s / steps + 0.5) AS BIGINT) AS j, CAST(floor(az + (ez - az) * s / steps + 0.5) AS BIGINT) AS k, 1 AS state FROM st, unnest(generate_series(1, CAST(least(steps, 200) - 1 AS BIGINT))) t(s) WHERE steps > 1 UNION ALL SELECT CAST(ex AS BIGINT), CAST(ey AS BIGINT), CAST(ez AS BIGINT), 2 FROM st),
+  vox AS (SELECT i, j, k, max(state) AS state FROM walk GROUP BY 1, 2, 3)"""
+
+
+def _rays(spark, sf) -> DataFrame:
+    return clouds.ray_voxels(pts(spark, sf).withColumns({"ox": F.lit(0.0), "oy": F.lit(0.0), "oz": F.lit(1.0)}), 2.0)
+
+
+@query("pts", sql=_RAYS + " SELECT i, j, k, state FROM vox")
+def ray_voxels(spark, sf):
+    return _rays(spark, sf)
+
+
+@query("pts", sql=_RAYS + ", c AS (SELECT i // 3 AS wall, count(*) FILTER (state = 1) AS e, count(*) FILTER (state = 2) AS o FROM (SELECT abs(i) AS i, state FROM vox) GROUP BY 1) SELECT wall, round(CASE WHEN e + o > 0 THEN e / (e + o) ELSE 0 END, 6) AS probability, CASE WHEN e + o > 0 THEN e / (e + o) ELSE 0 END > 0.5 AS conflict FROM c")
+def wall_conflict_probability(spark, sf):
+    v = _rays(spark, sf).withColumn("wall", F.floor(F.abs("i") / 3))
+    return clouds.conflict_probability(v, "wall").withColumn("probability", F.round("probability", 6))
+
+
+# --- alignment
+
+
+@query("cloud", sql=", p AS (SELECT x AS sx, y AS sy, z AS sz, 1 - 2 * y AS dx, 2 + 2 * x AS dy, 3 + 2 * z AS dz FROM cloud) SELECT count(*) AS n, round(avg(sx), 6) + 0.0 AS msx, round(avg(dx), 6) + 0.0 AS mdx, round(var_pop(sx) + var_pop(sy) + var_pop(sz), 6) AS var, round(covar_pop(dx, sy), 6) + 0.0 AS cxy, round(covar_pop(dz, sz), 6) + 0.0 AS czz FROM p")
+def umeyama_sums(spark, sf):
+    p = cloud(spark, sf).select(*(F.col(a).alias(f"s{a}") for a in "xyz"), (1 - 2 * F.col("y")).alias("dx"), (2 + 2 * F.col("x")).alias("dy"), (3 + 2 * F.col("z")).alias("dz"))
+    return align.pair_sums(p).select("n", *(r6(c, c) for c in ("msx", "mdx", "var", "cxy", "czz")))
+
+
+@query("cloud", sql="SELECT pid, round(2 * -y + 5, 6) + 0.0 AS x, round(2 * x + 6, 6) + 0.0 AS y, round(2 * z + 7, 6) + 0.0 AS z FROM cloud")
+def similarity_apply(spark, sf):
+    import numpy as np
+
+    out = align.apply_similarity(cloud(spark, sf), 2.0, np.array([[0.0, -1, 0], [1, 0, 0], [0, 0, 1]]), np.array([5.0, 6, 7]))
+    return out.select("pid", r6("x", "x"), r6("y", "y"), r6("z", "z"))
+
+
+# --- text and models
+
+
+@query(sql="SELECT event_type, count(*) AS n, CAST(max(event_id % 97) AS BIGINT) AS most FROM events GROUP BY 1")
+def kv_error_ids(spark, sf):
+    kv = X.key_values(F.concat(F.lit("coid="), F.col("event_type"), F.lit("|face="), (F.col("event_id") % 97).cast("string")))
+    return _table(spark, sf, "events").withColumn("m", kv).groupBy(F.col("m.coid").alias("event_type")).agg(F.count("*").alias("n"), F.max(X.tolerant_int(F.col("m.face"))).cast("bigint").alias("most"))
+
+
+@query(sql="SELECT upper(split_part(p_type, ' ', 1)) AS prefix, count(*) AS n FROM part GROUP BY 1")
+def prefix_match(spark, sf):
+    return _table(spark, sf, "part").groupBy(X.file_prefix(F.translate("p_type", " ", "_")).alias("prefix")).agg(F.count("*").alias("n"))
+
+
+@query(sql="SELECT r_name AS sem_type, count(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1")
+def semantic_histogram(spark, sf):
+    n = _table(spark, sf, "nation").join(F.broadcast(_table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    return models.semantic_histogram(n.select(F.col("r_name").alias("sem_type"), F.lit(0).alias("ring_idx")))
+
+
+# --- without SQL
+
+
+@query()
+def nms_openings(spark, sf):
+    o = cloud(spark, sf).select(F.col("classification").alias("wall"), F.col("pid").alias("opening_id"), F.col("x").alias("t0"), (F.col("x") + 0.1).alias("t1"), F.col("z").alias("z0"), (F.col("z") + 0.05 + F.abs("y") / 10).alias("z1"))
+    return models.keep_largest_openings(o, ["wall"], 0.0)
+
+
+@query()
+def merge_walls(spark, sf):
+    w = wall(spark, sf).withColumns({"model_id": F.lit("m"), "obj_id": F.col("n_nationkey").cast("string")})
+    half = lambda a, b: F.struct(*(((F.col("ring")[a][c] + F.col("ring")[b][c]) / 2).alias(c) for c in "xyz"))
+    low, top, r = half(0, 1), half(2, 3), F.col("ring")
+    both = F.explode(F.array(F.array(r[0], low, top, r[3]), F.array(low, r[1], r[2], top)))
+    parts = w.withColumn("ring", both).withColumn("idx", F.row_number().over(Window.partitionBy("obj_id").orderBy("idx", F.col("ring")[0]["x"], F.col("ring")[0]["y"])).cast("int"))
+    return models.merge_walls(parts).select("obj_id", "group_idx", F.size("members").alias("n_members"), F.round("area", 6).alias("area"))
+
+
+@query()
+def kmeans_hsv(spark, sf):
+    c = rgb(spark, sf).withColumns({c: F.col(c) / 255 for c in ("red", "green", "blue")})
+    return clustering.hsv_clusters(c, 5).groupBy("cluster").agg(F.count("*").alias("n"))
+
+
+@query()
+def ransac_planes(spark, sf):
+    w = wall(spark, sf).filter("n_nationkey < 2").select("idx", F.explode(F.sequence(F.lit(-10), F.lit(10))).alias("t"), F.explode(F.sequence(F.lit(0), F.lit(6))).alias("h"), "ox", "oy", "nx", "ny")
+    p = w.select((F.col("idx") * 1000 + F.col("t") * 10 + F.col("h")).cast("bigint").alias("pid"), (F.col("ox") - F.col("ny") * F.col("t") / 2).alias("x"), (F.col("oy") + F.col("nx") * F.col("t") / 2).alias("y"), (F.col("h") / 2).alias("z"))
+    return clustering.ransac_planes(p, 0.05, rounds=40, least=100, most_planes=10).groupBy("plane").agg(F.count("*").alias("n"))
+
+
+@query()
+def recess_boxes(spark, sf):
+    p = pts(spark, sf).select(F.col("classification").alias("cluster_id"), "x", "y", "z", (F.col("classification") * 3).alias("idx")).join(spatial.small(wall(spark, sf).select("idx", "nx", "ny", "wall_d")), "idx")
+    return models.boxes(p, outward=False).withColumn("faces", F.size(models.box_faces(False)))
+
+
+@query()
+def extrusion_boxes(spark, sf):
+    p = pts(spark, sf).select(F.col("classification").alias("cluster_id"), "x", "y", "z", (F.col("classification") * 3).alias("idx")).join(spatial.small(wall(spark, sf).select("idx", "nx", "ny", "wall_d")), "idx")
+    return models.boxes(p, outward=True).withColumn("faces", F.size(models.box_faces(True)))
+
+
+@query()
+def cityjson_roundtrip(spark, sf):
+    from .sources import documents
+
+    rings = wall(spark, sf).select(F.concat(F.lit("m"), (F.col("n_nationkey") % 5).cast("string")).alias("model_id"), F.concat(F.lit("b"), F.col("n_nationkey").cast("string")).alias("obj_id"), F.lit("Building").alias("type"), F.lit(2.2).alias("lod"), F.lit("WallSurface").alias("sem_type"), F.col("idx").alias("poly_idx"), F.lit(0).alias("ring_idx"), "ring")
+    back = models.walls(models.polygons(documents.parse_cityjson(documents.cityjson_document(rings))))
+    return back.groupBy("model_id").agg(F.count("*").alias("n_walls"), F.round(F.sum(G.norm(G.newell(F.col("ring"))) / 2), 6).alias("area"))
