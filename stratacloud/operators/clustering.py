@@ -8,14 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.color import hsv
+from .durable import cut
 from .spatial import radius_pairs
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Break the lineage through the shared checkpoint folder where one is set; keep the plan otherwise."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()
-
-
 def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
     """edges(a, b): node, label (the least node it is connected with), by taking the neighbours' least label and then that
     label's own label, so that rounds grow with the logarithm of the diameter."""

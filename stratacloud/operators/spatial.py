@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import geometry as G
+from .durable import cut
 
 #: Rows up to which polygon and wall tables are broadcast.
 BROADCAST_ROWS = 100_000
@@ -63,9 +64,9 @@ def nearest(queries: DataFrame, points: DataFrame, k: int, size: float, axes: tu
         if size >= widest:
             return found if done is None else done.unionByName(found)
         found = found.withColumn("far", F.max("d2").over(Window.partitionBy("qid"))).withColumn("n", F.count("*").over(Window.partitionBy("qid")))
-        settled = found.filter((F.col("n") == k) & (F.col("far") <= size * size)).drop("far", "n").persist()
+        settled = cut(found.filter((F.col("n") == k) & (F.col("far") <= size * size)).drop("far", "n"))
         done = settled if done is None else done.unionByName(settled)
-        left = left.join(settled.select(F.col("qid").alias("pid")).distinct(), "pid", "left_anti").persist()
+        left = cut(left.join(settled.select(F.col("qid").alias("pid")).distinct(), "pid", "left_anti"))
         if left.isEmpty():
             return done
         size *= 2
