@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 from .functions import color as C
 from .functions import geometry as G
 from .functions import text as X
-from .operators import align, clouds, clustering, models, spatial, walls
+from .operators import align, clouds, clustering, meshes, models, panorama, spatial, walls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -490,3 +490,82 @@ def cityjson_roundtrip(spark, sf):
     rings = wall(spark, sf).select(F.concat(F.lit("m"), (F.col("n_nationkey") % 5).cast("string")).alias("model_id"), F.concat(F.lit("b"), F.col("n_nationkey").cast("string")).alias("obj_id"), F.lit("Building").alias("type"), F.lit(2.2).alias("lod"), F.lit("WallSurface").alias("sem_type"), F.col("idx").alias("poly_idx"), F.lit(0).alias("ring_idx"), "ring")
     back = models.walls(models.polygons(documents.parse_cityjson(documents.cityjson_document(rings))))
     return back.groupBy("model_id").agg(F.count("*").alias("n_walls"), F.round(F.sum(G.norm(G.newell(F.col("ring"))) / 2), 6).alias("area"))
+
+
+# --- meshes, panoramas, votes
+
+
+def _triangles(spark, sf) -> DataFrame:
+    t = wall(spark, sf).select("idx", "ring", F.posexplode(G.fan(F.size("ring"))).alias("k", "t"))
+    return t.select((F.col("idx") * 2 + F.col("k")).alias("fid"), *(F.element_at("ring", F.col("t")[i] + 1).alias(c) for i, c in enumerate("abc")))
+
+
+@query("wall", sql=", t AS (SELECT idx * 2 + k AS fid, 5.0 * (z_max - z_min) AS area FROM wall, (VALUES (0), (1)) v(k)), s AS (SELECT *, sum(area) OVER (ORDER BY fid) AS upto, sum(area) OVER () AS total FROM t) SELECT fid, round(area, 6) AS area, CAST(floor(upto / total * 10000 + 1e-9) - floor((upto - area) / total * 10000 + 1e-9) AS BIGINT) AS samples FROM s")
+def mesh_sample_counts(spark, sf):
+    return meshes.sample_counts(_triangles(spark, sf), 10_000).select("fid", r6("area", "area"), "samples")
+
+
+@query("wall", sql="SELECT CAST(count(*) * 100 AS BIGINT) AS n, true AS on_walls FROM wall")
+def mesh_surface_samples(spark, sf):
+    s = meshes.sample_surface(_triangles(spark, sf), 10_000)
+    w = wall(spark, sf).select("idx", "nx", "ny", "wall_d", "z_max")
+    j = s.join(w, F.floor(F.col("fid") / 2) == F.col("idx"))
+    off = F.abs(F.col("x") * F.col("nx") + F.col("y") * F.col("ny") - F.col("wall_d"))
+    return j.agg(F.count("*").alias("n"), F.bool_and((off < 1e-9) & F.col("z").between(-1e-9, F.col("z_max") + 1e-9)).alias("on_walls"))
+
+
+@query("cloud", sql=_PAIRS + ", m AS (SELECT qid, min(d2) AS d2 FROM d WHERE qid <> pid GROUP BY 1) SELECT round(greatest(median(sqrt(d2)), 1e-6), 6) AS spacing FROM m")
+def point_spacing(spark, sf):
+    return meshes.spacing(cloud(spark, sf), 0.1).select(r6("spacing", "spacing"))
+
+
+@query("cloud", sql=_PAIRS + ", ab AS (SELECT qid, pid FROM d WHERE qid % 2 = 0 AND pid % 2 = 1 QUALIFY row_number() OVER (PARTITION BY qid ORDER BY d2, pid) = 1), ba AS (SELECT qid, pid FROM d WHERE qid % 2 = 1 AND pid % 2 = 0 QUALIFY row_number() OVER (PARTITION BY qid ORDER BY d2, pid) = 1) SELECT ab.qid AS pid_a, ab.pid AS pid_b FROM ab JOIN ba ON ab.qid = ba.pid AND ab.pid = ba.qid")
+def mutual_nearest(spark, sf):
+    c = cloud(spark, sf)
+    return meshes.mutual_nearest(c.filter("pid % 2 = 0"), c.filter("pid % 2 = 1"), 0.1)
+
+
+@query(sql="WITH s AS (SELECT vec_id % 50 AS pid, label AS cls, avg(CAST(embedding[4] AS DOUBLE)) AS mean FROM embeddings GROUP BY 1, 2) SELECT pid, cls, round(mean, 6) + 0.0 AS mean FROM s QUALIFY row_number() OVER (PARTITION BY pid ORDER BY mean DESC, cls) = 1")
+def class_votes(spark, sf):
+    s = _table(spark, sf, "embeddings").select((F.col("vec_id") % 50).alias("pid"), F.col("label").alias("cls"), F.element_at("embedding", 4).cast("double").alias("p"))
+    return meshes.vote(s, "pid", "cls", "p").select("pid", "cls", r6("mean", "mean"))
+
+
+@query("cloud", sql=", t AS (SELECT pid, x AS ax, y AS ay, lead(x) OVER w AS qx, lead(y) OVER w AS qy, lead(x, 2) OVER w AS cx, lead(y, 2) OVER w AS cy FROM cloud WINDOW w AS (PARTITION BY classification ORDER BY pid)), s AS (SELECT pid, abs((qx - ax) * (cy - ay) - (qy - ay) * (cx - ax)) / 2 AS area, sqrt((ax - qx) ** 2 + (ay - qy) ** 2) * sqrt((qx - cx) ** 2 + (qy - cy) ** 2) * sqrt((cx - ax) ** 2 + (cy - ay) ** 2) AS m FROM t WHERE cx IS NOT NULL) SELECT count(*) AS n, count(*) FILTER (area * area > 1e-14 AND m / (4 * area) <= 0.1) AS kept FROM s")
+def alpha_filter(spark, sf):
+    w = Window.partitionBy("classification").orderBy("pid")
+    p = F.struct("x", "y")
+    t = cloud(spark, sf).select(p.alias("a"), F.lead(p, 1).over(w).alias("b"), F.lead(p, 2).over(w).alias("c")).filter("c IS NOT NULL")
+    return t.agg(F.count("*").alias("n"), F.count_if(G.circumradius(F.col("a"), F.col("b"), F.col("c")) <= 0.1).alias("kept"))
+
+
+@query("wall", sql="SELECT idx, round(10 * (z_max - 1), 6) AS area FROM wall")
+def clipped_walls(spark, sf):
+    w = wall(spark, sf).select("idx", G.clip_z_min(F.col("ring"), F.lit(1.0)).alias("r"))
+    return w.select("idx", r6(G.norm(G.newell(F.col("r"))) / 2, "area"))
+
+
+@query(sql="""WITH p AS (SELECT i // 16 AS row, i % 16 AS col, (i % 16 + 0.5) * (2.0 / 16) - 1 AS a, (i // 16 + 0.5) * (2.0 / 16) - 1 AS b FROM generate_series(0, 255) t(i)),
+  d AS (SELECT 'front' AS face, row, col, 1.0 AS x, a AS y, -b AS z FROM p UNION ALL SELECT 'up', row, col, b, a, 1.0 FROM p)
+  SELECT face, CAST(row AS INT) AS row, CAST(col AS INT) AS col, CAST(floor((atan2(y, x) / (2 * pi()) + 0.5) * 1000) % 1000 AS INT) AS u, CAST(least(greatest(floor((0.5 - atan2(z, sqrt(x * x + y * y)) / pi()) * 500), 0), 499) AS INT) AS v FROM d""")
+def panorama_mapping(spark, sf):
+    u, v = panorama.panorama_pixel(1000, 500)
+    return panorama.face_pixels(spark, 16).filter("face IN ('front', 'up')").select("face", "row", "col", u.alias("u"), v.alias("v"))
+
+
+@query(sql="SELECT round(14.5 + i * (50 / 111139.0), 6) AS lat, round(121.0 + j * (50 / (111139.0 * cos(radians(14.51)))), 6) AS lng FROM generate_series(0, CAST(floor(0.02 / (50 / 111139.0)) AS BIGINT)) t(i), generate_series(0, CAST(floor(0.01 / (50 / (111139.0 * cos(radians(14.51))))) AS BIGINT)) s(j)")
+def sampling_grid(spark, sf):
+    return panorama.grid_coordinates(spark, 14.5, 121.0, 14.52, 121.01, 50.0).select(r6("lat", "lat"), r6("lng", "lng"))
+
+
+@query()
+def point_normals(spark, sf):
+    return meshes.normals(cloud(spark, sf), 0.15)
+
+
+@query()
+def grown_regions(spark, sf):
+    w = wall(spark, sf)
+    faces = w.select(F.lit("m").alias("mesh_id"), F.col("idx").cast("long").alias("fid"), "nx", "ny", F.lit(0.0).alias("nz"))
+    adjacent = models.shared_edges(w.select(F.col("idx").cast("long").alias("face_id"), "ring")).select(F.lit("m").alias("mesh_id"), "face_1", "face_2")
+    return meshes.grow_regions(faces, adjacent, 5.0).groupBy("region").agg(F.count("*").alias("n"))
