@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 from .functions import color as C
 from .functions import geometry as G
 from .functions import text as X
-from .operators import align, clouds, clustering, meshes, models, panorama, spatial, walls
+from .operators import align, clouds, clustering, facades, meshes, models, panorama, spatial, walls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -569,3 +569,114 @@ def grown_regions(spark, sf):
     faces = w.select(F.lit("m").alias("mesh_id"), F.col("idx").cast("long").alias("fid"), "nx", "ny", F.lit(0.0).alias("nz"))
     adjacent = models.shared_edges(w.select(F.col("idx").cast("long").alias("face_id"), "ring")).select(F.lit("m").alias("mesh_id"), "face_1", "face_2")
     return meshes.grow_regions(faces, adjacent, 5.0).groupBy("region").agg(F.count("*").alias("n"))
+
+
+# --- facades
+
+
+def _rings(spark, sf) -> DataFrame:
+    """Walls as rings of building models: model by fifth of the nations, object by nation."""
+    w = wall(spark, sf)
+    return w.select((F.col("n_nationkey") % 5).cast("string").alias("model_id"), F.col("n_nationkey").cast("string").alias("obj_id"), F.lit("Building").alias("type"), F.lit(0).alias("geom_idx"), F.lit(2.2).alias("lod"), F.lit(0).alias("shell_idx"), (F.col("idx") % 4).cast("int").alias("poly_idx"), F.lit(0).alias("ring_idx"), F.lit("WallSurface").alias("sem_type"), "ring", "idx")
+
+
+@query("wall", sql="SELECT n_nationkey AS obj, count(*) AS n FROM nation, (VALUES (0), (1), (2), (3)) s(side) WHERE side <> 3 OR n_nationkey % 2 = 0 GROUP BY 1")
+def ground_attached(spark, sf):
+    lift = F.when((F.col("poly_idx") == 3) & (F.col("obj_id").cast("int") % 2 == 1), 1.0).otherwise(0.0)
+    r = _rings(spark, sf).withColumn("lift", lift)
+    r = r.withColumn("ring", F.transform("ring", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"), (p["z"] + F.col("lift")).alias("z"))))
+    return facades.ground_attached(r.drop("lift")).groupBy(F.col("obj_id").cast("int").alias("obj")).agg(F.count("*").alias("n"))
+
+
+@query(sql="SELECT n_nationkey AS obj, 100.0 AS area, 4 AS n FROM nation")
+def footprint_hulls(spark, sf):
+    f = facades.footprints(_rings(spark, sf))
+    return f.select(F.col("obj_id").cast("int").alias("obj"), F.round(F.abs(G.area_xy(F.col("ring"))), 6).alias("area"), F.size("ring").alias("n"))
+
+
+@query(sql="WITH s AS (SELECT n_nationkey AS i, n_regionkey AS o, n_nationkey % 3 <> 1 AS kept, n_nationkey - 5 AS parent FROM nation), k AS (SELECT *, row_number() OVER (PARTITION BY o ORDER BY i) - 1 AS new_idx FROM s WHERE kept) SELECT k.o AS obj, k.i AS sem_idx, CAST(k.new_idx AS BIGINT) AS new_idx, CAST(coalesce(p.new_idx, -1) AS BIGINT) AS new_parent FROM k LEFT JOIN k p ON p.o = k.o AND p.i = k.parent")
+def rekey_surfaces(spark, sf):
+    s = _table(spark, sf, "nation").select(F.lit("m").alias("model_id"), F.col("n_regionkey").alias("obj_id"), F.col("n_nationkey").alias("sem_idx"), (F.col("n_nationkey") % 3 != 1).alias("kept"), (F.col("n_nationkey") - 5).alias("parent"))
+    return facades.rekey_surfaces(s).select(F.col("obj_id").alias("obj"), "sem_idx", F.col("new_idx").cast("bigint").alias("new_idx"), F.coalesce("new_parent", F.lit(-1)).cast("bigint").alias("new_parent"))
+
+
+@query(sql="WITH c AS (SELECT s_name AS name, upper(split_part(replace(s_name, '#', '_'), '_', 1)) AS p FROM supplier), g AS (SELECT DISTINCT p_type, upper(split_part(p_type, ' ', 1)) AS p FROM part) SELECT count(*) AS n FROM c, g WHERE c.p = g.p")
+def prefix_join(spark, sf):
+    c = _table(spark, sf, "supplier").select(F.translate("s_name", "#", "_").alias("name"))
+    p = _table(spark, sf, "part").select(F.translate("p_type", " ", "_").alias("polygon_id")).distinct()
+    return facades.match_prefixes(c, p).agg(F.count("*").alias("n"))
+
+
+@query("cloud", sql="SELECT pid, round(x, 6) + 0.0 AS u, round(z, 6) + 0.0 AS v, round(-y, 6) + 0.0 AS d FROM cloud")
+def surface_frame(spark, sf):
+    f = facades.surface_frame(cloud(spark, sf), G.point(0, 0, 0), G.point(0, -1, 0))
+    return f.select("pid", r6("u", "u"), r6("v", "v"), r6("d", "d"))
+
+
+@query("big", sql=", q AS (SELECT quantile_cont(y, 0.9) AS m FROM big) SELECT count(*) AS n, round(min(y), 6) AS least FROM big, q WHERE y >= m")
+def density_trim(spark, sf):
+    return facades.trim_density(big(spark, sf), "y", 0.9).agg(F.count("*").alias("n"), r6(F.min("y"), "least"))
+
+
+@query("pts", "w", sql=", j AS (SELECT classification AS cluster_id, w.idx, x * -ny + y * nx AS t, z, least(x_min * -ny + y_min * nx, x_max * -ny + y_max * nx) AS lo, greatest(x_min * -ny + y_min * nx, x_max * -ny + y_max * nx) AS hi, z_min, z_max FROM pts JOIN w ON w.idx = classification * 7), a AS (SELECT cluster_id, idx, min(t) AS a0, max(t) AS a1, min(lo) AS w0, max(hi) AS w1, min(z) AS c0, max(z) AS c1, min(z_min) AS h0, max(z_max) AS h1 FROM j GROUP BY 1, 2) SELECT cluster_id, idx, round(CASE WHEN least(a1, w1) > greatest(a0, w0) THEN greatest(a0, w0) ELSE (w0 + w1) / 2 - least(a1 - a0, w1 - w0) / 2 END, 6) + 0.0 AS t0, round(CASE WHEN least(c1, h1) > greatest(c0, h0) THEN greatest(c0, h0) ELSE c0 END, 6) + 0.0 AS z0 FROM a")
+def lenient_projection(spark, sf):
+    p = pts(spark, sf).select(F.col("classification").alias("cluster_id"), "x", "y", "z", (F.col("classification") * 7).alias("idx"))
+    m = p.join(spatial.small(wall(spark, sf).drop("ring", "n_nationkey")), "idx")
+    return facades.project_lenient(m).select("cluster_id", "idx", r6("t0", "t0"), r6("z0", "z0"))
+
+
+@query("cloud", sql=", b AS (SELECT pid AS box_id, x AS t0, x + 0.2 AS t1, z AS z0, z + 0.2 AS z1 FROM cloud), p AS (SELECT pid AS box_id, label AS idx, x + 0.05 AS p0, x + 0.15 AS p1, z - 0.1 AS h0, z + 0.05 AS h1 FROM (SELECT *, classification AS label FROM cloud)) SELECT b.box_id, idx, round(greatest(t0, p0 + 0.01), 6) + 0.0 AS t0, round(least(z1, h1 - 0.01), 6) + 0.0 AS z1 FROM b JOIN p USING (box_id) WHERE least(t1, p1 - 0.01) > greatest(t0, p0 + 0.01) AND least(z1, h1 - 0.01) > greatest(z0, h0 + 0.01)")
+def panel_holes(spark, sf):
+    c = cloud(spark, sf)
+    b = c.select(F.col("pid").alias("box_id"), F.col("x").alias("t0"), (F.col("x") + 0.2).alias("t1"), F.col("z").alias("z0"), (F.col("z") + 0.2).alias("z1"))
+    p = c.select(F.col("pid").alias("box_id"), F.col("classification").alias("idx"), (F.col("x") + 0.05).alias("p0"), (F.col("x") + 0.15).alias("p1"), (F.col("z") - 0.1).alias("h0"), (F.col("z") + 0.05).alias("h1"))
+    return facades.panel_holes(b, p).select("box_id", "idx", r6("t0", "t0"), r6("z1", "z1"))
+
+
+@query("w", sql=", b AS (SELECT idx AS box_id, nx, ny, wall_d + 3 AS m, wall_d AS d FROM w WHERE idx % 5 = 0) SELECT box_id, round(coalesce((SELECT max(w.wall_d) FROM w WHERE b.nx * w.nx + b.ny * w.ny >= 0.8 AND w.wall_d <= b.m), d), 6) + 0.0 AS d_wall FROM b")
+def snapped_extrusions(spark, sf):
+    w = wall(spark, sf)
+    b = w.filter("idx % 5 = 0").select(F.col("idx").alias("box_id"), "nx", "ny", (F.col("wall_d") + 3).alias("d_median"), (F.col("wall_d") + 4).alias("d_far"), "wall_d").withColumnRenamed("wall_d", "d_wall")
+    return facades.snap_near_face(b, w).select("box_id", r6("d_wall", "d_wall")).distinct()
+
+
+@query("cloud", sql=_PAIRS.replace("b.classification", "b.x AS bx") + ", s AS (SELECT qid AS pid, count(*) AS n, stddev_pop(bx) / 3 AS spread FROM d WHERE d2 <= 0.12 * 0.12 GROUP BY 1) SELECT pid, n, round(spread, 6) AS spread, n >= 4 AND spread > 0.01 AS rough FROM s")
+def neighbour_normal_spread(spark, sf):
+    c = cloud(spark, sf)
+    n = c.select("pid", F.col("x").alias("nx"), F.lit(0.0).alias("ny"), F.lit(1.0).alias("nz"))
+    return facades.normal_spread(c, n, 0.12, 0.01).withColumn("spread", F.round("spread", 6))
+
+
+@query("cloud", sql=", a AS (SELECT classification, 0.5 * atan2(2 * covar_pop(x, y), var_pop(x) - var_pop(y)) AS g FROM cloud GROUP BY 1), p AS (SELECT classification, z, x * cos(g) + y * sin(g) AS u, y * cos(g) - x * sin(g) AS v FROM cloud JOIN a USING (classification)), s AS (SELECT classification, max(z) - min(z) AS height, greatest(max(u) - min(u), max(v) - min(v)) AS length FROM p GROUP BY 1) SELECT classification, round(height, 6) AS height, round(length, 6) AS length, round(height / length, 6) AS ratio FROM s")
+def cluster_elongation(spark, sf):
+    return facades.elongation(cloud(spark, sf), "classification").select("classification", r6("height", "height"), r6("length", "length"), r6("ratio", "ratio"))
+
+
+@query("cloud", sql=", s AS (SELECT max(x) - min(x) AS a, max(y) - min(y) AS b, max(z) - min(z) AS c FROM cloud), t AS (SELECT unnest([a * 2 / a, b * 3 / b, c * 2.5 / c]) AS r FROM s) SELECT round(median(r), 6) AS scale, round(stddev_pop(r) / avg(r), 6) AS spread FROM t")
+def robust_scale(spark, sf):
+    c = cloud(spark, sf)
+    return facades.robust_scale(c, c.withColumns({"x": F.col("x") * 2, "y": F.col("y") * 3, "z": F.col("z") * 2.5})).select(r6("scale", "scale"), r6("spread", "spread"))
+
+
+@query("wall", sql="SELECT idx, CAST(greatest(floor(10 * z_max / 0.25 + 1e-9), 100) AS BIGINT) AS samples, CAST(pow(4, greatest(ceil(log2(sqrt(100 + z_max * z_max) / 2.0) - 1e-12), 0)) AS BIGINT) AS triangles FROM wall")
+def polygon_samples(spark, sf):
+    s = facades.polygon_sample_counts(wall(spark, sf).select("idx", "ring", "z_max"), 0.5)
+    return s.select("idx", "samples", facades.subdivisions(F.sqrt(100 + F.col("z_max") * F.col("z_max")), 2.0).alias("triangles"))
+
+
+@query("pts", "w", sql=_RAYS + ", c AS (SELECT (i + 0.5) * 2 AS x, (j + 0.5) * 2 AS y, (k + 0.5) * 2 AS z, state FROM vox) SELECT idx, count(*) FILTER (state = 1) AS empty, count(*) FILTER (state = 2) AS hit FROM c, w WHERE abs((x - ox) * nx + (y - oy) * ny) < 1.01 AND abs((x - ox) * -ny + (y - oy) * nx) <= sqrt((x_max - x_min) ** 2 + (y_max - y_min) ** 2) / 2 AND z BETWEEN z_min AND z_max GROUP BY 1")
+def wall_voxels(spark, sf):
+    v = facades.voxels_on_walls(_rays(spark, sf), wall(spark, sf).drop("ring", "n_nationkey"), 2.0, 1.01)
+    return v.groupBy("idx").agg(F.count_if(F.col("state") == 1).alias("empty"), F.count_if(F.col("state") == 2).alias("hit"))
+
+
+@query()
+def cloth_ground(spark, sf):
+    return facades.cloth_ground(pts(spark, sf), 5.0, 1.0, rounds=10).groupBy("ground").agg(F.count("*").alias("n"))
+
+
+@query()
+def rotation_search(spark, sf):
+    c = cloud(spark, sf).filter("pid < 100")
+    turned = c.select("pid", (-F.col("y")).alias("x"), F.col("x").alias("y"), "z")
+    return spark.createDataFrame([facades.rotation_search(c, turned, 0.2, [float(d) for d in range(0, 360, 30)])], "angle double, distance double")
