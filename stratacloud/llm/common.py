@@ -32,6 +32,21 @@ def task_count(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
+def range_bounds(docs: DataFrame, column: str, parts: int) -> np.ndarray:
+    """Ascending distinct values that cut a bigint column into at most that many ranges of about equal row counts."""
+    found = docs.agg(F.percentile_approx(column, [k / parts for k in range(1, parts)], 10_000)).first()[0] if parts > 1 else None
+    return np.array(sorted(set(found or [])), np.int64)
+
+
+def range_of(column, bounds: np.ndarray):
+    """Number of bounds at or below the value, by bisection; 0 for null."""
+    if not len(bounds):
+        return F.lit(0)
+    table, steps = F.lit(bounds), [1 << k for k in reversed(range(len(bounds).bit_length()))]
+    step = lambda at, n: F.when(F.try_element_at(table, at + n) <= column, at + n).otherwise(at)
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
+
+
 def unit_hash(column, seed: int):
     """A column in [0, 1) that depends on the value and the seed alone."""
     return F.pmod(F.xxhash64(F.lit(seed), column), F.lit(1 << 53)).cast("double") / float(1 << 53)

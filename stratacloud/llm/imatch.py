@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import task_count
+from .common import range_bounds, range_of, task_count
 
 LEXICON_LOG2 = 20
 #: Terms in at least 1 of 2000 and at most 1 of 5 documents.
@@ -96,10 +96,7 @@ def with_next(docs: DataFrame, payload: list[str]) -> DataFrame:
     """
     docs = docs.withColumn("at", F.coalesce(F.col("doc_id"), F.lit(_FIRST)))
     parts = task_count(docs.sparkSession)
-    bounds = docs.agg(F.percentile_approx("at", [k / parts for k in range(1, parts)], 10_000)).first()[0] if parts > 1 else None
-    bounds = np.array(sorted(set(bounds or [])), np.int64)
-    # a bound opens the range after it
-    docs = docs.withColumn("range", F.size(F.filter(F.lit(bounds), lambda b: b <= F.col("at"))) if len(bounds) else F.lit(0))
+    docs = docs.withColumn("range", range_of(F.col("at"), range_bounds(docs, "at", parts)))
     firsts = sorted(tuple(r) for r in docs.groupBy("range").agg(F.min("at")).collect())
     before = {first: firsts[k - 1][0] for k, (_, first) in enumerate(firsts)}
     guest = F.create_map(*(F.lit(x) for pair in before.items() for x in pair))[F.col("at")] if before else F.lit(None).cast("int")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import column_bytes, durable, ensure_checkpoint_dir, task_count, unit_hash
+from .common import column_bytes, durable, ensure_checkpoint_dir, range_bounds, range_of, task_count, unit_hash
 
 MAGIC, VERSION = b"STTK", 1
 HEAD = struct.Struct("<4sBBHII32s")
@@ -204,9 +204,8 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, where: str |
             yield shard()
 
     parts = task_count(spark)
-    bounds = docs.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], 10_000)).first()[0] or [] if parts > 1 else []
     # ranges of doc_id with about equal numbers of documents; a null doc_id sorts before all
-    part = F.coalesce(F.size(F.filter(F.lit(np.array(sorted(set(bounds)), np.int64)), lambda b: b <= F.col("doc_id"))), F.lit(0)) if len(bounds) else F.lit(0)
+    part = range_of(F.col("doc_id"), range_bounds(docs, "doc_id", parts))
     records = docs.mapInArrow(compress, "doc_id bigint, n bigint, record binary")
     records = records.select(part.cast("int").alias("part"), "doc_id", "n", "record").repartition(parts, "part")
     shards = records.sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "n", "record").mapInArrow(assemble, "part int, seq int, n_ids bigint, image binary")
