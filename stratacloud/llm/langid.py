@@ -28,7 +28,7 @@ BUCKETS_LOG2, ORDERS, SMOOTHING = 15, (1, 2, 3), 0.5
 #: About so many documents of each language are learned from.
 DOCS_PER_LANG = 4000
 #: A language's name is a class only among so many, which bounds the matrix.
-MOST_LANGUAGES = 512
+MOST_LANGUAGES = 256
 _word = re.compile(r"[^\W\d_]")
 
 

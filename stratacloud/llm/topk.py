@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 from .common import ensure_checkpoint_dir
 
 #: Rows of a block of queries and of candidates: an (n, d) block and its scores stay within a few MB.
-QUERY_BLOCK, CANDIDATE_BLOCK = 1024, 8192
+QUERY_BLOCK, CANDIDATE_BLOCK = 4096, 8192
 #: Query rows and candidates whose scores are accumulated at once.
 ROWS, TILE = 64, 4096
 
