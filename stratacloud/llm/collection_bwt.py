@@ -1,19 +1,63 @@
-"""Burrows-Wheeler transform of a collection of byte strings, built column by column.
+"""Burrows-Wheeler transform and common prefixes of a collection of byte strings, built column by column.
 
 Round 0 inserts every string's empty suffix, in the strings' order. Round j inserts, for every string of j or more bytes at
 once, its suffix of length j: the row of the suffix of length j - 1 holds the symbol in front of it, and the new suffix's
-row follows from how many such symbols stand before that row (LF mapping). Rows of the transform and of the suffixes'
-numbers are read in order and written anew each round, as sequential files are.
+row follows from how many such symbols stand before that row (LF mapping). The new row's common prefix with the row above is
+one more than the least common prefix between its old row and the row above that which holds the same symbol; the row below
+changes likewise. Rows are read in order and written anew each round, as sequential files are; a collection is bounded, so
+they stay in memory.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+_STEP = 32
 
-def collection_suffixes(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Suffixes of all strings in order: which string, where the suffix starts, and the symbol in front of it (-1: none).
-    Equal suffixes are ordered by their strings' places in the list. Strings are shorter than 2 ** 15."""
+
+class _Least:
+    """Least values of many ranges (after, upto] of an array: partial blocks directly, whole blocks by doubled minima."""
+
+    def __init__(self, values: np.ndarray):
+        top = np.iinfo(values.dtype).max
+        pad = -len(values) % _STEP
+        self.blocks = np.concatenate([values, np.full(pad, top, values.dtype)]).reshape(-1, _STEP)
+        self.top, self.levels = top, [self.blocks.min(axis=1)]
+        # least of each block from and up to a place
+        self.upto = np.minimum.accumulate(self.blocks, axis=1).ravel()
+        self.since = np.ascontiguousarray(np.minimum.accumulate(self.blocks[:, ::-1], axis=1)[:, ::-1]).ravel()
+        while len(self.levels[-1]) > 1:
+            width = 1 << (len(self.levels) - 1)
+            last = self.levels[-1]
+            if len(last) <= width:
+                break
+            self.levels.append(np.minimum(last[:-width], last[width:]))
+
+    def __call__(self, after: np.ndarray, upto: np.ndarray) -> np.ndarray:
+        first = after + 1
+        a, b = first // _STEP, upto // _STEP
+        out = np.minimum(self.since[first], self.upto[upto])
+        same = np.flatnonzero(a == b)
+        if len(same):
+            at = np.arange(_STEP)
+            cut = self.blocks[a[same]]
+            cut[(at < (first[same] % _STEP)[:, None]) | (at > (upto[same] % _STEP)[:, None])] = self.top
+            out[same] = cut.min(axis=1)
+        far = np.flatnonzero(b - a > 1)
+        if len(far):
+            n = (b - a)[far] - 1
+            level = np.frexp(n)[1] - 1
+            for k in np.unique(level):
+                here = far[level == k]
+                low, high = a[here] + 1, b[here] - (1 << int(k))
+                out[here] = np.minimum(out[here], np.minimum(self.levels[k][low], self.levels[k][high]))
+        return out
+
+
+def collection_suffixes(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Suffixes of all strings in order: which string, where the suffix starts, the symbol in front of it (-1: none), and the
+    bytes it shares with the suffix above. Equal suffixes are ordered by their strings' places in the list. Strings are
+    shorter than 2 ** 15."""
     m = len(strings)
     lengths = np.array([len(s) for s in strings], np.int64)
     data = np.frombuffer(b"".join(strings), np.uint8)
@@ -34,48 +78,54 @@ def collection_suffixes(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, n
     active = np.arange(m)
     rows = np.arange(m)
     bwt = in_front(active, 0)
-    string_of, length_of = np.arange(m, dtype=np.int32), np.zeros(m, np.int16)
+    string_of, length_of, common = np.arange(m, dtype=np.int32), np.zeros(m, np.int16), np.zeros(m, np.int16)
     for j in range(1, int(lengths.max(initial=0)) + 1):
         going = lengths[active] >= j
         active, rows = active[going], rows[going]
-        order = np.argsort(bwt, kind="stable")
-        place = np.empty(len(bwt), np.int64)
-        place[order] = np.arange(len(bwt))
+        n = len(bwt)
+        # rows by symbol, then by place: one sort of both as a number
+        bits, wide = (24, np.uint32) if n < 1 << 24 and narrow is np.uint8 else (40, np.uint64)
+        keys = (bwt.astype(wide) << wide(bits)) | np.arange(n, dtype=wide)
+        ordered = np.sort(keys)
         # ended strings' rows hold 0 and sort first; the m empty suffixes take the first rows of all
-        rows = place[rows] + (m - (len(bwt) - np.count_nonzero(bwt)))
-        old = np.ones(len(bwt) + len(active), bool)
+        shift = m - (n - np.count_nonzero(bwt))
+        at = np.searchsorted(ordered, keys[rows])
+        least, row_bits = _Least(common), wide((1 << bits) - 1)
+        above, below = ((ordered[x] & row_bits).astype(np.int64) for x in (np.maximum(at - 1, 0), np.minimum(at + 1, n - 1)))
+        has_above = (at > 0) & (bwt[above] == bwt[rows])
+        has_below = (at < n - 1) & (bwt[below] == bwt[rows])
+        new = np.zeros(len(rows), np.int16)
+        new[has_above] = least(above[has_above], rows[has_above]) + 1
+        lower, lower_common = at[has_below] + 1 + shift, least(rows[has_below], below[has_below]) + 1
+        rows = at + shift
+        old = np.ones(n + len(active), bool)
         old[rows] = False
         merged = []
-        for column, new in ((bwt, in_front(active, j)), (string_of, active), (length_of, j)):
+        for column, values in ((bwt, in_front(active, j)), (string_of, active), (length_of, j), (common, new)):
             out = np.empty(len(old), column.dtype)
             out[old] = column
-            out[rows] = new
+            out[rows] = values
             merged.append(out)
-        bwt, string_of, length_of = merged
+        bwt, string_of, length_of, common = merged
+        common[lower] = lower_common
     front = np.where(bwt > 0, np.concatenate([[0], present])[bwt], -1)
-    return string_of.astype(np.int64), lengths[string_of] - length_of, front
+    return string_of.astype(np.int64), lengths[string_of] - length_of, front, common
 
 
 def repeated_windows(strings: list[bytes], windows: np.ndarray, span: int) -> np.ndarray:
     """For each string a number of windows at its start (window w covers bytes w to w + span): which of all these windows, in
     string order, equals one of a string further up the list or earlier in the same string."""
-    string, start, _ = collection_suffixes(strings)
-    wanted = start < windows[string]
-    string, start = string[wanted], start[wanted]
-    data = np.frombuffer(b"".join(strings), np.uint8)
-    begin = np.cumsum([0, *(len(s) for s in strings)])[string] + start
     offset = np.concatenate([[0], np.cumsum(windows)])
     out = np.zeros(int(offset[-1]), bool)
-    if not len(begin):
+    if not len(out):
         return out
-    # the common prefix of neighbouring rows, as far as it matters: whether it reaches the span
-    view = np.lib.stride_tricks.sliding_window_view(data, span)
-    shared = np.zeros(len(begin), bool)
-    for k in range(1, len(begin), 1 << 15):
-        here = slice(k, min(k + (1 << 15), len(begin)))
-        shared[here] = (view[begin[here]] == view[begin[here.start - 1 : here.stop - 1]]).all(axis=1)
-    first = np.flatnonzero(~shared)
-    order = string.astype(np.int64) * (1 << 16) + start
+    string, start, _, common = collection_suffixes(strings)
+    # rows of one window content are a run in which each shares the span with the row above
+    run = np.cumsum(common < span)
+    wanted = start < windows[string]
+    string, start, run = string[wanted], start[wanted], run[wanted]
+    first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+    order = string * (1 << 16) + start
     earliest = np.repeat(np.minimum.reduceat(order, first), np.diff(np.concatenate([first, [len(order)]])))
     out[offset[string] + start] = order > earliest
     return out

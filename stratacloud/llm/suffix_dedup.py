@@ -6,9 +6,11 @@ Documents are ordered by id, then by position; matches never cross documents; st
    dealt by the anchor's hash. Rows with the same covered bytes form a class; all but the class's first are repeats as a whole.
    A class's first matters further only if its anchor occurs in another class, too: some of its windows may be repeats.
    No pair of rows is ever made; a batch sends each class once.
-2. Suffix order. For those first rows, the covered bytes (SPAN to about 2 SPAN) are collected by anchor, and the collection's
-   Burrows-Wheeler transform is built column by column, one symbol of each string a round (see collection_bwt). Neighbouring
-   suffixes whose common prefix reaches SPAN are equal windows; all but the earliest are repeats.
+2. Suffix order. For those first rows, the covered bytes (SPAN to about 2 SPAN) are cut into the windows that reach far to the
+   left of the anchor and those that reach far to the right, and dealt by the longer gram on that side, which also takes apart
+   an anchor that very many documents have. A string alone with its gram is done. For the others the collection's
+   Burrows-Wheeler transform and common prefixes are built column by column, one symbol of each string a round (see
+   collection_bwt). Neighbouring suffixes whose common prefix reaches SPAN are equal windows; all but the earliest are repeats.
 3. Removal. Each document's repeated runs are merged and cut out of its bytes.
 
 The column-wise construction takes as many passes over the transform as the longest string has symbols; on whole texts that
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import anchored_runs
+from .anchors import anchored_runs, sides
 from .collection_bwt import repeated_windows
 from .common import column_bytes, durable, task_count, text_blocks
 
@@ -126,24 +128,31 @@ def _read(column, k: int) -> np.ndarray:
 
 
 def _strings(docs: DataFrame, span: int) -> DataFrame:
-    """Documents with runs: the covered bytes of the runs of kind 2."""
+    """Documents with runs: the bytes covered by each side's windows of the runs of kind 2, keyed by the longer gram."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            doc, tie, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), column_bytes(batch.column(2))
-            for k, text in enumerate(texts):
+            texts: list[bytes] = []
+            doc, tie = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for k, text in enumerate(column_bytes(batch.column(2))):
                 runs = _read(batch.column(3), k)
-                for start, count, gram in runs[runs["kind"] == 2][["start", "count", "gram"]].tolist():
-                    rows.append((gram, doc[k], tie[k], start, count, text[start : start + count + span - 1]))
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 6, types, strict=True)], names=["gram", *_KEY, "start", "count", "bytes"])
+                for start, count in runs[runs["kind"] == 2][["start", "count"]].tolist():
+                    rows.append((doc[k], tie[k], start))
+                    texts.append(text[start : start + count + span - 1])
+            out: list[tuple] = []
+            for a, b in text_blocks(texts):
+                for k, first, n, key in zip(*(x.tolist() for x in sides(texts[a:b], span)), strict=True):
+                    d, t, start = rows[a + k]
+                    out.append((key, d, t, start + first, n, texts[a + k][first : first + n + span - 1]))
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * 6, types, strict=True)], names=["key", *_KEY, "start", "count", "bytes"])
 
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.binary()]
-    return docs.select("doc", "tie", "text", "runs").mapInArrow(cut, "gram bigint, doc bigint, tie bigint, start int, count short, bytes binary")
+    return docs.select("doc", "tie", "text", "runs").mapInArrow(cut, "key bigint, doc bigint, tie bigint, start int, count short, bytes binary")
 
 
 def _repeats(strings: DataFrame, span: int) -> DataFrame:
-    """Strings dealt by gram and sorted by gram, doc, tie, start: runs of repeated windows."""
+    """Strings dealt by key and sorted by key, doc, tie, start: runs of repeated windows. A string alone with its key has none."""
 
     def judge(rows: list[tuple]) -> list[tuple]:
         counts = np.array([r[4] for r in rows], np.int64)
@@ -156,18 +165,24 @@ def _repeats(strings: DataFrame, span: int) -> DataFrame:
         begins = np.flatnonzero(here & (~before | edge))
         ends = np.flatnonzero(before & (~here | edge))
         owner = np.searchsorted(bounds, begins, side="right") - 1
-        return [(rows[k][1], rows[k][2], rows[k][3] + b - int(bounds[k]), e - b, 1, 0) for k, b, e in zip(owner.tolist(), begins.tolist(), ends.tolist(), strict=True)]
+        return [(rows[k][1], rows[k][2], rows[k][3] + s, n, 1, 0) for k, s, n in zip(owner.tolist(), (begins - bounds[owner]).tolist(), (ends - begins).tolist(), strict=True)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        group: list[tuple] = []
         for batch in batches:
             out: list[tuple] = []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if len(held) >= COLLECTION and row[0] != held[-1][0]:
-                    out += judge(held)
-                    held = []
-                held.append(row)
+                if group and row[0] != group[0][0]:
+                    if len(group) > 1:
+                        held += group
+                    group = []
+                    if len(held) >= COLLECTION:
+                        out += judge(held)
+                        held = []
+                group.append(row)
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * 6, types, strict=True)], names=names)
+        held += group if len(group) > 1 else []
         out = judge(held) if held else []
         yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * 6, types, strict=True)], names=names)
 
@@ -212,7 +227,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, keep: list[str] | None = N
     names = [*_KEY, "start", "count", "kind", "gram"]
     runs = durable(_packed(rows.filter("kind = 1").select(*names).unionByName(_classes(once))))
     strings = _strings(keyed.join(runs.filter(F.exists("runs", lambda r: r["kind"] == 2)), _KEY), span)
-    strings = strings.repartition(parts, "gram").sortWithinPartitions("gram", *_KEY, "start")
+    strings = strings.repartition(parts, "key").sortWithinPartitions("key", *_KEY, "start")
     more = _packed(_repeats(strings, span)).withColumnRenamed("runs", "more")
     keep = keep or []
     extra = F.struct(*(F.col(c).alias(f"c{k}") for k, c in enumerate(keep)), F.lit(None).cast("int").alias("none"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stratacloud.llm import imatch, langid, license_scan, mixing, near_dedup, pieces, suffix_dedup, token_output, topk, url_filter
 from stratacloud.llm.collection_bwt import collection_suffixes, repeated_windows
+from stratacloud.llm.common import range_of
 from stratacloud.llm.components import connected_components
 from stratacloud.llm.queries import URL_RULES
 
@@ -124,14 +125,34 @@ def test_rank_against_dense(spark):
 # 4
 
 
-def test_collection_suffixes():
-    rng = random.Random(3)
-    strings = [bytes(rng.choice(b"ab\x00") for _ in range(rng.randint(0, 12))) for _ in range(40)]
-    string, start, front = collection_suffixes(strings)
+@pytest.mark.parametrize("n", [0, 5, 60, 300])
+def test_collection_suffixes(n):
+    rng = random.Random(n)
+    strings = [bytes(rng.choice(b"ab\x00") for _ in range(rng.randint(0, 14))) for _ in range(n)]
+    string, start, front, common = collection_suffixes(strings)
     want = sorted(((s[k:], i, k) for i, s in enumerate(strings) for k in range(len(s) + 1)), key=lambda x: (x[0], x[1]))
     assert [(strings[i][k:], i, k) for i, k in zip(string, start)] == want
     assert all((strings[i][k - 1] if k else -1) == f for i, k, f in zip(string, start, front))
-    assert not len(repeated_windows([], np.zeros(0, int), 4))
+    shared = lambda a, b: next((k for k in range(min(len(a), len(b))) if a[k] != b[k]), min(len(a), len(b)))
+    assert common[1:].tolist() == [shared(a[0], b[0]) for a, b in zip(want, want[1:])]
+
+
+def test_repeated_windows():
+    rng = random.Random(3)
+    strings = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 12))) for _ in range(40)]
+    windows = np.array([max(0, len(s) - 3) for s in strings])
+    seen, want = set(), []
+    for s in strings:
+        for k in range(len(s) - 3):
+            want.append(s[k : k + 4] in seen)
+            seen.add(s[k : k + 4])
+    assert repeated_windows(strings, windows, 4).tolist() == want and not len(repeated_windows([], np.zeros(0, int), 4))
+
+
+def test_ranges(spark):
+    bounds = np.array([-5, 0, 3, 10], np.int64)
+    df = spark.createDataFrame([(v,) for v in (-9, -5, -1, 0, 3, 9, 10, 99, None)], "v long")
+    assert [r[0] for r in df.select(range_of(F.col("v"), bounds)).collect()] == [0, 1, 1, 2, 3, 3, 4, 4, 0]
 
 
 @pytest.mark.parametrize("span", [40, 100])
