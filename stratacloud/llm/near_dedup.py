@@ -34,6 +34,8 @@ BANDS = N_HASHES // ROWS
 LEAST_AGREEMENT = 0.6
 #: Nodes of a bucket that one task compares with each other, and ids up to which a list of them is broadcast.
 BLOCK, BROADCAST_IDS = 1024, 1_000_000
+#: Bytes of shingle sets that one task keeps for a block.
+KEPT_BYTES = 64 << 20
 _rng = np.random.default_rng(2024)
 _factors = _rng.integers(0, 1 << 63, N_HASHES, dtype=np.uint64) * U64(2) + U64(1)
 _terms = _rng.integers(0, 1 << 63, N_HASHES, dtype=np.uint64)
@@ -125,6 +127,8 @@ def _pairwise(members: DataFrame, width: int, percent: int) -> DataFrame:
 
         def shingles(k: int) -> np.ndarray:
             if k not in sets:
+                if len(sets) % 64 == 63 and sum(x.nbytes for x in sets.values()) > KEPT_BYTES:
+                    sets.clear()
                 sets[k] = shingle_sets([group[k][8] or b""], width)[0]
             return sets[k]
 
