@@ -136,7 +136,7 @@ def _strings(docs: DataFrame, span: int) -> DataFrame:
             texts: list[bytes] = []
             doc, tie = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for k, text in enumerate(column_bytes(batch.column(2))):
-                runs = _read(batch.column(3), k)
+                runs = _read(batch.column(4), k)
                 for start, count in runs[runs["kind"] == 2][["start", "count"]].tolist():
                     rows.append((doc[k], tie[k], start))
                     texts.append(text[start : start + count + span - 1])
@@ -148,7 +148,8 @@ def _strings(docs: DataFrame, span: int) -> DataFrame:
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * 6, types, strict=True)], names=["key", *_KEY, "start", "count", "bytes"])
 
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.binary()]
-    return docs.select("doc", "tie", "text", "runs").mapInArrow(cut, "key bigint, doc bigint, tie bigint, start int, count short, bytes binary")
+    # extra isn't read; with it the rows are those of the last join, which then reuses their shuffle
+    return docs.select("doc", "tie", "text", "extra", "runs").mapInArrow(cut, "key bigint, doc bigint, tie bigint, start int, count short, bytes binary")
 
 
 def _repeats(strings: DataFrame, span: int) -> DataFrame:
@@ -226,11 +227,12 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, keep: list[str] | None = N
     once = rows.filter("kind = 0").repartition(parts, "gram").sortWithinPartitions("gram", "region", *_KEY, "start")
     names = [*_KEY, "start", "count", "kind", "gram"]
     runs = durable(_packed(rows.filter("kind = 1").select(*names).unionByName(_classes(once))))
-    strings = _strings(keyed.join(runs.filter(F.exists("runs", lambda r: r["kind"] == 2)), _KEY), span)
-    strings = strings.repartition(parts, "key").sortWithinPartitions("key", *_KEY, "start")
-    more = _packed(_repeats(strings, span)).withColumnRenamed("runs", "more")
     keep = keep or []
     extra = F.struct(*(F.col(c).alias(f"c{k}") for k, c in enumerate(keep)), F.lit(None).cast("int").alias("none"))
-    out = _removed(_keyed(docs, extra.alias("extra")).join(runs, _KEY, "left").join(more, _KEY, "left"), span)
+    whole = _keyed(docs, extra.alias("extra"))
+    strings = _strings(whole.join(runs.filter(F.exists("runs", lambda r: r["kind"] == 2)), _KEY), span)
+    strings = strings.repartition(parts, "key").sortWithinPartitions("key", *_KEY, "start")
+    more = _packed(_repeats(strings, span)).withColumnRenamed("runs", "more")
+    out = _removed(whole.join(runs, _KEY, "left").join(more, _KEY, "left"), span)
     out = out.select(F.when(F.col("doc") != _NULL, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "extra")
     return out.select(*out.columns[:-1], *(F.col(f"extra.c{k}").alias(c) for k, c in enumerate(keep)))
