@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 #: Bytes of text that one vectorised step takes; a longer text is a block of its own.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
+#: Bytes and rows of an Arrow batch between an executor and its Python workers.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 2000
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -22,6 +24,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="stratacloud-checkpoint-"))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let no Arrow batch hold more than BATCH_BYTES (or one row): executors and their Python workers hold several at once."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(key, BATCH_BYTES)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and read it from there: later steps don't recompute it, lost executors don't lose it."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_bytes, text_blocks, unit_hash
+from .common import column_bytes, small_batches, text_blocks, unit_hash
 
 UNDETERMINED = "und"
 BUCKETS_LOG2, ORDERS, SMOOTHING = 15, (1, 2, 3), 0.5
@@ -64,6 +64,7 @@ def is_held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, seed: int = 5) -> tuple[list[str], np.ndarray]:
     """Languages in order and their float32 matrix (languages, buckets + 2): log-probabilities, a zero column, priors."""
+    small_batches(docs.sparkSession)
     learn = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~is_held_out(F.col("doc_id")))
     sizes = learn.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MOST_LANGUAGES).collect()
     langs = sorted(r["lang"] for r in sizes)
@@ -109,6 +110,7 @@ def score_texts(texts: list[bytes], matrix: np.ndarray) -> np.ndarray:
 
 def predict(docs: DataFrame, langs: list[str], matrix: np.ndarray, keep: list[str]) -> DataFrame:
     """keep columns of docs, then lang_pred and score (the posterior of the predicted language)."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((langs, matrix))
     schema = docs.select(*keep).schema
     columns = [c for c in keep if c != "text"]

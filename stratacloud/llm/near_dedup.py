@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, column_bytes, durable, task_count, text_blocks
+from .common import U64, column_bytes, durable, small_batches, task_count, text_blocks
 from .components import connected_components
 from .shingles import intersections, set_sums, shingle_sets
 
@@ -173,6 +173,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     """docs(doc_id, text): doc_id, n_shingles, component_id, kept. Texts are linked whose sets' intersection is at least
     percent / 100 of their union."""
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select("doc_id", "text")
     found = durable(sketches(docs, width))
     sets = found.filter("doc_id IS NOT NULL AND n_shingles > 0").groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"))

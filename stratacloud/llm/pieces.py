@@ -26,12 +26,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import column_bytes
+from .common import column_bytes, small_batches
 
 SPACE = "▁"
 SPACE_BYTES = SPACE.encode()
 #: Cached cuts in one Python worker, and the longest cut that is kept.
-CACHE_CUTS, CACHE_LENGTH = 300_000, 48
+CACHE_CUTS, CACHE_LENGTH = 150_000, 48
 OUTPUTS = ("ids", "begins", "ends", "decoded")
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE = 1, 2, 3, 4, 6
 
@@ -207,6 +207,7 @@ def encode_pieces(docs: DataFrame, path: str, keep: tuple[str, ...] = OUTPUTS) -
                 columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), fields, strict=True)]
                 yield pa.record_batch([part.column(0), *columns], names=["doc_id", *(f.name for f in fields)])
 
+    small_batches(docs.sparkSession)
     ints = pa.list_(pa.int32())
     fields = [pa.field("n_tokens", pa.int64()), pa.field("ids_sha256", pa.string()), pa.field("decoded_sha256", pa.string()), pa.field("spans_crc32", pa.int64())]
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, spans_crc32 bigint"

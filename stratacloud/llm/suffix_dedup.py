@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .anchors import anchored_runs, sides
 from .collection_bwt import repeated_windows
-from .common import column_bytes, durable, task_count, text_blocks
+from .common import column_bytes, durable, small_batches, task_count, text_blocks
 
 SPAN = 100
 #: Strings whose transform is built together, but for a group that has more.
@@ -220,6 +220,7 @@ def _removed(docs: DataFrame, span: int) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, span: int = SPAN, keep: list[str] | None = None) -> DataFrame:
     """docs(doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text, and the columns to keep as they are."""
+    small_batches(docs.sparkSession)
     parts = task_count(docs.sparkSession)
     keyed = _keyed(docs)
     rows = candidate_runs(keyed, span)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import column_bytes, durable, ensure_checkpoint_dir, range_bounds, range_of, task_count, unit_hash
+from .common import column_bytes, durable, ensure_checkpoint_dir, range_bounds, range_of, small_batches, task_count, unit_hash
 
 MAGIC, VERSION = b"STTK", 1
 HEAD = struct.Struct("<4sBBHII32s")
@@ -166,6 +166,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, where: str |
 
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
+    small_batches(spark)
     where = where or f"{spark.sparkContext.getCheckpointDir()}/token-shards-{uuid.uuid4().hex}"
     docs = docs.select("doc_id", "text")
     dictionary = train_dictionary(docs, tokenizer_path, end_id)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ensure_checkpoint_dir
+from .common import small_batches
 
 #: Rows of a block of queries and of candidates: an (n, d) block and its scores stay within a few MB.
 QUERY_BLOCK, CANDIDATE_BLOCK = 4096, 8192
@@ -77,7 +77,7 @@ def best(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> Iterat
 
 def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256) -> DataFrame:
     """vectors(vec_id, embedding): query_id, rank, vec_id, score of each query's k best candidates."""
-    ensure_checkpoint_dir(vectors.sparkSession)
+    small_batches(vectors.sparkSession)
     q = vectors.select(F.col("vec_id").alias("vec_id"), quantise(F.col("embedding"), scale).alias("terms"), is_query.alias("is_query")).filter("terms is not null and vec_id is not null")
     counts = q.agg(F.count("*").alias("n"), F.count_if("is_query").alias("m")).first()
     query_blocks, candidate_blocks = -(-counts.m // QUERY_BLOCK) or 1, -(-counts.n // CANDIDATE_BLOCK) or 1
