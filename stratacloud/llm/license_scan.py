@@ -5,6 +5,12 @@ ways to say "under the ... license" to one) and looked up among known license se
 one mark for each unknown sentence, is matched against ordered rules; a rule that matches takes its identifiers away, so that
 later rules do not see them. Everything is a DataFrame expression over single rows: nothing is shuffled.
 
+A line break ends a sentence unless the lines go on to a known sentence: one that is wrapped over any number of lines, with or
+without comment leaders, is joined first and counts as one sentence. It starts and ends where a line or a sentence does, and
+goes on over a sentence's end or a blank line only before a URL. Known sentences may be followed by (the "License"), and
+titles of license files are known too. The SQL of scan_sql knows neither these nor wrapped sentences, and agrees with
+scan_licenses on texts that have none of them.
+
 Null or empty text: no sentence, no license. Repeated rows: each has its row. Texts are taken whole. An empty table gives an
 empty result. Other columns are not read.
 """
@@ -45,6 +51,19 @@ KNOWN = {
     "cc0": ["under cc0 1 0", "under cc0 1 0 universal"],
     "unlicense": ["this is free and unencumbered software released into the public domain"],
 }
+#: Titles of license files, normalised, by identifier.
+TITLES = {
+    "apache2": ["apache license version 2 0 january 2004", "apache license version 2 0"],
+    "mit": ["mit license", "the mit license", "the mit license mit"],
+    "gpl3": ["gnu general public license version 3 29 june 2007"],
+    "gpl2": ["gnu general public license version 2 june 1991"],
+    "lgpl21": ["gnu lesser general public license version 2 1 february 1999"],
+    "lgpl3": ["gnu lesser general public license version 3 29 june 2007"],
+    "agpl3": ["gnu affero general public license version 3 19 november 2007"],
+    "mpl2": ["mozilla public license version 2 0"],
+    "bsd2": ["bsd 2 clause license", "the bsd 2 clause license"],
+    "bsd3": ["bsd 3 clause license", "the bsd 3 clause license"],
+}
 #: Ordered: longer sequences first; - stands for one unknown sentence.
 RULES = [
     ("MIT", ["mitgrant", "mitnotice", "asis"]), ("MIT", ["mitgrant", "mitnotice"]), ("MIT", ["mitgrant"]), ("MIT", ["mit"]),
@@ -59,18 +78,45 @@ def _pattern(identifiers: list[str]) -> str:
     return "".join(f",{x}," for x in identifiers)
 
 
+def _plain(s: Column) -> Column:
+    return F.trim(F.regexp_replace(F.translate(s, UPPER, LOWER), "[^a-z0-9]+", " "))
+
+
 def sentences(text: Column) -> Column:
     """Normalised sentences, without empty ones."""
     lines = F.split(F.regexp_replace(text, BREAK, "$1\n"), "\n")
-    plain = lambda s: F.trim(F.regexp_replace(F.translate(s, UPPER, LOWER), "[^a-z0-9]+", " "))
-    return F.filter(F.transform(lines, lambda s: F.regexp_replace(plain(s), UNDER, "under ")), lambda s: s != "")
+    return F.filter(F.transform(lines, lambda s: F.regexp_replace(_plain(s), UNDER, "under ")), lambda s: s != "")
+
+
+def _wrapped(known: dict[str, list[str]]) -> Column:
+    """Of each known sentence, longer ones first: words that a text with it holds, its pattern over lines, and its mark."""
+    texts = sorted(((t, name) for name, ts in known.items() for t in ts), key=lambda x: (-len(x[0]), x[0]))
+    rows = []
+    for t, name in texts:
+        words = t.removeprefix("under ")
+        body = (UNDER.removeprefix("^") if words != t else "") + words
+        body = body.replace(" http ", "\n+http ").replace(" ", "[ \n]").replace("\n+http", "[ \n]\n*http")
+        rows.append(F.struct(F.lit(words.partition(" http ")[0]).alias("words"), F.lit(f"(?<=\n){body}(?:[ \n]the[ \n]license)?(?=\n)").alias("pattern"), F.lit(f"#{name}").alias("mark")))
+    return F.array(*rows)
+
+
+def joined_sentences(text: Column, known: dict[str, list[str]]) -> Column:
+    """Normalised sentences without empty ones; known ones as # and their identifier, joined where they are wrapped. Between
+    lines stands one line break, at a sentence's end or a blank line several."""
+    lines = F.split(F.regexp_replace(text, BREAK, "$1\n\n"), "\n")
+    marked = F.concat(F.lit("\n"), F.array_join(F.transform(lines, _plain), "\n"), F.lit("\n"))
+
+    let = lambda value, f: F.transform(F.array(value), f)[0]  # noqa: E731 - a value that is worked out once
+    replaced = lambda m, flat: F.aggregate(F.filter(_wrapped(known), lambda row: F.contains(flat, row["words"])), m, lambda out, row: F.regexp_replace(out, row["pattern"], row["mark"]))
+    marked = let(marked, lambda m: let(F.replace(m, F.lit("\n"), F.lit(" ")), lambda flat: replaced(m, flat)))
+    return F.filter(F.transform(F.split(marked, "\n"), lambda s: F.regexp_replace(s, UNDER, "under ")), lambda s: s != "")
 
 
-def scan_licenses(docs: DataFrame, known: dict[str, list[str]] = KNOWN, rules: list[tuple[str, list[str]]] = RULES) -> DataFrame:
+def scan_licenses(docs: DataFrame, known: dict[str, list[str]] = KNOWN, rules: list[tuple[str, list[str]]] = RULES, titles: dict[str, list[str]] = TITLES) -> DataFrame:
     """docs(doc_id, text): doc_id, n_sentences, n_known, identifiers (known ones in order), licenses (names in rule order)."""
-    lookup = F.create_map(*(F.lit(x) for name, texts in known.items() for t in texts for x in (t, name)))
-    out = docs.select("doc_id", F.coalesce(sentences(F.col("text")), F.array().cast("array<string>")).alias("s"))
-    out = out.select("doc_id", F.size("s").cast("long").alias("n_sentences"), F.transform("s", lambda s: F.coalesce(F.try_element_at(lookup, s), F.lit("-"))).alias("ids"))
+    every = {name: [*known.get(name, []), *titles.get(name, [])] for name in [*known, *(x for x in titles if x not in known)]}
+    out = docs.select("doc_id", F.coalesce(joined_sentences(F.col("text"), every), F.array().cast("array<string>")).alias("s"))
+    out = out.select("doc_id", F.size("s").cast("long").alias("n_sentences"), F.transform("s", lambda s: F.when(s.startswith("#"), F.substring(s, 2, 100)).otherwise("-")).alias("ids"))
     found = F.filter("ids", lambda i: i != "-")
     table = F.array(*(F.struct(F.lit(name).alias("name"), F.lit(_pattern(ids)).alias("pattern")) for name, ids in rules))
 

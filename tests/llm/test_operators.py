@@ -302,6 +302,54 @@ def test_licenses(spark, docs, rows):
     assert {tuple(r) for r in want.itertuples(index=False)} == {tuple(r) for r in got.values()}
 
 
+APACHE = """Copyright 2020 Someone
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+"""
+MIT = """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE FOR ANY CLAIM.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice.
+"""
+
+
+def test_wrapped_licenses(spark):
+    comment = lambda lead: lambda t: "".join(f"{lead} {x}\r\n" for x in t.splitlines())
+    texts = [f(t) for f in (str, comment(" *"), comment("#"), comment("//")) for t in (APACHE, MIT, MIT.removeprefix("MIT License\n"), BSD)]
+    more = ["This file is licensed\nunder the\nMIT\nLicense", "Licensed under the GNU General Public License version 3\nor later", "Licensed under the MIT\n\nLicense", "Licensed under the MIT. License", MIT.replace(" ", "\n"), "BSD 3-Clause License"]
+    got = {r.doc_id: r for r in license_scan.scan_licenses(spark.createDataFrame(list(enumerate(texts + more)), "doc_id long, text string")).collect()}
+    assert [got[k].licenses for k in range(len(texts))] == ["Apache-2.0", "MIT", "MIT", "BSD"] * 4
+    assert {got[k].identifiers for k in range(0, len(texts), 4)} == {"apache2,apache2use,apache2copy"} and {got[k].identifiers for k in range(1, len(texts), 4)} == {"mit,mitgrant,mitnotice,asis"}
+    assert [got[len(texts) + k].licenses for k in range(len(more))] == ["MIT", "GPL-3.0-or-later", "", "", "MIT", "BSD-3-Clause"] and got[len(texts)].n_sentences == 1
+
+
 # 8
 
 
