@@ -223,7 +223,22 @@ def shared_edges(rings: DataFrame, decimals: int = 3) -> DataFrame:
 
 
 def self_crossings(rings: DataFrame) -> DataFrame:
-    """rings(face_id, ring): pairs of non-adjacent edges that cross: face_id, i, j."""
-    e = rings.select("face_id", F.size("ring").alias("n"), F.posexplode(G.edges(F.col("ring"))).alias("i", "e"))
-    j = e.join(e.select("face_id", F.col("i").alias("j"), F.col("e").alias("f")), "face_id").filter("j > i + 1 AND NOT (i = 0 AND j = n - 1)")
-    return j.filter(G.segments_cross(F.col("e.a"), F.col("e.b"), F.col("f.a"), F.col("f.b"))).select("face_id", "i", "j")
+    """rings(face_id, ring): pairs of non-adjacent edges that cross: face_id, i, j. Edges meet in the grid cells of their bounds, and
+    a pair counts in the first cell that both lie in. A ring's cells are as wide as its edges in the root mean square, so that all
+    its edges lie in at most a few times as many cells as there are edges."""
+    sizes = []
+    for a in "xy":
+        square = F.aggregate("es", F.lit(0.0), lambda s, e: s + F.pow(e["b"][a] - e["a"][a], 2))
+        sizes.append(F.when(square > 0, F.sqrt(square / F.size("es"))).otherwise(1.0).alias(f"size_{a}"))
+    e = rings.select("face_id", G.edges(F.col("ring")).alias("es")).select("face_id", F.size("es").alias("n"), *sizes, "es")
+    e = e.select("face_id", "n", "size_x", "size_y", F.posexplode("es").alias("i", "e"))  # on its own, or each edge carries its ring
+    e = e.select("face_id", "n", "size_x", "size_y", "i", *(F.col(f"e.{k}.{a}").alias(f"{k}{a}") for k in "ab" for a in "xy"))
+    bound = lambda f, a, d: F.floor((f(F.col(f"a{a}"), F.col(f"b{a}")) + F.lit(d)) / F.col(f"size_{a}")).cast("long")
+    e = e.withColumns({f"{k}_{a}": bound(f, a, d) for a in "xy" for k, f, d in (("low", F.least, -1e-6), ("high", F.greatest, 1e-6))})
+    for a in "xy":
+        e = e.withColumn(f"c_{a}", F.explode(F.sequence(f"low_{a}", f"high_{a}")))
+    e = e.select("face_id", "c_x", "c_y", "low_x", "low_y", "n", "i", "ax", "ay", "bx", "by")
+    other = e.select("face_id", "c_x", "c_y", F.col("low_x").alias("from_x"), F.col("low_y").alias("from_y"), F.col("i").alias("j"), *(F.col(c).alias(f"f{c}") for c in ("ax", "ay", "bx", "by")))
+    j = e.join(other, ["face_id", "c_x", "c_y"]).filter("j > i + 1 AND NOT (i = 0 AND j = n - 1) AND c_x = greatest(low_x, from_x) AND c_y = greatest(low_y, from_y)")
+    ends = [{"x": F.col(f"{k}x"), "y": F.col(f"{k}y")} for k in ("a", "b", "fa", "fb")]
+    return j.filter(G.segments_cross(*ends)).select("face_id", "i", "j")

@@ -149,3 +149,19 @@ def test_stream(spark, tmp_path):
     q = counts.writeStream.format("memory").queryName("voxels").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert {r.i: r.n for r in spark.table("voxels").collect()} == {0: 10, 1: 10}
+
+
+def test_crossings_of_whole_rings(spark, tmp_path):
+    from stratacloud import queries
+
+    rng = np.random.default_rng(3)
+    pts = np.concatenate([rng.normal(0, 0.2, (40, 2)), np.cumsum(rng.normal(0, 0.05, (60, 2)), axis=0)])
+    spark.createDataFrame([(i, [*map(float, v), 0.0], int(i >= 40)) for i, v in enumerate(pts)], "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = [tuple(r) for r in queries.QUERIES["segment_crossings_whole"](spark, str(tmp_path)).collect()]
+    want, pts = set(), pts.astype(np.float32).astype(float)
+    side = lambda a, b, c: (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0]) > 0
+    for face, ring_ in enumerate((pts[:40], pts[40:])):
+        n = len(ring_)
+        e = [(ring_[i], ring_[(i + 1) % n]) for i in range(n)]
+        want |= {(face, i, j) for i in range(n) for j in range(i + 2, n) if (i, j) != (0, n - 1) and side(*e[i], e[j][0]) != side(*e[i], e[j][1]) and side(*e[j], e[i][0]) != side(*e[j], e[i][1])}
+    assert len(got) == len(set(got)) and set(got) == want and any(i >= 12 for f, i, j in want)
