@@ -228,7 +228,10 @@ def cloth_ground(points: DataFrame, cell: float = 0.5, threshold: float = 0.5, r
 
 
 def rotation_search(source: DataFrame, target: DataFrame, cell: float, degrees: list[float]) -> tuple[float, float]:
-    """The rotation about z of least mean nearest-neighbour distance: angle, distance. All angles are one query."""
+    """The rotation about z of least mean nearest-neighbour distance: angle, distance. All angles are one query. The cell is the
+    largest to begin with: a dense target has smaller ones, of about one point each, and distances are exact with any."""
+    n, *extents = target.agg(F.count("*"), *(F.max(a) - F.min(a) for a in "xyz")).first()
+    cell = min(cell, (math.prod(extents) / n) ** (1 / 3) or cell) if n else cell
     table = F.explode(F.array(*(F.struct(F.lit(float(d)).alias("angle"), F.lit(math.cos(math.radians(d))).alias("c"), F.lit(math.sin(math.radians(d))).alias("s")) for d in degrees)))
     turned = source.withColumn("r", table).select(F.struct("pid", "r.angle").alias("pid"), (F.col("x") * F.col("r.c") - F.col("y") * F.col("r.s")).alias("x"), (F.col("x") * F.col("r.s") + F.col("y") * F.col("r.c")).alias("y"), "z")
     near = nearest(turned, target, 1, cell)

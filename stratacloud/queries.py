@@ -474,9 +474,9 @@ def kmeans_hsv(spark, sf):
 
 @query()
 def ransac_planes(spark, sf):
-    w = wall(spark, sf).filter("n_nationkey < 2").select("idx", F.explode(F.sequence(F.lit(-10), F.lit(10))).alias("t"), F.explode(F.sequence(F.lit(0), F.lit(6))).alias("h"), "ox", "oy", "nx", "ny")
+    w = wall(spark, sf).select("idx", F.explode(F.sequence(F.lit(-10), F.lit(10))).alias("t"), F.explode(F.sequence(F.lit(0), F.lit(6))).alias("h"), "ox", "oy", "nx", "ny")
     p = w.select((F.col("idx") * 1000 + F.col("t") * 10 + F.col("h")).cast("bigint").alias("pid"), (F.col("ox") - F.col("ny") * F.col("t") / 2).alias("x"), (F.col("oy") + F.col("nx") * F.col("t") / 2).alias("y"), (F.col("h") / 2).alias("z"))
-    return clustering.ransac_planes(p, 0.05, rounds=40, least=100, most_planes=10).groupBy("plane").agg(F.count("*").alias("n"))
+    return clustering.ransac_planes(p, 0.05).groupBy("plane").agg(F.count("*").alias("n"))
 
 
 @query()
@@ -685,6 +685,6 @@ def cloth_ground(spark, sf):
 
 @query()
 def rotation_search(spark, sf):
-    c = cloud(spark, sf).filter("pid < 100")
+    c = cloud(spark, sf)
     turned = c.select("pid", (-F.col("y")).alias("x"), F.col("x").alias("y"), "z")
     return spark.createDataFrame([facades.rotation_search(c, turned, 0.2, [float(d) for d in range(0, 360, 30)])], "angle double, distance double")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stratacloud.functions import color as C
 from stratacloud.functions import geometry as G
 from stratacloud.functions import text as X
-from stratacloud.operators import align, clouds, clustering, models, spatial
+from stratacloud.operators import align, clouds, clustering, facades, models, spatial
 from stratacloud.sources import documents, las
 
 RING = "ring array<struct<x:double,y:double,z:double>>"
@@ -165,3 +165,33 @@ def test_crossings_of_whole_rings(spark, tmp_path):
         e = [(ring_[i], ring_[(i + 1) % n]) for i in range(n)]
         want |= {(face, i, j) for i in range(n) for j in range(i + 2, n) if (i, j) != (0, n - 1) and side(*e[i], e[j][0]) != side(*e[i], e[j][1]) and side(*e[j], e[i][0]) != side(*e[j], e[i][1])}
     assert len(got) == len(set(got)) and set(got) == want and any(i >= 12 for f, i, j in want)
+
+
+def test_rotation_and_planes_of_all_rows(spark, tmp_path):
+    from stratacloud import queries
+
+    rng = np.random.default_rng(4)
+    near, far = rng.normal(0, 0.02, (110, 3)), rng.normal(0, 1, (40, 3)) + (5, 0, 0)
+    pts = np.concatenate([near, far]).astype(np.float32).astype(float)
+    spark.createDataFrame([(i, list(map(float, v)), 0) for i, v in enumerate(pts)], "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    seen = []
+    plain = facades.rotation_search
+    facades.rotation_search = lambda s, t, *a: seen.append((s.count(), t.count())) or plain(s, t, *a)
+    try:
+        r = queries.QUERIES["rotation_search"](spark, str(tmp_path)).first()
+    finally:
+        facades.rotation_search = plain
+    assert seen == [(150, 150)] and r.angle == 90 and r.distance < 1e-9
+    spark.createDataFrame([(k,) for k in range(25)], "n_nationkey int").write.parquet(str(tmp_path / "nation.parquet"))
+    planes = {r.plane: r.n for r in queries.QUERIES["ransac_planes"](spark, str(tmp_path)).collect()}
+    assert planes == dict.fromkeys(range(7), 100 * 21)  # the levels that the points of all walls share
+
+
+def test_rotation_distance_is_exact(spark):
+    rng = np.random.default_rng(5)
+    a, b = rng.normal(0, 1, (30, 3)), np.concatenate([rng.normal(0, 0.01, (80, 3)), rng.normal(0, 2, (10, 3))])
+    frame = lambda v: spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(v)], "pid long, x double, y double, z double")
+    want = np.sqrt(((a[:, None] - b[None]) ** 2).sum(axis=2)).min(axis=1).mean()
+    for target, least in ((b, want), (b * (1, 1, 0), None)):
+        angle, distance = facades.rotation_search(frame(a), frame(target), 0.7, [0.0])
+        assert angle == 0 and (least is None or math.isclose(distance, least))
