@@ -1,8 +1,9 @@
 """URL filters: rules by host and path, then link-graph propagation of trust and distrust for what no rule decides.
 
 A host's trust seed is the share of its pages that an allow rule decides, its distrust seed the share that a block rule
-decides. Trust flows along links by personalised PageRank; distrust flows against them (who links to blocked hosts).
-A host whose distrust exceeds its trust and the threshold is blocked; any other host is allowed.
+decides. Trust flows along links by personalised PageRank, in shares of the linking host's links; distrust flows against
+them (who links to blocked hosts), also in shares of the linking host's links, so that how many others link to a blocked host
+changes nothing. A host whose distrust exceeds its trust and the threshold is blocked; any other host is allowed.
 
 Links are aggregated to distinct host pairs with counts before anything is joined. The iteration moves (host, score)
 rows only; a host with very many links is one key on a sort-merge join that adaptive execution splits, and sums over
@@ -54,12 +55,13 @@ def host_links(pages: DataFrame) -> DataFrame:
     return links.filter("src <> dst AND src <> '' AND dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def personalised_rank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = 1e-9) -> DataFrame:
+def personalised_rank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = 1e-9, shares_of: str = "src") -> DataFrame:
     """edges(src, dst, n), seeds(host, seed) to host, score: score = (1 - damping) seed + damping * sum of the in-links'
-    shares. A host without out-links passes nothing on. Stops early when no score moves by more than the tolerance."""
+    shares, a link's share being of all links of its src, or of its dst. A host without out-links passes nothing on. Stops early
+    when no score moves by more than the tolerance."""
     base = durable(seeds.select("host", (F.col("seed") * (1 - damping)).alias("base")).filter("base > 0"))
-    out = edges.groupBy("src").agg(F.sum("n").alias("total"))
-    shares = durable(edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("share")))
+    out = edges.groupBy(shares_of).agg(F.sum("n").alias("total"))
+    shares = durable(edges.join(out, shares_of).select("src", "dst", (F.col("n") / F.col("total")).alias("share")))
     scores = base.withColumnRenamed("base", "score")
     if shares.isEmpty():
         return scores
@@ -80,7 +82,7 @@ def blocked_hosts(judged: DataFrame, edges: DataFrame, damping: float = DAMPING,
     share = lambda v: F.count_if(F.col("rule_verdict") == v) / F.count("*")
     seeds = durable(judged.filter("host <> ''").groupBy("host").agg(share("allow").alias("allow"), share("block").alias("block")))
     trust = personalised_rank(edges, seeds.select("host", F.col("allow").alias("seed")), damping)
-    distrust = personalised_rank(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n"), seeds.select("host", F.col("block").alias("seed")), damping)
+    distrust = personalised_rank(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n"), seeds.select("host", F.col("block").alias("seed")), damping, shares_of="dst")
     both = distrust.withColumnRenamed("score", "distrust").join(trust.withColumnRenamed("score", "trust"), "host", "left").na.fill(0.0, ["trust"])
     return both.filter((F.col("distrust") > F.col("trust")) & (F.col("distrust") > threshold * (1 - damping)))
 

@@ -110,6 +110,14 @@ def test_urls(spark):
     assert url_filter.filter_urls(df.limit(0), URL_RULES).count() == 0
 
 
+def test_blocked_host_with_many_linkers(spark):
+    link = lambda h: f'<a href="http://{h}/">'
+    pages = [(0, "http://x.net/es/1", None), *((k, f"http://only{k}.org/", link("x.net")) for k in range(1, 30)), (30, "http://some.org/", link("x.net") + link("good.org") * 3), (31, "http://second.org/", link("only1.org")), (32, "http://good.org/", None)]
+    verdicts = [{r.host: r.verdict for r in url_filter.filter_urls(spark.createDataFrame(p, "page_id long, url string, html string"), URL_RULES).collect()} for p in (pages, [pages[0], pages[1], *pages[-3:]])]
+    assert all(verdicts[0][f"only{k}.org"] == "block" for k in range(1, 30)) and verdicts[0]["some.org"] == verdicts[0]["good.org"] == "allow"
+    assert all(verdicts[0][h] == v for h, v in verdicts[1].items())
+
+
 def test_rank_against_dense(spark):
     rng = random.Random(4)
     edges = [(a, b, rng.randint(1, 3)) for a in "abcdefg" for b in "abcdefg" if a != b and rng.random() < 0.4]
