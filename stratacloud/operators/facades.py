@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -207,9 +208,11 @@ def voxels_on_walls(voxels: DataFrame, walls: DataFrame, size: float, reach: flo
     return voxels.join(small(w), ["i", "j"]).filter((F.abs(d) < reach) & (F.abs(t) <= width / 2) & c["z"].between(F.col("z_min"), F.col("z_max"))).select("idx", "state")
 
 
-def cloth_ground(points: DataFrame, cell: float = 0.5, threshold: float = 0.5, rounds: int = 100, stiffness: int = 3) -> DataFrame:
+def cloth_ground(points: DataFrame, cell: float = 0.5, threshold: float = 0.5, stiffness: int = 3, tolerance: float = 0.001) -> DataFrame:
     """points with ground: within a threshold of a cloth that falls on the inverted terrain and is pulled flat by its neighbours.
-    The cloth has one row a cell; each round is a join of neighbouring cells, cut by a checkpoint every few rounds."""
+    The cloth has one row a cell; each round is a join of neighbouring cells, cut by a checkpoint every few rounds. It starts at the
+    lowest cell and never sinks, nor rises over the terrain, so it comes to rest: rounds end when no cell moves by more than the
+    tolerance, however high the terrain is."""
     from .durable import cut
 
     p = points.withColumns({"i": F.floor(F.col("x") / cell).cast("long"), "j": F.floor(F.col("y") / cell).cast("long")})
@@ -217,13 +220,16 @@ def cloth_ground(points: DataFrame, cell: float = 0.5, threshold: float = 0.5, r
     top = terrain.agg(F.min("low")).first()[0]
     cloth = terrain.withColumn("h", F.lit(top))
     step = F.explode(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in ((1, 0), (-1, 0), (0, 1), (0, -1)))))
-    for n in range(1, rounds + 1):
+    for n in itertools.count(1):
         near = cloth.select("h", "i", "j", step.alias("s")).select((F.col("i") + F.col("s.a")).alias("i"), (F.col("j") + F.col("s.b")).alias("j"), "h").groupBy("i", "j").agg(F.avg("h").alias("mean"))
         pull = F.coalesce(F.col("mean"), F.col("h"))
         rise = F.col("h") + F.lit(cell * 0.3)
-        cloth = cloth.join(near, ["i", "j"], "left").select("i", "j", "low", F.least("low", F.least(rise, pull + F.lit(cell / stiffness))).alias("h"))
+        cloth = cloth.join(near, ["i", "j"], "left").select("i", "j", "low", F.least("low", F.least(rise, pull + F.lit(cell / stiffness))).alias("h"), F.col("h").alias("old"))
         if n % 5 == 0:
             cloth = cut(cloth)
+            moved = cloth.agg(F.max(F.col("h") - F.col("old"))).first()[0]
+            if moved is None or not moved > tolerance:
+                break
     return p.join(cloth.select("i", "j", "h"), ["i", "j"]).withColumn("ground", F.col("z") - F.col("h") <= threshold).drop("i", "j", "h")
 
 

@@ -680,7 +680,7 @@ def wall_voxels(spark, sf):
 
 @query()
 def cloth_ground(spark, sf):
-    return facades.cloth_ground(pts(spark, sf), 5.0, 1.0, rounds=10).groupBy("ground").agg(F.count("*").alias("n"))
+    return facades.cloth_ground(pts(spark, sf), 5.0, 1.0).groupBy("ground").agg(F.count("*").alias("n"))
 
 
 @query()

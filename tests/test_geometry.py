@@ -195,3 +195,11 @@ def test_rotation_distance_is_exact(spark):
     for target, least in ((b, want), (b * (1, 1, 0), None)):
         angle, distance = facades.rotation_search(frame(a), frame(target), 0.7, [0.0])
         assert angle == 0 and (least is None or math.isclose(distance, least))
+
+
+def test_cloth_reaches_high_ground(spark):
+    p = [(k, 0.25 + 0.5 * (k // 2), 0.25, 0.3 * (k // 2) + 4.0 * (k % 2)) for k in range(160)]
+    cloth = facades.cloth_ground(spark.createDataFrame(p, "pid long, x double, y double, z double"))
+    got = {r.pid: r.ground for r in cloth.collect()}
+    assert len(got) == 160 and all(got[k] == (k % 2 == 0) for k in got)
+    assert facades.cloth_ground(cloth.select("pid", "x", "y", "z").limit(0)).count() == 0
