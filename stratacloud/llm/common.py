@@ -14,6 +14,8 @@ U64 = np.uint64
 BLOCK_BYTES = 1 << 18
 #: Bytes and rows of an Arrow batch between an executor and its Python workers.
 BATCH_BYTES, BATCH_ROWS = 4 << 20, 2000
+#: Bytes of input files to a task of an explicit exchange, and ranges of doc_id at most.
+TASK_BYTES, MOST_RANGES = 128 << 20, 1 << 12
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -39,14 +41,22 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def task_count(spark: SparkSession) -> int:
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+def task_count(spark: SparkSession, df: DataFrame | None = None) -> int:
+    """Tasks for an explicit exchange: spark.sql.shuffle.partitions or the cores, and where the files behind df are known to be
+    larger, one for each TASK_BYTES of them."""
+    least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) if df is not None else 0
+    # a plan that doesn't know its size says a huge one
+    return max(least, -(-size // TASK_BYTES)) if size < 1 << 60 else least
 
 
-def range_bounds(docs: DataFrame, column: str, parts: int) -> np.ndarray:
-    """Ascending distinct values that cut a bigint column into at most that many ranges of about equal row counts."""
-    found = docs.agg(F.percentile_approx(column, [k / parts for k in range(1, parts)], 10_000)).first()[0] if parts > 1 else None
-    return np.array(sorted(set(found or [])), np.int64)
+def range_bounds(docs: DataFrame, column: str, rows: int) -> tuple[int, np.ndarray]:
+    """The number of rows, and ascending distinct values that cut a bigint column into ranges of about so many rows, at most
+    MOST_RANGES of them; one pass over the column."""
+    shares = ", ".join(f"{k / MOST_RANGES}D" for k in range(1, MOST_RANGES))
+    n, found = docs.agg(F.count("*"), F.expr(f"percentile_approx({column}, array({shares}), {4 * MOST_RANGES})")).first()
+    parts = min(MOST_RANGES, -(-n // rows))
+    return n, np.array(sorted({found[k * MOST_RANGES // parts - 1] for k in range(1, parts)} if found else []), np.int64)
 
 
 def range_of(column, bounds: np.ndarray):

@@ -28,6 +28,8 @@ LEXICON_LOG2 = 20
 #: Terms in at least 1 of 2000 and at most 1 of 5 documents.
 IDF_BAND = (math.log(5), math.log(2000))
 FAMILIES, DEPTH = 16, 16
+#: Documents to a range of doc_id.
+RANGE_DOCS = 4096
 _FIRST = -(1 << 63)
 
 
@@ -96,7 +98,7 @@ def with_next(docs: DataFrame, payload: list[str]) -> DataFrame:
     """
     docs = docs.withColumn("at", F.coalesce(F.col("doc_id"), F.lit(_FIRST)))
     parts = task_count(docs.sparkSession)
-    docs = docs.withColumn("range", range_of(F.col("at"), range_bounds(docs, "at", parts)))
+    docs = docs.withColumn("range", range_of(F.col("at"), range_bounds(docs, "at", RANGE_DOCS)[1]))
     firsts = sorted(tuple(r) for r in docs.groupBy("range").agg(F.min("at")).collect())
     before = {first: firsts[k - 1][0] for k, (_, first) in enumerate(firsts)}
     guest = F.create_map(*(F.lit(x) for pair in before.items() for x in pair))[F.col("at")] if before else F.lit(None).cast("int")

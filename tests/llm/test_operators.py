@@ -397,16 +397,43 @@ def test_tokens(docs, rows):
         start += len(ids)
 
 
-def test_tokenizer_and_shards():
+def test_tokens_by_dictionary(spark):
+    """A trained dictionary on a small table, raw content on a tiny one; null, repeated and extreme ids, a text of many cuts."""
+    import zstandard
+    from tokenizers import Tokenizer
+
+    path, rng = tokenizers.path("byte_bpe_50k.json"), random.Random(3)
+    t = Tokenizer.from_file(path)
+    many = [(i, T.prose(rng, 40), None, None, 0) for i in range(60)]
+    few = [(None, "null id", None, None, 0), (-(1 << 63), "least id", None, None, 0), (7, "b", None, None, 0), (7, "a a", None, None, 0), (8, None, None, None, 0)]
+    for rows, trained in ((many, True), (few, False)):
+        shards, dictionary = token_output.write_shards(T.table(spark, rows, clash=True), path, 2)
+        assert (zstandard.ZstdCompressionDict(dictionary).dict_id() > 0) == trained and len(dictionary) >= 8
+        image = bytes(shards.first().image)
+        assert token_output.HEAD.unpack_from(image)[-1] == hashlib.sha256(dictionary).digest()
+        out = sorted(token_output.read_documents(shards, dictionary).collect(), key=lambda r: r.start)
+        ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, len(r[1] or "")))
+        assert [r.doc_id for r in out] == [r[0] for r in ordered]
+        for r, row in zip(out, ordered, strict=True):
+            ids = np.array([*t.encode(row[1] or "", add_special_tokens=False).ids, 2], "<u4")
+            assert (r.n_tokens, r.ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
+@pytest.mark.parametrize("longest", [1 << 20, 5])
+def test_tokenizer_and_shards(monkeypatch, longest):
+    import pyarrow as pa
     from tokenizers import Tokenizer
 
     path = tokenizers.path("byte_bpe_50k.json")
+    monkeypatch.setattr(token_output, "LONGEST", longest)
+    monkeypatch.setattr(token_output, "CACHE_CHUNKS", 40)
     t, own = Tokenizer.from_file(path), token_output.ByteTokenizer(path)
     rng = random.Random(6)
-    parts = ["a", " b", " ", "\n", "é", "'s", "'ll", "12", "!", "  ", "中", "<|endoftext|>", "\x85", "　", "word", "\t", "_"]
-    for _ in range(3000):
-        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 9)))
-        assert np.frombuffer(own.encode(text), own.dtype).tolist() == t.encode(text, add_special_tokens=False).ids
+    parts = ["a", " b", " ", "\n", "é", "'s", "'ll", "12", "!", "  ", "中", "<|endoftext|>", "\x85", "　", "word", "\t", "_", "\x1c", " "]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 9))) for _ in range(3000)] + [" ".join(rng.choice(parts[3:]) for _ in range(30)) for _ in range(300)]
+    for k in range(0, len(texts), 300):
+        for text, ids in zip(texts[k : k + 300], own.encode(pa.array(texts[k : k + 300])), strict=True):
+            assert ids.tolist() == t.encode(text, add_special_tokens=False).ids
     import zstandard
 
     docs = [np.array([1, 2, 3], "<u2").tobytes(), np.array([2], "<u2").tobytes()]
