@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_bytes, small_batches, text_blocks, unit_hash
+from .common import column_bytes, durable, small_batches, text_blocks, unit_hash
 
 UNDETERMINED = "und"
 BUCKETS_LOG2, ORDERS, SMOOTHING = 15, (1, 2, 3), 0.5
 #: About so many documents of each language are learned from.
 DOCS_PER_LANG = 4000
-#: A language's name is a class only among so many, which bounds the matrix.
-MOST_LANGUAGES = 256
+#: Bound of the broadcast matrix, and languages whose counts are gathered at once.
+MATRIX_BYTES, TOGETHER = 1 << 30, 64
 _word = re.compile(r"[^\W\d_]")
 
 
@@ -66,16 +66,19 @@ def train(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, seed: int = 5) ->
     """Languages in order and their float32 matrix (languages, buckets + 2): log-probabilities, a zero column, priors."""
     small_batches(docs.sparkSession)
     learn = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~is_held_out(F.col("doc_id")))
-    sizes = learn.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MOST_LANGUAGES).collect()
+    width = (1 << BUCKETS_LOG2) + 2
+    most = MATRIX_BYTES // (4 * width)
+    sizes = learn.groupBy("lang").count().limit(most + 1).collect()
     langs = sorted(r["lang"] for r in sizes)
+    if len(langs) > most:
+        raise ValueError(f"lang has more than {most} values, whose matrix would exceed {MATRIX_BYTES} bytes")
     if not langs:
-        return [], np.zeros((0, (1 << BUCKETS_LOG2) + 2), np.float32)
+        return [], np.zeros((0, width), np.float32)
     rate = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], min(1.0, docs_per_lang / r["count"]))))
     sample = learn.filter(unit_hash(F.col("doc_id"), seed) < rate[F.col("lang")]).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = {x: k for k, x in enumerate(langs)}
-        width = (1 << BUCKETS_LOG2) + 1
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), column_bytes(batch.column(1))
@@ -84,18 +87,22 @@ def train(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, seed: int = 5) ->
                 for a, b in text_blocks(own):
                     for bucket in gram_buckets(own[a:b])[0]:
                         k = place[lang]
-                        sums[k] = sums.get(k, 0) + np.bincount(bucket, minlength=width)
+                        sums[k] = sums.get(k, 0) + np.bincount(bucket, minlength=width - 1)
         for k, found in sums.items():
             at = np.flatnonzero(found[:-1])
             yield pa.record_batch({"k": pa.array(np.full(len(at), k, np.int32)), "bucket": pa.array(at.astype(np.int32)), "n": pa.array(found[at].astype(np.int64))})
 
-    counts = sample.mapInArrow(count, "k int, bucket int, n bigint").groupBy("k", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    table = np.full((len(langs), 1 << BUCKETS_LOG2), SMOOTHING)
-    np.add.at(table, (counts["k"].to_numpy(np.int64), counts["bucket"].to_numpy(np.int64)), counts["n"].to_numpy(np.float64))
-    table = np.log(table) - np.log(table.sum(axis=1, keepdims=True))
+    counts = durable(sample.mapInArrow(count, "k int, bucket int, n bigint").groupBy("k", "bucket").agg(F.sum("n").alias("n")))
     docs_of = {r["lang"]: r["count"] for r in sizes}
-    prior = np.log([[docs_of[x]] for x in langs]) - np.log(sum(docs_of.values()))
-    return langs, np.concatenate([table, np.zeros((len(langs), 1)), prior], axis=1).astype(np.float32)
+    out = np.zeros((len(langs), width), np.float32)
+    for first in range(0, len(langs), TOGETHER):
+        some = langs[first : first + TOGETHER]
+        found = counts.filter((F.col("k") >= first) & (F.col("k") < first + TOGETHER)).toPandas()
+        table = np.full((len(some), 1 << BUCKETS_LOG2), SMOOTHING)
+        np.add.at(table, (found["k"].to_numpy(np.int64) - first, found["bucket"].to_numpy(np.int64)), found["n"].to_numpy(np.float64))
+        out[first : first + len(some), :-2] = np.log(table) - np.log(table.sum(axis=1, keepdims=True))
+        out[first : first + len(some), -1] = np.log([docs_of[x] for x in some]) - np.log(sum(docs_of.values()))
+    return langs, out
 
 
 def score_texts(texts: list[bytes], matrix: np.ndarray) -> np.ndarray:
