@@ -9,19 +9,23 @@ Links are aggregated to distinct host pairs with counts before anything is joine
 rows only; a host with very many links is one key on a sort-merge join that adaptive execution splits, and sums over
 a key are pre-aggregated. State is cut by checkpoints every few rounds.
 
-Null url or one without "://": host and path are empty. Null or empty html: no links. Repeated pages: each is judged and
-counted. An empty table gives an empty result. Columns of the input named like the results' are not read.
+Null url or one without "://": host and path are empty, and no propagation reaches it. Null or empty html: no links. Null
+page_id: judged as any. Repeated pages: each is judged and counted. Distrust equal to trust or to the threshold does not block. An empty table gives an empty result. Columns of the input named like the results' are not read.
 """
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import durable
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-DAMPING, ROUNDS, THRESHOLD = 0.85, 20, 0.5
+DAMPING, THRESHOLD = 0.85, 0.5
+#: Rounds go on until no score moves by more; a score is then within TOLERANCE * DAMPING / (1 - DAMPING) of its limit.
+TOLERANCE = 1e-6
 #: Rounds between checkpoints, and blocked hosts up to which their list is broadcast.
 CUT_EVERY, BROADCAST_HOSTS = 4, 200_000
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*((?:https?:)?//[^"'\s>]+)"""
@@ -55,26 +59,25 @@ def host_links(pages: DataFrame) -> DataFrame:
     return links.filter("src <> dst AND src <> '' AND dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def personalised_rank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = 1e-9, shares_of: str = "src") -> DataFrame:
+def personalised_rank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE, shares_of: str = "src") -> DataFrame:
     """edges(src, dst, n), seeds(host, seed) to host, score: score = (1 - damping) seed + damping * sum of the in-links'
-    shares, a link's share being of all links of its src, or of its dst. A host without out-links passes nothing on. Stops early
-    when no score moves by more than the tolerance."""
+    shares, a link's share being of all links of its src, or of its dst. A host without out-links passes nothing on. Each
+    round moves the scores by the damping less at least, so rounds end: when no score moves by more than the tolerance."""
     base = durable(seeds.select("host", (F.col("seed") * (1 - damping)).alias("base")).filter("base > 0"))
     out = edges.groupBy(shares_of).agg(F.sum("n").alias("total"))
     shares = durable(edges.join(out, shares_of).select("src", "dst", (F.col("n") / F.col("total")).alias("share")))
     scores = base.withColumnRenamed("base", "score")
     if shares.isEmpty():
         return scores
-    for k in range(1, rounds + 1):
+    for k in count(1):
         flow = shares.join(scores.withColumnRenamed("host", "src"), "src").groupBy(F.col("dst").alias("host")).agg((F.sum(F.col("share") * F.col("score")) * damping).alias("flow"))
         new = flow.join(base, "host", "full").select("host", (F.coalesce("flow", F.lit(0.0)) + F.coalesce("base", F.lit(0.0))).alias("score"))
-        if k % CUT_EVERY == 0 or k == rounds:
+        if k % CUT_EVERY == 0:
             new = durable(new)
             moved = new.join(scores.withColumnRenamed("score", "old"), "host", "full").agg(F.max(F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))).first()[0]
             if moved is None or moved <= tolerance:
                 return new
         scores = new
-    return scores
 
 
 def blocked_hosts(judged: DataFrame, edges: DataFrame, damping: float = DAMPING, threshold: float = THRESHOLD) -> DataFrame:
