@@ -214,8 +214,8 @@ def _removed(docs: DataFrame, span: int) -> DataFrame:
 
     types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
     docs = docs.select("doc", "extra", "text", "runs", "more")
-    extra = docs.schema["extra"].dataType.simpleString()
-    return docs.mapInArrow(cut, f"doc bigint, extra {extra}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string")
+    schema = docs.select("doc", "extra").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string").add("kept_text", "string")
+    return docs.mapInArrow(cut, schema)
 
 
 def remove_repeats(docs: DataFrame, span: int = SPAN, keep: list[str] | None = None) -> DataFrame:
@@ -229,7 +229,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, keep: list[str] | None = N
     names = [*_KEY, "start", "count", "kind", "gram"]
     runs = durable(_packed(rows.filter("kind = 1").select(*names).unionByName(_classes(once))))
     keep = keep or []
-    extra = F.struct(*(F.col(c).alias(f"c{k}") for k, c in enumerate(keep)), F.lit(None).cast("int").alias("none"))
+    extra = F.struct(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(keep)), F.lit(None).cast("int").alias("none"))
     whole = _keyed(docs, extra.alias("extra"))
     strings = _strings(whole.join(runs.filter(F.exists("runs", lambda r: r["kind"] == 2)), _KEY), span)
     strings = strings.repartition(parts, "key").sortWithinPartitions("key", *_KEY, "start")
