@@ -64,6 +64,34 @@ def test_language_degenerate(spark, empty):
     assert [r.lang_pred for r in langid.identify(T.table(spark, [(1, "text", None, None, 4), (None, "more", "en", None, 4)])).collect()] == ["und", "und"]
 
 
+def test_language_of_many_labels(spark, monkeypatch):
+    """300 labels, one letter pair each, and a bound that they exceed."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda k: letters[k // 26] + letters[k % 26]
+    rows = [(3000 * c + k, f"{word(k)}{word(k)} " * 30, f"l{k:03}", None, 0) for k in range(300) for c in range(3)]
+    out = {r.doc_id: r for r in langid.identify(T.table(spark, rows).repartition(4)).collect()}
+    assert np.mean([out[r[0]].lang_pred == r[2] for r in rows]) > 0.9 and len({r.lang_pred for r in out.values()}) > 280
+    monkeypatch.setattr(langid, "MATRIX_BYTES", 100 * 4 * ((1 << langid.BUCKETS_LOG2) + 2))
+    with pytest.raises(ValueError):
+        langid.identify(T.table(spark, rows))
+
+
+def test_language_training_counts(spark, rows, monkeypatch):
+    """The matrix from plain counts over all documents that may be learned from; languages are gathered two at a time."""
+    monkeypatch.setattr(langid, "TOGETHER", 2)
+    langs, matrix = langid.train(T.table(spark, rows).repartition(3))
+    learn = [r for r in rows if r[2] and r[1] is not None and zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    assert langs == sorted({r[2] for r in learn})
+    for lang, row in zip(langs, matrix, strict=True):
+        own = [r[1].encode() for r in learn if r[2] == lang]
+        counts = np.full(1 << langid.BUCKETS_LOG2, langid.SMOOTHING)
+        for t in own:
+            for buckets in langid.gram_buckets([t])[0]:
+                for x in buckets[buckets < len(counts)]:
+                    counts[x] += 1
+        assert np.allclose(row[:-2], np.log(counts / counts.sum()), atol=1e-5) and row[-2] == 0 and row[-1] == pytest.approx(np.log(len(own) / len(learn)))
+
+
 # 2
 
 
@@ -91,10 +119,72 @@ def test_imatch_degenerate(spark, empty):
     assert len(two) == 3
 
 
-def test_imatch_lexicon_band(spark):
+def plain_fingerprints(texts, band):
+    """Of each text the whole list's hash and the sub-lexicons' hashes, from document frequencies over texts."""
+    import regex
+    import xxhash
+
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    words = [{signed(xxhash.xxh64(w, seed=42).intdigest()) for w in regex.split(r"[^\p{L}\p{N}]+", t.lower()) if w} for t in texts]
+    low, high = len(texts) * np.exp(-band[1]), len(texts) * np.exp(-band[0])
+    df: dict = {}
+    for own in words:
+        for w in own:
+            df[w] = df.get(w, 0) + 1
+
+    def hashed(listed):
+        h = 42
+        for t in sorted(listed):
+            h = xxhash.xxh64((t % (1 << 64)).to_bytes(8, "little"), seed=h).intdigest()
+        return h
+
+    def of(text):
+        own = {signed(xxhash.xxh64(w, seed=42).intdigest()) for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w}
+        listed = {t for t in own if low <= df.get(t, 0) <= high} or own
+        out = [f"{hashed(listed) if listed else xxhash.xxh64(text, seed=42).intdigest():x}"]
+        for f in range(imatch.FAMILIES):
+            for d in imatch.DEPTHS:
+                mask = sum(1 << (imatch.BITS * f + k) % 64 for k in range(d))
+                left = [t for t in listed if t & mask == mask & imatch.SEED]
+                out.append(f"{hashed(left) >> 32:x}" if left else "-")
+        return out
+
+    return of
+
+
+def plain_likeness(a, b):
+    if a[0] == b[0]:
+        return 1.0
+    either = sum(x != "-" or y != "-" for x, y in zip(a[1:], b[1:]))
+    return sum(x == y != "-" for x, y in zip(a[1:], b[1:])) / either if either else 0.0
+
+
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_imatch_against_plain(docs, rows, monkeypatch, most):
+    """With the lexicon in the tasks and with the joined one; the band's edges are met exactly."""
+    monkeypatch.setattr(imatch, "LEXICON_TERMS", most)
+    ordered = sorted(((r[0], r[1] or "") for r in rows))
+    n = len(ordered)
+    band = (np.log(n / 8) - 1e-9, np.log(n / 2) + 1e-9)
+    of = plain_fingerprints([t for _, t in ordered], band)
+    out = sorted(imatch.fingerprint_edits(docs, band).collect(), key=lambda r: (r.doc_id, r.fingerprint))
+    for k, (r, (doc_id, text)) in enumerate(zip(out, ordered, strict=True)):
+        following = ordered[(k + 1) % n][1]
+        half = len(text) // 2
+        own, edited, after = of(text), of(text[: len(text) - half] + following[:half]), of(following)
+        assert (r.doc_id, r.fingerprint, r.edited_fingerprint) == (doc_id, ".".join(own), ".".join(edited))
+        assert r.near_edited == pytest.approx(plain_likeness(own, edited)) and r.near_next == pytest.approx(plain_likeness(own, after))
+    assert len({r.near_edited for r in out}) > 10
+
+
+def test_imatch_lexicon(spark):
     t = T.table(spark, [(i, f"every word{i} {'half' if i % 2 else ''}", None, None, 0) for i in range(10)])
-    bits = np.unpackbits(imatch.lexicon(t, (0.1, 1.5)).view(np.uint8)).sum()
-    assert bits == 1  # only "half" is neither in all nor in one
+    assert imatch.lexicon(t, (0.1, 1.5)).count() == 1  # only "half" is neither in all nor in one
+    members = np.random.default_rng(1).integers(-(1 << 63), 1 << 63, 5000)
+    tables, rest = imatch.hash_tables(members)
+    found = [x for table in tables for x in table if x is not None]
+    assert sorted([*found, *rest]) == sorted(members) and len(rest) < 50
+    assert [len(t) for t in imatch.hash_tables(np.zeros(0, np.int64))[0]] == [2] * imatch.LEVELS
 
 
 # 3
@@ -121,13 +211,56 @@ def test_blocked_host_with_many_linkers(spark):
 def test_rank_against_dense(spark):
     rng = random.Random(4)
     edges = [(a, b, rng.randint(1, 3)) for a in "abcdefg" for b in "abcdefg" if a != b and rng.random() < 0.4]
-    got = {r.host: r.score for r in url_filter.personalised_rank(spark.createDataFrame(edges, "src string, dst string, n long"), spark.createDataFrame([("a", 1.0), ("b", 0.5)], "host string, seed double"), rounds=60).collect()}
+    got = {r.host: r.score for r in url_filter.personalised_rank(spark.createDataFrame(edges, "src string, dst string, n long"), spark.createDataFrame([("a", 1.0), ("b", 0.5)], "host string, seed double")).collect()}
     names = "abcdefg"
     m = np.zeros((7, 7))
     for a, b, n in edges:
         m[names.index(b), names.index(a)] += n / sum(e[2] for e in edges if e[0] == a)
     want = np.linalg.solve(np.eye(7) - 0.85 * m, 0.15 * np.array([1, 0.5, 0, 0, 0, 0, 0]))
-    assert all(abs(got.get(h, 0) - w) < 1e-3 for h, w in zip(names, want))
+    assert all(abs(got.get(h, 0) - w) < 1e-5 for h, w in zip(names, want))
+
+
+def test_rank_of_a_long_ring(spark):
+    """A ring passes everything on: twenty rounds would leave a share of 0.85 ** 20 unsettled."""
+    edges = [(f"h{k}", f"h{(k + 1) % 3}", 1) for k in range(3)]
+    got = {r.host: r.score for r in url_filter.personalised_rank(spark.createDataFrame(edges, "src string, dst string, n long"), spark.createDataFrame([("h0", 1.0)], "host string, seed double")).collect()}
+    assert all(got[f"h{k}"] == pytest.approx(0.15 * 0.85**k / (1 - 0.85**3), abs=1e-5) for k in range(3))
+
+
+def test_urls_against_plain(spark):
+    """Verdicts of all pages of a random graph with a hot host, from dense linear equations."""
+    rng = random.Random(12)
+    hosts = [f"h{k}.org" for k in range(25)] + ["a.com", "b.com", "x.net", "y.net", "example.com"]
+    pages = []
+    for k in range(260):
+        host = "h0.org" if k % 3 == 0 else rng.choice(hosts)
+        path = rng.choice(["/", "/es/a", "/fr/b", "/en/c", ""])
+        links = "".join(rng.choice([f'<a href="http://{h.upper()}/z">', f"<A HREF=//{h}>", f"<link href='https://{h}?q'>", '<a href="/here">']) for h in rng.choices(hosts, k=rng.randint(0, 4)))
+        pages.append((None if k == 7 else k, f"http://{host}{path}", links if k % 11 else None))
+    out = url_filter.filter_urls(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3), URL_RULES).collect()
+    import re
+
+    rules, n = sorted(URL_RULES, key=lambda r: -len(r[1])), len(hosts)
+    place = {h: k for k, h in enumerate(hosts)}
+    links, seeds, judged = np.zeros((n, n)), np.zeros((n, 3)), []
+    for page_id, url, html in pages:
+        host, _, path = url[7:].partition("/")
+        path = "/" + path if "/" in url[7:] else ""
+        verdict, rule = next(((v, r) for v, r in rules if (host == r.split("/", 1)[0] or host.endswith("." + r.split("/", 1)[0])) and path.startswith("/" + r.split("/", 1)[1])), (None, None))
+        judged.append((page_id, host, path, rule, verdict))
+        seeds[place[host]] += (verdict == "allow", verdict == "block", 1)
+        for h in re.findall(r"(?i)href=[\"']?(?:https?:)?//([^/?\"'>]+)", html or ""):
+            if (to := h.lower()) != host:
+                links[place[host], place[to]] += 1
+    share = links / np.maximum(links.sum(axis=1, keepdims=True), 1)
+    allow, block = (seeds[:, k] / np.maximum(seeds[:, 2], 1) for k in (0, 1))
+    trust = np.linalg.solve(np.eye(n) - 0.85 * share.T, 0.15 * allow)
+    distrust = np.linalg.solve(np.eye(n) - 0.85 * share, 0.15 * block)
+    blocked = (distrust > trust) & (distrust > 0.5 * 0.15)
+    want = [(i, h, p, r, v or ("block" if blocked[place[h]] else "allow")) for i, h, p, r, v in judged]
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(tuple, out), key=key) == sorted(want, key=key)
+    assert {v for _, h, _, r, v in want if r is None} == {"allow", "block"}
 
 
 # 4
@@ -379,6 +512,22 @@ def test_top_k(spark):
     assert topk.exact_top_k(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_top_k_of_repeated_ids(spark, monkeypatch):
+    """Copies of a row, other rows with its id, several blocks; vectors of different lengths, zeros, clashing columns."""
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(topk, "LEAST_BLOCK", 8)
+    rng = random.Random(2)
+    rows = [(rng.randrange(40), [rng.choice([0.0, 0.25, -0.5, 1.0]) for _ in range(rng.choice([3, 6]))]) for _ in range(90)] + [(5, [1.0] * 6)] * 9 + [(None, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({c: F.lit("clash") for c in ("rank", "query_id", "terms", "own", "copies", "one")}).repartition(5)
+    got = sorted(tuple(r) for r in topk.exact_top_k(df, F.col("vec_id") % 5 == 0).collect())
+    want, real = [], [r for r in rows if r[0] is not None]
+    for k, (i, v) in enumerate(real):
+        if i % 5 == 0:
+            scores = sorted((-sum(int(np.floor(256 * x)) * int(np.floor(256 * y)) for x, y in zip(v, w)), j) for m, (j, w) in enumerate(real) if m != k)
+            want += [(i, rank + 1, j, -s) for rank, (s, j) in enumerate(scores[:5])]
+    assert got == sorted(want)
+
+
 # 9
 
 

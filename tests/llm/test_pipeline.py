@@ -50,3 +50,41 @@ def test_stages(spark, tmp_path):
     want = [(r.doc_id, hashlib.sha256(" ".join(map(str, sp.encode(r.text, add_eos=True))).encode()).hexdigest()) for r in kept["mixing"]]
     assert count([(r.doc_id, r.ids_sha256) for r in kept["sentencepiece"]]) == count(want)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(want)
+
+
+CLASHES = ["lang_pred", "score", "dropped_id", "n_bytes", "kept_text", "extra", "mix_size", "mix_copy", "mix_copies", "place", "ord", "component", "kept", "row", "c0", "REST", "a.b", "n"]
+
+
+def test_stages_keep_clashing_columns(spark):
+    """Nulls in every column, empty and long texts, repeated rows, and extra columns named like the operators' own."""
+    from pyspark.sql import functions as F
+
+    rows = T.documents(40, seed=6)
+    rows += [(None, rows[1][1], None, None, None), (None, None, None, None, None), (2000, T.prose(__import__("random").Random(1), 30_000), "en", "src0", 0)]
+    docs = T.table(spark, rows).withColumns({c: F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))) for c in CLASHES}).repartition(3).cache()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns and out.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
+        got = out.collect()
+        assert got and all(r[c] == f"{c} of {'null' if r.doc_id is None else r.doc_id}" for r in got for c in CLASHES)
+        texts = {(r[0], r[1]) for r in rows}
+        if name != "suffix_dedup":
+            assert all((r.doc_id, r.text) in texts for r in got)
+        else:
+            assert len(got) == len(rows)
+        if name == "language_id":
+            assert all(any(c.isalpha() for c in r.text or "") for r in got) and 2000 in {r.doc_id for r in got}
+        if name == "near_dedup":
+            assert sum(r.doc_id == rows[4][0] for r in got) in (0, 2) and sum(r.doc_id is None for r in got) == 2
+        if name == "mixing":
+            assert all(r.text for r in got)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == len(rows)
+
+
+def test_stages_of_empty_tables(spark, tmp_path):
+    empty = T.table(spark, [], clash=True)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, empty, "")
+        assert out.count() == 0 and (out.columns == empty.columns) == (name != "sentencepiece")
+    empty.write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
