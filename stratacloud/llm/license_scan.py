@@ -8,8 +8,9 @@ later rules do not see them. Everything is a DataFrame expression over single ro
 A line break ends a sentence unless the lines go on to a known sentence: one that is wrapped over any number of lines, with or
 without comment leaders, is joined first and counts as one sentence. It starts and ends where a line or a sentence does, and
 goes on over a sentence's end or a blank line only before a URL. Known sentences may be followed by (the "License"), and
-titles of license files are known too. The SQL of scan_sql knows neither these nor wrapped sentences, and agrees with
-scan_licenses on texts that have none of them.
+titles of license files are known too, and sentences with a gap for a name. The SQL of scan_sql knows neither these nor wrapped
+sentences, and agrees with scan_licenses on texts that have none of them. What is left of a list's marks (a number, a letter) is
+no sentence.
 
 Null or empty text: no sentence, no license. Repeated rows: each has its row. Texts are taken whole. An empty table gives an
 empty result. Other columns are not read.
@@ -17,6 +18,9 @@ empty result. Other columns are not read.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +28,12 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BREAK = r"([.!?;])[ \t\r\n\f]+"
 UNDER = (
     "^(this (work|file|software|program|project|document|code|package|library) is )?"
-    "(free software )?(licensed|released|distributed|published|available|made available|provided) under (the )?(terms of )?(the )?"
+    "(free software )?(licensed|released|distributed|published|available|made available|provided) under (the )?(terms of )?(the |an? )?"
 )
+#: What a list's mark leaves of itself.
+MARK = "^([0-9]{1,2}|[a-z])$"
+#: One of these stands in every known sentence: texts without any have none.
+TRIGGERS = ["licen", "permission", "redistribut", "as is", "copyright", "public domain", "gpl", "cc by", "cc0", "mpl", "under"]
 #: Known sentences, normalised, by identifier.
 KNOWN = {
     "apache2": ["under apache license version 2 0", "under apache license 2 0", "under apache 2 0 license"],
@@ -45,12 +53,49 @@ KNOWN = {
     "bsd2": ["under bsd 2 clause license"],
     "bsd3": ["under bsd 3 clause license", "under bsd license"],
     "bsdgrant": ["redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"],
-    "ccby4": ["under cc by 4 0", "under creative commons attribution 4 0 international license"],
-    "ccbysa4": ["under cc by sa 4 0", "under creative commons attribution sharealike 4 0 international license"],
-    "ccbync4": ["under cc by nc 4 0", "under creative commons attribution noncommercial 4 0 international license"],
+    "ccby4": ["under cc by 4 0", "under creative commons attribution 4 0 international license", "under creative commons attribution 4 0 international"],
+    "ccbysa4": ["under cc by sa 4 0", "under creative commons attribution sharealike 4 0 international license", "under creative commons attribution sharealike 4 0 international"],
+    "ccbync4": ["under cc by nc 4 0", "under creative commons attribution noncommercial 4 0 international license", "under creative commons attribution noncommercial 4 0 international"],
     "cc0": ["under cc0 1 0", "under cc0 1 0 universal"],
     "unlicense": ["this is free and unencumbered software released into the public domain"],
+    "bsdsource": ["redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"],
+    "bsdbinary": ["redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"],
+    "bsdname": ["neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"],
+    "isc": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"],
+    "zlib": ["permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions"],
+    "boost": ["under boost software license version 1 0"],
+    "epl2": ["this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0"],
+    "mplform": ["this source code form is subject to the terms of the mozilla public license v"],
+    "mplcopy": ["if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0", "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0"],
 }
+KNOWN["apache2copy"] += ["you may obtain a copy of the license at https www apache org licenses license 2 0"]
+#: The foundation's licenses in file headers: names and versions by identifier; a header is one sentence or cut at semicolons.
+GNU = {"gpl": ("gnu general public license", ("2", "3")), "lgpl": ("gnu lesser general public license", ("2 1", "3")), "agpl": ("gnu affero general public license", ("3",))}
+for _name, (_title, _versions) in GNU.items():
+    _you = f"you can redistribute it and or modify it under the terms of the {_title}"
+    _as = "as published by the free software foundation"
+    _free = [f"this {x} is free software " for x in ("program", "library", "file", "software")]
+    KNOWN[f"{_name}you"] = [f"{x}{_you} {_as}" for x in ("", *_free)]
+    for _v in _versions:
+        _key = f"{_name}{_v.replace(' ', '')}"
+        _later = [f"{_either} {_v} of the license or at your option any later version" for _either in ("either version", "version")]
+        KNOWN[f"{_key}later"] = [f"{x}{_you} {_as} {y}" for x in ("", *_free) for y in _later]
+        KNOWN[f"{_key}header"] = [f"{x}{_you} version {_v} {_as}" for x in ("", *_free)] + [f"{x}{_you} {_as} version {_v}{y}" for x in ("", *_free) for y in ("", " of the license", " only")]
+        for _part, _texts in (("either", _later), ("version", [f"version {_v} of the license"])):
+            for _t in _texts:
+                KNOWN.setdefault(f"v{_v.replace(' ', '')}{_part}", [])
+                KNOWN[f"v{_v.replace(' ', '')}{_part}"] += [_t] * (_t not in KNOWN[f"v{_v.replace(' ', '')}{_part}"])
+#: License names of file tags.
+TAGGED = (
+    "MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Zlib", "BSL-1.0", "EPL-2.0", "MPL-2.0", "Unlicense", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "GPL-2.0", "GPL-2.0-only",
+    "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0", "AGPL-3.0-only",
+    "AGPL-3.0-or-later", "MIT OR Apache-2.0", "Apache-2.0 OR MIT", "Apache-2.0 WITH LLVM-exception",
+)
+for _tag in TAGGED:
+    _plain_tag = _tag.lower().replace("-", " ").replace(".", " ")
+    KNOWN["tag" + _plain_tag.replace(" ", "")] = [f"spdx license identifier {_plain_tag}"]
+#: Sentences with a gap (*) of one to twelve words, by identifier.
+GAPPED = {"bsdname": ["neither the name of * nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"]}
 #: Titles of license files, normalised, by identifier.
 TITLES = {
     "apache2": ["apache license version 2 0 january 2004", "apache license version 2 0"],
@@ -68,9 +113,20 @@ TITLES = {
 RULES = [
     ("MIT", ["mitgrant", "mitnotice", "asis"]), ("MIT", ["mitgrant", "mitnotice"]), ("MIT", ["mitgrant"]), ("MIT", ["mit"]),
     ("Apache-2.0", ["apache2", "apache2use", "apache2copy"]), ("Apache-2.0", ["apache2use", "apache2copy"]), ("Apache-2.0", ["apache2"]),
+    ("MPL-2.0", ["mplform", "-", "mplcopy"]), ("MPL-2.0", ["mplform", "-"]), ("MPL-2.0", ["mplcopy"]),
+    ("BSD-3-Clause", ["bsdgrant", "bsdsource", "bsdbinary", "bsdname"]), ("BSD-2-Clause", ["bsdgrant", "bsdsource", "bsdbinary"]),
+]
+for _name, (_, _versions) in GNU.items():
+    for _v in _versions:
+        _key, _short = f"{_name}{_v.replace(' ', '')}", f"v{_v.replace(' ', '')}"
+        _license = f"{_name.upper()}-{_v.replace(' ', '.') if ' ' in _v else _v + '.0'}"
+        RULES += [(f"{_license}-or-later", [f"{_name}you", f"{_short}either"]), (f"{_license}-or-later", [f"{_key}later"]), (_license, [f"{_name}you", f"{_short}version"]), (_license, [f"{_key}header"])]
+RULES += [
     ("GPL-3.0-or-later", ["gpl3plus"]), ("GPL-3.0", ["gpl3"]), ("GPL-2.0", ["gpl2"]), ("LGPL-2.1", ["lgpl21"]), ("LGPL-3.0", ["lgpl3"]), ("AGPL-3.0", ["agpl3"]),
     ("MPL-2.0", ["mpl2"]), ("BSD-2-Clause", ["bsd2"]), ("BSD-3-Clause", ["bsd3"]), ("BSD", ["bsdgrant"]),
     ("CC-BY-NC-4.0", ["ccbync4"]), ("CC-BY-SA-4.0", ["ccbysa4"]), ("CC-BY-4.0", ["ccby4"]), ("CC0-1.0", ["cc0"]), ("Unlicense", ["unlicense"]),
+    ("ISC", ["isc"]), ("Zlib", ["zlib"]), ("BSL-1.0", ["boost"]), ("EPL-2.0", ["epl2"]),
+    *((tag, [f"tag{tag.lower().replace('-', '').replace('.', '').replace(' ', '')}"]) for tag in TAGGED),
 ]
 
 
@@ -85,7 +141,11 @@ def _plain(s: Column) -> Column:
 def sentences(text: Column) -> Column:
     """Normalised sentences, without empty ones."""
     lines = F.split(F.regexp_replace(text, BREAK, "$1\n"), "\n")
-    return F.filter(F.transform(lines, lambda s: F.regexp_replace(_plain(s), UNDER, "under ")), lambda s: s != "")
+    return _spoken(F.transform(lines, lambda s: F.regexp_replace(_plain(s), UNDER, "under ")))
+
+
+def _spoken(pieces: Column) -> Column:
+    return F.filter(pieces, lambda s: (s != "") & ~F.rlike(s, F.lit(MARK)))
 
 
 def _wrapped(known: dict[str, list[str]]) -> Column:
@@ -95,8 +155,10 @@ def _wrapped(known: dict[str, list[str]]) -> Column:
     for t, name in texts:
         words = t.removeprefix("under ")
         body = (UNDER.removeprefix("^") if words != t else "") + words
-        body = body.replace(" http ", "\n+http ").replace(" ", "[ \n]").replace("\n+http", "[ \n]\n*http")
-        rows.append(F.struct(F.lit(words.partition(" http ")[0]).alias("words"), F.lit(f"(?<=\n){body}(?:[ \n]the[ \n]license)?(?=\n)").alias("pattern"), F.lit(f"#{name}").alias("mark")))
+        body = re.sub(" (https?) ", "\n+\\1 ", body).replace(" ", "[ \n]").replace("[ \n]*[ \n]", "(?:[ \n][a-z0-9]+){1,12}[ \n]").replace("\n+http", "[ \n]\n*http")
+        # list marks and what comment leaders leave may stand in front
+        held = max(re.split(r" https? | \* ", words), key=len)
+        rows.append(F.struct(F.lit(held).alias("words"), F.lit(f"(?<=\n)(?:(?:[0-9]{{1,2}}|[a-z]) )?{body}(?:[ \n]the[ \n]license)?(?=\n)").alias("pattern"), F.lit(f"#{name}").alias("mark")))
     return F.array(*rows)
 
 
@@ -108,13 +170,15 @@ def joined_sentences(text: Column, known: dict[str, list[str]]) -> Column:
 
     let = lambda value, f: F.transform(F.array(value), f)[0]  # noqa: E731 - a value that is worked out once
     replaced = lambda m, flat: F.aggregate(F.filter(_wrapped(known), lambda row: F.contains(flat, row["words"])), m, lambda out, row: F.regexp_replace(out, row["pattern"], row["mark"]))
-    marked = let(marked, lambda m: let(F.replace(m, F.lit("\n"), F.lit(" ")), lambda flat: replaced(m, flat)))
-    return F.filter(F.transform(F.split(marked, "\n"), lambda s: F.regexp_replace(s, UNDER, "under ")), lambda s: s != "")
+    flat = lambda m: F.regexp_replace(m, "\n+", " ")
+    some = lambda x: reduce(Column.__or__, (F.contains(x, F.lit(t)) for t in TRIGGERS))
+    marked = let(marked, lambda m: let(flat(m), lambda x: F.when(some(x), replaced(m, x)).otherwise(m)))
+    return _spoken(F.transform(F.split(marked, "\n"), lambda s: F.regexp_replace(s, UNDER, "under ")))
 
 
-def scan_licenses(docs: DataFrame, known: dict[str, list[str]] = KNOWN, rules: list[tuple[str, list[str]]] = RULES, titles: dict[str, list[str]] = TITLES) -> DataFrame:
+def scan_licenses(docs: DataFrame, known: dict[str, list[str]] = KNOWN, rules: list[tuple[str, list[str]]] = RULES, titles: dict[str, list[str]] = TITLES, gapped: dict[str, list[str]] = GAPPED) -> DataFrame:
     """docs(doc_id, text): doc_id, n_sentences, n_known, identifiers (known ones in order), licenses (names in rule order)."""
-    every = {name: [*known.get(name, []), *titles.get(name, [])] for name in [*known, *(x for x in titles if x not in known)]}
+    every = {name: [t for kind in (known, titles, gapped) for t in kind.get(name, [])] for name in dict.fromkeys([*known, *titles, *gapped])}
     out = docs.select("doc_id", F.coalesce(joined_sentences(F.col("text"), every), F.array().cast("array<string>")).alias("s"))
     out = out.select("doc_id", F.size("s").cast("long").alias("n_sentences"), F.transform("s", lambda s: F.when(s.startswith("#"), F.substring(s, 2, 100)).otherwise("-")).alias("ids"))
     found = F.filter("ids", lambda i: i != "-")
@@ -136,7 +200,7 @@ def scan_sql(table: str = "documents", known: dict[str, list[str]] = KNOWN, rule
     sql = f"""
     WITH cut AS (
       SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(coalesce(text, ''), '([.!?;])[ \\t\\r\\n\\f]+', '\\1' || chr(10), 'g'), chr(10)),
-        lambda s: regexp_replace(trim(regexp_replace(translate(s, '{UPPER}', '{LOWER}'), '[^a-z0-9]+', ' ', 'g')), '{UNDER}', 'under ')), lambda s: s <> '') AS s
+        lambda s: regexp_replace(trim(regexp_replace(translate(s, '{UPPER}', '{LOWER}'), '[^a-z0-9]+', ' ', 'g')), '{UNDER}', 'under ')), lambda s: s <> '' AND NOT regexp_matches(s, '{MARK}')) AS s
       FROM {table}),
     known AS (
       SELECT doc_id, len(s) AS n_sentences, list_transform(s, lambda x: coalesce(MAP {{{pairs}}}[x], '-')) AS ids FROM cut),
