@@ -479,6 +479,63 @@ modification, are permitted provided that the following conditions are met:
 
 1. Redistributions of source code must retain the above copyright notice.
 """
+BSD2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+GPL2 = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+"""
+GPL3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+"""
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+
+
+def test_standard_licenses(spark):
+    """Texts and headers as they are published, plain, commented and unwrapped, and tags and notices of one line."""
+    comment = lambda lead: lambda t: "".join(f"{lead} {x}\n" for x in t.splitlines())
+    unwrapped = lambda t: "\n\n".join(" ".join(x.split()) for x in t.split("\n\n"))
+    wanted = [(APACHE, "Apache-2.0"), (MIT, "MIT"), (BSD2, "BSD-2-Clause"), (BSD3, "BSD-3-Clause"), (BSD3.replace("the copyright holder", "Some Company, Inc"), "BSD-3-Clause"), (GPL2, "GPL-2.0-or-later"), (GPL3, "GPL-3.0-or-later"), (LGPL, "LGPL-2.1-or-later"), (MPL, "MPL-2.0"), (ISC, "ISC")]
+    texts = [(f(t), name) for t, name in wanted for f in (str, comment(" *"), comment("//"), comment("#"), unwrapped)]
+    texts += [(f"x = 1  \n{lead} SPDX-License-Identifier: {tag}\nimport y", tag) for lead, tag in (("//", "MIT"), ("#", "Apache-2.0"), ("/*", "GPL-2.0-or-later"), (" *", "BSD-3-Clause"), ("//", "MIT OR Apache-2.0"))]
+    texts += [("This work is licensed under a Creative Commons Attribution 4.0 International License.", "CC-BY-4.0"), ("This work is licensed under a Creative\nCommons Attribution-ShareAlike 4.0\nInternational License.", "CC-BY-SA-4.0"), ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"), ("MIT License\n\nCopyright (c) 2020", "MIT"), ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n", "GPL-3.0"), (GPL2.replace("; either version 2 of the License, or\n(at your option) any later version.", "; version 2 of the License."), "GPL-2.0")]
+    texts += [("No license is granted here. Ask for permission first.", ""), ("We drove under the bridge of the license office; version 2 was better.", ""), (None, ""), ("", ""), ("plain words " * 50_000 + "\n" + GPL3, "GPL-3.0-or-later")]
+    got = {r.doc_id: r for r in license_scan.scan_licenses(spark.createDataFrame([(k, t) for k, (t, _) in enumerate(texts)], "doc_id long, text string").repartition(4)).collect()}
+    assert [(got[k].licenses, t) for k, (t, _) in enumerate(texts)] == [(name, t) for t, name in texts]
+    every = [t for d in (license_scan.KNOWN, license_scan.TITLES, license_scan.GAPPED) for ts in d.values() for t in ts]
+    assert all(any(x in t for x in license_scan.TRIGGERS) for t in every)
 
 
 def test_wrapped_licenses(spark):
