@@ -73,10 +73,16 @@ def anchored_runs(texts: list[bytes], span: int) -> Runs:
     return Runs(*out)
 
 
-def sides(texts: list[bytes], span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For texts that are one run each (the bytes that its windows cover): which text, first window, windows, and a key, once or
-    twice a text. A window reaches half its free bytes or more beyond its anchor's k-gram on the left, or else on the right;
-    windows of one side that are equal have equal longer grams on that side, whose hash is the key."""
+def longer_gram(span: int) -> int:
+    """Bytes of the grams that sides() deals by: the anchor's and half of what a window has beyond it."""
+    return GRAM + (span - GRAM) // 2
+
+
+def sides(texts: list[bytes], span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For texts that are one run each (the bytes that its windows cover): which text, first window, windows, a key, and where in
+    the windows' bytes its gram is; once or twice a text. A window reaches half its free bytes or more beyond its anchor's k-gram
+    on the left, or else on the right; windows of one side that are equal have equal longer grams on that side, whose hash is
+    the key, at equal places."""
     runs = anchored_runs(texts, span)
     if len(runs.text) != len(texts):
         raise ValueError("each text must be one run")
@@ -86,5 +92,7 @@ def sides(texts: list[bytes], span: int) -> tuple[np.ndarray, np.ndarray, np.nda
     prefix, at, n = _regions.prefix(data), bounds + runs.anchor, runs.count
     split = np.clip(runs.anchor - half + 1, 0, n)  # windows before it are the left side's
     left, right = np.flatnonzero(split > 0), np.flatnonzero(split < n)
-    keys = [mix(_regions.spans(prefix, at[left] - half, at[left] + GRAM) ^ U64(1)), mix(_regions.spans(prefix, at[right], at[right] + span - half) ^ U64(2))]
-    return np.concatenate([left, right]), np.concatenate([np.zeros(len(left), np.int64), split[right]]), np.concatenate([split[left], (n - split)[right]]), np.concatenate(keys).view(np.int64)
+    keys = [mix(_regions.spans(prefix, at[left] - half, at[left] + GRAM) ^ U64(1)), mix(_regions.spans(prefix, at[right], at[right] + GRAM + half) ^ U64(2))]
+    first = np.concatenate([np.zeros(len(left), np.int64), split[right]])
+    place = np.concatenate([runs.anchor[left] - half, runs.anchor[right]]) - first
+    return np.concatenate([left, right]), first, np.concatenate([split[left], (n - split)[right]]), np.concatenate(keys).view(np.int64), place

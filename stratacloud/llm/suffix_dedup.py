@@ -8,13 +8,17 @@ Documents are ordered by id, then by position; matches never cross documents; st
    No pair of rows is ever made; a batch sends each class once.
 2. Suffix order. For those first rows, the covered bytes (SPAN to about 2 SPAN) are cut into the windows that reach far to the
    left of the anchor and those that reach far to the right, and dealt by the longer gram on that side, which also takes apart
-   an anchor that very many documents have. A string alone with its gram is done. For the others the collection's
-   Burrows-Wheeler transform and common prefixes are built column by column, one symbol of each string a round (see
-   collection_bwt). Neighbouring suffixes whose common prefix reaches SPAN are equal windows; all but the earliest are repeats.
+   an anchor that very many documents have. A string alone with its gram is done. In the others the gram, which equal windows
+   have at equal places, is written as DIGITS symbols that occur nowhere else, one number for each distinct gram (its bytes, not
+   its hash). The collection's Burrows-Wheeler transform and common prefixes are built column by column, one symbol of each
+   string a round, through sequential files (see collection_bwt). Neighbouring suffixes whose common prefix reaches a window's
+   symbols are equal windows; all but the earliest are repeats.
 3. Removal. Each document's repeated runs are merged and cut out of its bytes.
 
 The column-wise construction takes as many passes over the transform as the longest string has symbols; on whole texts that
-is up to 100,000 passes over all data. Step 1 leaves it strings of bounded length, and exactly those in which it decides.
+is up to 100,000 passes over all data. Step 1 leaves it strings of bounded length, and exactly those in which it decides. In
+step 1 rows are equal if two independent 64-bit hashes are, of the anchor's gram and of all covered bytes with the anchor's place:
+over 10^10 rows two different ones meet with a chance below 10^-18.
 
 Null or empty text, or one shorter than SPAN bytes: nothing is removed. Rows that repeat doc_id and text are one document and
 get the same result; rows that share a doc_id but not the text are ordered by a hash of the text. A null doc_id sorts first.
@@ -32,13 +36,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import anchored_runs, sides
-from .collection_bwt import repeated_windows
+from .anchors import anchored_runs, longer_gram, sides
+from .collection_bwt import Strings, repeated_windows
 from .common import column_bytes, durable, small_batches, task_count, text_blocks
 
 SPAN = 100
-#: Strings whose transform is built together, but for a group that has more.
-COLLECTION = 8192
+#: Strings whose transform is built together, but for a group that has more; and the symbols that number a gram, each of 7 bits.
+COLLECTION, DIGITS = 8192, 4
 _NULL = -(1 << 63)
 _KEY = ["doc", "tie"]
 _RUN = np.dtype([("start", "<i4"), ("count", "<i2"), ("kind", "<i2"), ("gram", "<i8")])
@@ -142,53 +146,78 @@ def _strings(docs: DataFrame, span: int) -> DataFrame:
                     texts.append(text[start : start + count + span - 1])
             out: list[tuple] = []
             for a, b in text_blocks(texts):
-                for k, first, n, key in zip(*(x.tolist() for x in sides(texts[a:b], span)), strict=True):
+                for k, first, n, key, place in zip(*(x.tolist() for x in sides(texts[a:b], span)), strict=True):
                     d, t, start = rows[a + k]
-                    out.append((key, d, t, start + first, n, texts[a + k][first : first + n + span - 1]))
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * 6, types, strict=True)], names=["key", *_KEY, "start", "count", "bytes"])
+                    out.append((key, d, t, start + first, n, place, texts[a + k][first : first + n + span - 1]))
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * 7, types, strict=True)], names=["key", *_KEY, "start", "count", "place", "bytes"])
 
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.binary()]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.int16(), pa.binary()]
     # extra isn't read; with it the rows are those of the last join, which then reuses their shuffle
-    return docs.select("doc", "tie", "text", "extra", "runs").mapInArrow(cut, "key bigint, doc bigint, tie bigint, start int, count short, bytes binary")
+    return docs.select("doc", "tie", "text", "extra", "runs").mapInArrow(cut, "key bigint, doc bigint, tie bigint, start int, count short, place short, bytes binary")
+
+
+def with_grams_numbered(data: np.ndarray, bounds: np.ndarray, place: np.ndarray, gram: int) -> Strings:
+    """Strings of bytes with the gram bytes at each one's place replaced by the digits of the gram's number."""
+    starts = bounds[:-1] + place
+    inside = starts[:, None] + np.arange(gram)
+    number = pa.FixedSizeBinaryArray.from_buffers(pa.binary(gram), len(starts), [None, pa.py_buffer(np.ascontiguousarray(data[inside]))]).dictionary_encode().indices.to_numpy()
+    symbols, keep = data.astype(np.uint16), np.ones(len(data), bool)
+    keep[inside[:, DIGITS:]] = False
+    for k in range(DIGITS):
+        symbols[starts + k] = 256 + (number >> 7 * k & 127)
+    return Strings(symbols[keep], bounds - (gram - DIGITS) * np.arange(len(bounds)))
+
+
+def repeated_runs(strings: pa.Table, span: int) -> pa.RecordBatch:
+    """Strings with whole groups of a key, sorted by key, doc, tie, start: runs of repeated windows."""
+    key = strings.column("key").to_numpy()
+    edge = np.concatenate([[True], key[1:] != key[:-1]])
+    alone = edge & np.append(edge[1:], True)
+    strings = strings.filter(pa.array(~alone)).combine_chunks()
+    names, types = [*_KEY, "start", "count", "kind", "gram"], [pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.int16(), pa.int64()]
+    if not strings.num_rows:
+        return pa.record_batch([pa.array([], t) for t in types], names=names)
+    column = {c: strings.column(c).to_numpy().astype(np.int64) for c in (*_KEY, "start", "count", "place")}
+    raw = strings.column("bytes").cast(pa.large_binary()).combine_chunks()
+    raw = raw.chunk(0) if isinstance(raw, pa.ChunkedArray) else raw
+    bounds = np.frombuffer(raw.buffers()[1], np.int64, len(raw) + 1, 8 * raw.offset)
+    data = np.frombuffer(raw.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
+    gram, counts = longer_gram(span), column["count"]
+    repeated = repeated_windows(with_grams_numbered(data, bounds - bounds[0], column["place"], gram), counts, span - gram + DIGITS)
+    bounds = np.concatenate([[0], np.cumsum(counts)])
+    edge = np.zeros(len(repeated) + 1, bool)
+    edge[bounds] = True
+    here, before = np.append(repeated, False), np.append(False, repeated)
+    begins, ends = np.flatnonzero(here & (~before | edge)), np.flatnonzero(before & (~here | edge))
+    owner = np.searchsorted(bounds, begins, side="right") - 1
+    found = [column["doc"][owner], column["tie"][owner], column["start"][owner] + begins - bounds[owner], ends - begins, np.ones(len(owner)), np.zeros(len(owner))]
+    return pa.record_batch([pa.array(c).cast(t) if c.dtype.kind == "i" else pa.array(c.astype(np.int64)).cast(t) for c, t in zip(found, types, strict=True)], names=names)
 
 
 def _repeats(strings: DataFrame, span: int) -> DataFrame:
     """Strings dealt by key and sorted by key, doc, tie, start: runs of repeated windows. A string alone with its key has none."""
 
-    def judge(rows: list[tuple]) -> list[tuple]:
-        counts = np.array([r[4] for r in rows], np.int64)
-        repeated = repeated_windows([r[5] for r in rows], counts, span)
-        bounds = np.concatenate([[0], np.cumsum(counts)])
-        edge = np.zeros(len(repeated) + 1, bool)
-        edge[bounds] = True
-        here = np.concatenate([repeated, [False]])
-        before = np.concatenate([[False], repeated])
-        begins = np.flatnonzero(here & (~before | edge))
-        ends = np.flatnonzero(before & (~here | edge))
-        owner = np.searchsorted(bounds, begins, side="right") - 1
-        return [(rows[k][1], rows[k][2], rows[k][3] + s, n, 1, 0) for k, s, n in zip(owner.tolist(), (begins - bounds[owner]).tolist(), (ends - begins).tolist(), strict=True)]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        group: list[tuple] = []
+        held: list[pa.RecordBatch] = []
+        n = closed = 0  # rows held, and how many of them are whole groups
+        last = None
         for batch in batches:
-            out: list[tuple] = []
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if group and row[0] != group[0][0]:
-                    if len(group) > 1:
-                        held += group
-                    group = []
-                    if len(held) >= COLLECTION:
-                        out += judge(held)
-                        held = []
-                group.append(row)
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * 6, types, strict=True)], names=names)
-        held += group if len(group) > 1 else []
-        out = judge(held) if held else []
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * 6, types, strict=True)], names=names)
+            if not batch.num_rows:
+                continue
+            key = batch.column(0).to_numpy()
+            changes = np.flatnonzero(key[1:] != key[:-1]) + 1
+            if len(changes) or last not in (None, key[0]):
+                closed = n + (int(changes[-1]) if len(changes) else 0)
+            held.append(batch)
+            n, last = n + batch.num_rows, key[-1]
+            if closed >= COLLECTION:
+                table = pa.Table.from_batches(held)
+                yield repeated_runs(table.slice(0, closed), span)
+                # copied, or the rest would keep the whole batch
+                held, n, closed = table.slice(closed).take(pa.array(range(n - closed), pa.int64())).to_batches(), n - closed, 0
+        if held:
+            yield repeated_runs(pa.Table.from_batches(held), span)
 
-    names = [*_KEY, "start", "count", "kind", "gram"]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.int16(), pa.int64()]
     return strings.mapInArrow(run, "doc bigint, tie bigint, start int, count short, kind short, gram bigint")
 
 
