@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import geometry as G
+from . import outlines
 
 FEATURE_TYPES = ("Window", "Door", "BuildingInstallation", "OtherConstruction")
 
@@ -128,90 +129,30 @@ def box_faces(outward: bool) -> Column:
     return F.array(*faces, F.reverse(a)) if outward else F.array(*faces)
 
 
-def merge_walls(wall: DataFrame, angle: float = 5.0, distance: float = 2.0, adjacency: float = 0.01) -> DataFrame:
-    """wall(model_id, obj_id, idx, nx, ny, wall_d, ring): walls of an object that lie in the plane of a seed (in idx order) and
-    touch a member of its group become one: group, members, and the outline left when shared edges cancel, or the members'
-    convex hull in the plane where that is no single ring. Objects' walls are bounded groups."""
-    schema = "model_id string, obj_id string, group_idx int, members array<int>, nx double, ny double, wall_d double, area double, ring array<struct<x:double,y:double,z:double>>"
-    cosine = math.cos(math.radians(angle))
+def merge_walls(wall: DataFrame, angle: float = 5.0, distance: float = 2.0, adjacency: float = 0.01, least_hole: float = 0.05) -> DataFrame:
+    """wall(model_id, obj_id, idx, nx, ny, ring, holes if there): walls of an object that face as a seed (in idx order) does, have
+    all vertices within min(distance, 0.5) of its plane and share a vertex (nearer than the adjacency) with a member of its group
+    become one. A row for each piece of the outline that is left when shared edges cancel: group_idx, piece, members, ring, holes
+    of least_hole square metres or more, area, and how it was made (alone, outline, exterior: its holes are not valid, hull).
+    All vertices on an outline stay, so that walls next to it meet it without cracks. An object's walls are a bounded group."""
+    point = "array<struct<x:double,y:double,z:double>>"
+    schema = f"model_id string, obj_id string, group_idx int, piece int, members array<int>, nx double, ny double, area double, made string, ring {point}, holes array<{point}>"
+    cosine, reach = math.cos(math.radians(angle)), min(distance, 0.5)
+    if "holes" not in wall.columns:
+        wall = wall.withColumn("holes", F.array().cast(f"array<{point}>"))
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("idx").to_dict("records")
-        key = lambda p: (round(p["x"] / adjacency), round(p["y"] / adjacency), round(p["z"] / adjacency))
-        for r in rows:
-            r["keys"] = [key(p) for p in r["ring"]]
-        free, out = list(rows), []
-        while free:
-            seed = free.pop(0)
-            members, touched, grown = [seed], set(seed["keys"]), True
-            while grown:
-                grown = False
-                for r in list(free):
-                    if r["nx"] * seed["nx"] + r["ny"] * seed["ny"] >= cosine and abs(r["wall_d"] - seed["wall_d"]) <= distance and touched & set(r["keys"]):
-                        members.append(r)
-                        touched |= set(r["keys"])
-                        free.remove(r)
-                        grown = True
-            ring = _outline(members)
-            out.append((seed["model_id"], seed["obj_id"], len(out), sorted(int(r["idx"]) for r in members), seed["nx"], seed["ny"], seed["wall_d"], _plane_area(ring, seed), ring))
-        return pd.DataFrame(out, columns=["model_id", "obj_id", "group_idx", "members", "nx", "ny", "wall_d", "area", "ring"])
-
-    return wall.select("model_id", "obj_id", "idx", "nx", "ny", "wall_d", "ring").groupBy("model_id", "obj_id").applyInPandas(merge, schema)
-
-
-def _outline(members: list[dict]) -> list[dict]:
-    if len(members) == 1:
-        return list(members[0]["ring"])
-    where, edges = {}, set()
-    for r in members:
-        for k, p in zip(r["keys"], r["ring"], strict=True):
-            where.setdefault(k, p)
-        for a, b in zip(r["keys"], [*r["keys"][1:], r["keys"][0]], strict=True):
-            if (b, a) in edges:
-                edges.remove((b, a))
-            elif a != b:
-                edges.add((a, b))
-    after = dict(edges)
-    if edges and len(after) == len(edges):
-        walk = [next(iter(sorted(after)))]
-        while (n := after.get(walk[-1])) is not None and n != walk[0] and len(walk) <= len(after):
-            walk.append(n)
-        if len(walk) == len(after):
-            return [where[k] for k in _without_collinear(walk, where, members[0])]
-    return _hull([p for r in members for p in r["ring"]], members[0])
-
-
-def _flat(p: dict, wall: dict) -> tuple[float, float]:
-    return p["y"] * wall["nx"] - p["x"] * wall["ny"], p["z"]
-
-
-def _without_collinear(walk: list, where: dict, wall: dict) -> list:
-    out = []
-    for k, here in enumerate(walk):
-        (a, b), (c, d), (e, f) = (_flat(where[x], wall) for x in (walk[k - 1], here, walk[(k + 1) % len(walk)]))
-        if abs((c - a) * (f - b) - (d - b) * (e - a)) > 1e-9:
-            out.append(here)
-    return out
-
-
-def _hull(points: list[dict], wall: dict) -> list[dict]:
-    """Monotone chain in the wall's plane."""
-    flat = sorted({_flat(p, wall): p for p in points}.items(), key=lambda x: x[0])
-
-    def half(items):
+        rows = [outlines.Wall(int(r.idx), r.nx, r.ny, [outlines.points(x) for x in (r.ring, *r.holes)]) for r in pdf.sort_values("idx").itertuples()]
         out = []
-        for q, p in items:
-            while len(out) > 1 and (out[-1][0][0] - out[-2][0][0]) * (q[1] - out[-2][0][1]) - (out[-1][0][1] - out[-2][0][1]) * (q[0] - out[-2][0][0]) <= 0:
-                out.pop()
-            out.append((q, p))
-        return out[:-1]
-
-    return [p for _, p in [*half(flat), *half(flat[::-1])]]
-
-
-def _plane_area(ring: list[dict], wall: dict) -> float:
-    q = [_flat(p, wall) for p in ring]
-    return abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(q, [*q[1:], q[0]], strict=True))) / 2
+        for number, group in enumerate(outlines.groups(rows, cosine, reach, adjacency, 10 * distance)):
+            seed = group[0]
+            for piece, (rings, made) in enumerate(outlines.pieces(group, adjacency, least_hole)):
+                area = outlines.area(rings[0], seed) + sum(outlines.area(h, seed) for h in rings[1:])
+                as_points = [[dict(zip("xyz", map(float, p), strict=True)) for p in ring] for ring in rings]
+                out.append((pdf["model_id"].iloc[0], pdf["obj_id"].iloc[0], number, piece, sorted(w.idx for w in group), seed.nx, seed.ny, area, made, as_points[0], as_points[1:]))
+        return pd.DataFrame(out, columns=["model_id", "obj_id", "group_idx", "piece", "members", "nx", "ny", "area", "made", "ring", "holes"])
+
+    return wall.select("model_id", "obj_id", "idx", "nx", "ny", "ring", "holes").groupBy("model_id", "obj_id").applyInPandas(merge, schema)
 
 
 def shared_edges(rings: DataFrame, decimals: int = 3) -> DataFrame:
