@@ -12,12 +12,12 @@ from .durable import cut
 from .spatial import radius_pairs
 
 
-def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """edges(a, b): node, label (the least node it is connected with), by taking the neighbours' least label and then that
-    label's own label, so that rounds grow with the logarithm of the diameter."""
+    label's own label, so that rounds grow with the logarithm of the diameter; they end when no label changes."""
     both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")))
-    for _ in range(most_rounds):
+    while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         step = labels.join(near, "node").select("node", F.least("label", "near").alias("label"), F.col("label").alias("old"))
         jump = step.select(F.col("node").alias("label"), F.col("label").alias("next"))
@@ -25,8 +25,7 @@ def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
         changed = not step.filter("label <> old").isEmpty()
         labels = step.drop("old")
         if not changed:
-            break
-    return labels
+            return labels
 
 
 def core_points(pairs: DataFrame, least: int) -> DataFrame:

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df written to the checkpoint folder that the session names, and read from there. A folder is made only where none is
-    named, as in tests."""
+    """df written to the checkpoint folder that the session names, and read from there. A local folder is made only where none
+    is named and the session is local, as in tests; on a cluster other machines would not see it."""
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if not named and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="stratacloud-checkpoint-"))
     return df.checkpoint()

@@ -46,7 +46,7 @@ def radius_pairs(queries: DataFrame, points: DataFrame, radius: float, axes: tup
     return q.join(p, [f"c_{a}" for a in axes]).withColumn("d2", _distance2(axes)).filter(F.col("d2") <= radius * radius).select("qid", "pid", "d2")
 
 
-def nearest(queries: DataFrame, points: DataFrame, k: int, size: float, axes: tuple[str, ...] = ("x", "y", "z"), same: bool = False, most_rounds: int = 40) -> DataFrame:
+def nearest(queries: DataFrame, points: DataFrame, k: int, size: float, axes: tuple[str, ...] = ("x", "y", "z"), same: bool = False) -> DataFrame:
     """qid, pid, d2, rank of each query's k nearest points, ties by pid; same drops the pair of a point with itself.
 
     Exact: a query is settled once its k-th distance is within the cell size, which the neighbour cells cover; the others are
@@ -56,7 +56,7 @@ def nearest(queries: DataFrame, points: DataFrame, k: int, size: float, axes: tu
     left, done = queries.select("pid", *axes), None
     extent = queries.select(*axes).unionByName(points.select(*axes)).agg(*(F.max(a) - F.min(a) for a in axes)).first()
     widest = max((v or 0.0) for v in extent)
-    for _ in range(most_rounds):
+    while True:
         found = radius_pairs_cells(left, points, size, axes)
         if same:
             found = found.filter("qid <> pid")
@@ -70,7 +70,6 @@ def nearest(queries: DataFrame, points: DataFrame, k: int, size: float, axes: tu
         if left.isEmpty():
             return done
         size *= 2
-    return done
 
 
 def radius_pairs_cells(queries: DataFrame, points: DataFrame, size: float, axes: tuple[str, ...]) -> DataFrame:
@@ -84,7 +83,7 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float, boun
     bound = lambda f, c: F.floor(f(F.transform("ring", lambda p: p[c])) / F.lit(float(size))).cast("long")
     p = polygons.select("polygon_id", "ring", *(F.explode(F.sequence(bound(F.array_min, "x"), bound(F.array_max, "x"))).alias("c_x"),))
     p = p.withColumn("c_y", F.explode(F.sequence(bound(F.array_min, "y"), bound(F.array_max, "y"))))
-    joined = points.withColumns({"c_x": F.floor(F.col("x") / size).cast("long"), "c_y": F.floor(F.col("y") / size).cast("long")}).join(p, ["c_x", "c_y"])
+    joined = points.withColumns({"c_x": F.floor(F.col("x") / size).cast("long"), "c_y": F.floor(F.col("y") / size).cast("long")}).join(small(p), ["c_x", "c_y"])
     return joined.filter(G.in_polygon(F.col("x"), F.col("y"), F.col("ring"), boundary)).drop("c_x", "c_y", "ring")
 
 

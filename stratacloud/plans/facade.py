@@ -29,7 +29,7 @@ class Config:
 
 def downsample(points: DataFrame, config: Config) -> DataFrame:
     """Voxel centroids that carry the class of their nearest source point."""
-    v = clouds.voxel_downsample(points, config.voxel).withColumn("pid", F.xxhash64("i", "j", "k"))
+    v = clouds.voxel_downsample(points, config.voxel).withColumn("pid", F.struct("i", "j", "k"))
     near = spatial.nearest(v, points, 1, 2 * config.voxel).select(F.col("qid").alias("pid"), F.col("pid").alias("source"))
     return v.join(near, "pid").join(points.select(F.col("pid").alias("source"), "classification"), "source").select("pid", "x", "y", "z", "n", "classification")
 

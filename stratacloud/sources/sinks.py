@@ -9,8 +9,8 @@ from .documents import cityjson_document, gml_surface
 
 
 def write_points_by_class(points: DataFrame, folder: str, name: str = "classification") -> None:
-    """One folder a class; rows are spread within a class so that a large one isn't a single file."""
-    points.repartition(F.col(name), F.pmod(F.xxhash64("pid"), F.lit(16))).write.mode("overwrite").partitionBy(name).parquet(folder)
+    """One folder a class; rows are dealt by ranges of class and point, so that a class has files in proportion to its points."""
+    points.repartitionByRange(F.col(name), F.xxhash64("pid")).write.mode("overwrite").partitionBy(name).parquet(folder)
 
 
 def write_conflicts(conflicts: DataFrame, folder: str) -> None:
@@ -22,6 +22,12 @@ def write_summary(counts: DataFrame, folder: str) -> None:
     counts.write.mode("overwrite").json(folder)
 
 
+def write_report(rows: DataFrame, folder: str) -> None:
+    """A text report: a line for each row, name=value parts of all its columns."""
+    line = F.concat_ws(", ", *(F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("-"))) for c in rows.columns))
+    rows.select(line.alias("value")).write.mode("overwrite").text(folder)
+
+
 def write_cityjson(rings: DataFrame, folder: str, scale: float = 0.001) -> None:
     """One compact document per model, one line each."""
     cityjson_document(rings, scale).select("value").write.mode("overwrite").text(folder)
