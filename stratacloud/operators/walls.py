@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .durable import cut
 from .spatial import small
 
 
@@ -32,24 +33,70 @@ def assign_nearest(points: DataFrame, walls: DataFrame, tolerance: float = 2.0,
     return best.join(enough, "idx", "left_semi")
 
 
-def match_clusters(clusters: DataFrame, walls: DataFrame, tolerance: float = 2.0, z_expand: float = 0.5, many: bool = False) -> DataFrame:
-    """clusters(cluster_id, x, y, z_lo, z_hi: centre and heights). Stage 1: within the tolerance of the wall's plane, in the wall's
-    box and heights; stage 2: the same without heights; stage 3: the nearest wall. The best of the first stage that has one;
-    with many, every stage-1 match. cluster_id, idx, stage, d. Clusters and walls are per-model tables, paired by model."""
+def match_clusters(
+    clusters: DataFrame, walls: DataFrame, tolerance: float = 2.0, z_expand: float = 0.5, many: bool = False, inward: float | None = None, pad: float | None = None,
+    z_always: bool = False, last: str = "plane", size: float = 10.0,
+) -> DataFrame:
+    """clusters(cluster_id, x, y, z_lo, z_hi: centre and heights) to their walls: cluster_id, idx, stage, d.
+
+    Stage 1: at most the tolerance in front of the wall's plane and inward behind it (the tolerance, if not given), over the wall's
+    box padded by pad (the tolerance, if not given), heights overlapping. Stage 2: the same without heights. Stage 3, by last:
+    "plane" the wall of nearest plane, "centroid" that of nearest centre among those with the depth of stage 1, and no stage 2,
+    None no wall. With z_always heights must overlap in every stage. The best of the first stage that has one; with many, every
+    match of stage 1. Stages 1 and 2 meet in grid cells; stage 3 compares the clusters left over with all walls (of their model_id,
+    where both have it), in slices of clusters."""
+    inward, pad = tolerance if inward is None else inward, tolerance if pad is None else pad
     keys = ["model_id"] if "model_id" in clusters.columns and "model_id" in walls.columns else []
-    if keys:
-        j = clusters.join(small(walls), keys)
-    else:
-        j = clusters.withColumn("k", F.lit(0)).join(small(walls.withColumn("k", F.lit(0))), "k").drop("k")
-    j = j.withColumn("d", signed_distance())
-    near = F.abs("d") < tolerance
-    in_xy = F.col("x").between(F.col("x_min") - tolerance, F.col("x_max") + tolerance) & F.col("y").between(F.col("y_min") - tolerance, F.col("y_max") + tolerance)
-    in_z = (F.col("z_hi") >= F.col("z_min") - z_expand) & (F.col("z_lo") <= F.col("z_max") + z_expand)
-    j = j.withColumn("stage", F.when(near & in_xy & in_z, 1).when(near & in_xy, 2).otherwise(3))
-    best = Window.partitionBy(*keys, "cluster_id").orderBy("stage", F.abs("d"), "idx")
-    first = j.withColumn("rank", F.row_number().over(best))
+    deep = (F.col("d") < tolerance) & (F.col("d") > -inward)
+    high = (F.col("z_hi") >= F.col("z_min") - z_expand) & (F.col("z_lo") <= F.col("z_max") + z_expand)
+    # over the wall is the centre itself, or what the plane's depth leaves of it where that may be large
+    over = lambda a, n: F.col(a) - (F.col("d") * F.col(n) if last == "centroid" else 0)
+    above = over("x", "nx").between(F.col("x_min") - pad, F.col("x_max") + pad) & over("y", "ny").between(F.col("y_min") - pad, F.col("y_max") + pad)
+    reach = pad + (max(tolerance, inward) if last == "centroid" else 0.0)
+    here = clusters.withColumns({f"c_{a}": F.floor(F.col(a) / size).cast("long") for a in "xy"})
+    j = here.join(small(_cells(walls, size, reach)), [*keys, "c_x", "c_y"]).withColumn("d", signed_distance()).filter(deep & above)
+    j = j.withColumn("stage", F.when(high, 1).otherwise(2))
+    if z_always or last == "centroid":
+        j = j.filter("stage = 1")
+    order = Window.partitionBy(*keys, "cluster_id").orderBy("stage", F.abs("d"), "idx")
+    first = j.withColumn("rank", F.row_number().over(order))
     kept = first.filter((F.col("rank") == 1) | (F.col("stage") == 1)) if many else first.filter("rank = 1")
-    return kept.select(*keys, "cluster_id", "idx", "stage", "d")
+    out = kept.select(*keys, "cluster_id", "idx", "stage", "d")
+    if last is None:
+        return out
+    out = cut(out)
+    slices = clusters.sparkSession.sparkContext.defaultParallelism
+    slot = F.pmod(F.xxhash64("cluster_id"), F.lit(slices)).cast("int")
+    rest = clusters.join(out.select(*keys, "cluster_id").distinct(), [*keys, "cluster_id"], "left_anti").withColumn("slot", slot)
+    every = walls.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    j = rest.join(small(every), [*keys, "slot"]).withColumn("d", signed_distance())
+    if z_always:
+        j = j.filter(high)
+    if last == "centroid":
+        j = j.filter(deep)
+    far = F.hypot(F.col("x") - F.col("ox"), F.col("y") - F.col("oy")) if last == "centroid" else F.abs("d")
+    best = j.groupBy(*keys, "cluster_id").agg(F.min_by(F.struct("idx", "d"), F.struct(far, F.col("idx"))).alias("b"))
+    return out.unionByName(best.select(*keys, "cluster_id", "b.idx", F.lit(3).alias("stage"), "b.d"))
+
+
+def interior_points(points: DataFrame, outward: float = 0.1, inward: float = 10.0) -> DataFrame:
+    """Points with their wall's nx, ny, ox, oy that lie no more than outward in front of it and inward behind it."""
+    return points.withColumn("d", signed_distance()).filter(F.col("d").between(-inward, outward))
+
+
+def passing_clusters(points: DataFrame, least: int = 10, share: float = 0.10, extent: float = 0.01) -> DataFrame:
+    """points(cluster_id, x, y, z, interior): clusters with enough interior points, as a number and as a share, and none of whose
+    interior extents vanishes: cluster_id, n, n_interior."""
+    size = lambda c: F.max(F.when(F.col("interior"), F.col(c))) - F.min(F.when(F.col("interior"), F.col(c)))
+    c = points.groupBy("cluster_id").agg(F.count("*").alias("n"), F.count_if("interior").alias("n_interior"), *(size(c).alias(f"_{c}") for c in "xyz"))
+    ok = (F.col("n_interior") >= least) & (F.col("n_interior") >= share * F.col("n")) & (F.greatest("_x", "_y") >= extent) & (F.col("_z") >= extent)
+    return c.filter(ok).drop("_x", "_y", "_z")
+
+
+def split_by_wall(points: DataFrame, walls: DataFrame) -> DataFrame:
+    """Each point's wall of nearest plane, without any bound: pid, idx, d. Walls are a model's."""
+    p = points.withColumnsRenamed({"pid": "cluster_id"}).select("cluster_id", "x", "y", F.col("z").alias("z_lo"), F.col("z").alias("z_hi"))
+    return match_clusters(p, walls, tolerance=0.0, last="plane").select(F.col("cluster_id").alias("pid"), "idx", "d")
 
 
 def overlapping(boxes: DataFrame, walls: DataFrame, cosine: float = 0.80, depth: float = 0.30, slack: float = 0.05) -> DataFrame:
