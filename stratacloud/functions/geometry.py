@@ -49,6 +49,27 @@ def unit_normal(ring: Column, least: float = 1e-6) -> Column:
     return F.when(good, F.struct(*((v[c] / length).alias(c) for c in "xyz"))).otherwise(point(0, 0, 1))
 
 
+def corner_normal(ring: Column) -> Column:
+    """Unnormalised normal of the first three vertices."""
+    u, v = (F.struct(*((ring[k][c] - ring[0][c]).alias(c) for c in "xyz")) for k in (1, 2))
+    return F.struct((u["y"] * v["z"] - u["z"] * v["y"]).alias("x"), (u["z"] * v["x"] - u["x"] * v["z"]).alias("y"), (u["x"] * v["y"] - u["y"] * v["x"]).alias("z"))
+
+
+def plane_distance(p, plane) -> Column:
+    """Signed distance of a point from a x + b y + c z + d = 0; the normal is made a unit, d is taken as it is."""
+    length = F.sqrt(plane["a"] * plane["a"] + plane["b"] * plane["b"] + plane["c"] * plane["c"])
+    return (plane["a"] * p["x"] + plane["b"] * p["y"] + plane["c"] * p["z"]) / length + plane["d"]
+
+
+def nearest_on_segment(p, a, b) -> Column:
+    """The point of the segment from a to b that is nearest to p."""
+    along = {c: b[c] - a[c] for c in "xyz"}
+    square = sum((along[c] * along[c] for c in "xyz"), F.lit(0.0))
+    t = F.when(square > 0, sum(((p[c] - a[c]) * along[c] for c in "xyz"), F.lit(0.0)) / square).otherwise(0.0)
+    t = F.least(F.greatest(t, F.lit(0.0)), F.lit(1.0))
+    return F.struct(*((a[c] + along[c] * t).alias(c) for c in "xyz"))
+
+
 def centroid(ring: Column) -> Column:
     n = F.size(ring).cast("double")
     return F.struct(*((_sum(ring, lambda p, c=c: p[c]) / n).alias(c) for c in "xyz"))

@@ -54,6 +54,12 @@ def format_pos_list(ring: Column) -> Column:
     return F.array_join(F.transform(F.concat(ring, F.slice(ring, 1, 1)), one), " ")
 
 
+def output_name(name: Column, kind: str) -> Column:
+    """Names of results: labelled_<name>, color_segmented_<name>, <base>_LOD3.json of a model."""
+    base = F.regexp_replace(name, "[.][^.]*$", "")
+    return {"labelled": F.concat(F.lit("labelled_"), name), "segmented": F.concat(F.lit("color_segmented_"), name), "lod3": F.concat(base, F.lit("_LOD3.json"))}[kind]
+
+
 def tile_location(name: Column) -> Column:
     """The location prefix of <location>_<face>.<extension>."""
     return F.regexp_extract(name, r"^(.*)_(front|back|left|right|up|down|top|bottom)\.(jpg|jpeg|png)$", 1)

@@ -68,11 +68,18 @@ def reported_faces(errors: DataFrame, rings: DataFrame) -> DataFrame:
 
 
 def match_prefixes(clouds: DataFrame, polygons: DataFrame) -> DataFrame:
-    """clouds(name), polygons(polygon_id) whose id has the cloud's prefix: strict `prefix_` matches win over loose ones. Keyed by
-    the prefix itself, which both sides compute."""
-    c = clouds.withColumn("prefix", F.upper(F.split_part("name", F.lit("_"), F.lit(1))))
-    p = polygons.withColumn("prefix", F.upper(F.regexp_extract("polygon_id", "^([A-Za-z0-9]+)", 1))).withColumn("strict", F.col("polygon_id").rlike("^[A-Za-z0-9]+_"))
-    j = c.join(p, "prefix").withColumn("any", F.max("strict").over(Window.partitionBy("name")))
+    """clouds(name), polygons(polygon_id) whose id holds the cloud's prefix anywhere, letters of either case alike; if one starts
+    with `prefix_`, only those. An id meets a prefix by its own substrings of the lengths that prefixes have, so that both sides
+    are joined by equality."""
+    c = clouds.select("name", F.lower(F.split_part("name", F.lit("_"), F.lit(1))).alias("prefix"))
+    lengths = [r[0] for r in c.select(F.char_length("prefix")).distinct().collect() if r[0]]
+    if not lengths:
+        return c.limit(0).join(polygons, F.lit(False)).select("name", "polygon_id", F.lit(True).alias("strict"))
+    low = F.lower("polygon_id")
+    cuts = F.filter(F.flatten(F.transform(F.array(*map(F.lit, lengths)), lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(low), F.lit(1))), lambda k: F.struct(n.alias("n"), F.substr(low, k, n).alias("s"))))), lambda x: F.char_length(x["s"]) == x["n"])
+    p = polygons.select("polygon_id", F.explode(F.array_distinct(F.transform(cuts, lambda x: x["s"]))).alias("prefix"))
+    j = c.join(p, "prefix").withColumn("strict", F.startswith(F.lower("polygon_id"), F.concat("prefix", F.lit("_"))))
+    j = j.withColumn("any", F.max("strict").over(Window.partitionBy("name")))
     return j.filter(F.col("strict") | ~F.col("any")).select("name", "polygon_id", "strict")
 
 
