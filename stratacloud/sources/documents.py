@@ -35,15 +35,18 @@ def parse_cityjson(text: DataFrame) -> DataFrame:
     scale = F.coalesce("transform.scale", F.array(*[F.lit(1.0)] * 3))
     translate = F.coalesce("transform.translate", F.array(*[F.lit(0.0)] * 3))
     geometry = lambda o: F.transform(F.coalesce(o["geometry"], F.array().cast("array<struct<type:string,lod:string,boundaries:string,semantics:struct<surfaces:array<struct<type:string>>,values:string>>>")), lambda g: F.struct(g["type"].alias("type"), g["lod"].alias("lod"), g["boundaries"].alias("boundaries"), g["semantics"]["values"].alias("values"), F.coalesce(g["semantics"]["surfaces"]["type"], F.array().cast("array<string>")).alias("surfaces")))
-    objects = F.transform_values("CityObjects", lambda k, o: F.struct(o["type"].alias("type"), geometry(o).alias("geometry")))
+    objects = F.transform_values("CityObjects", lambda k, o: F.struct(o["type"].alias("type"), o["parents"].alias("parents"), o["children"].alias("children"), geometry(o).alias("geometry")))
     return d.select("model_id", scale.alias("scale"), translate.alias("translate"), "vertices", objects.alias("objects"))
 
 
 def cityjson_document(rings: DataFrame, scale: float = 0.001) -> DataFrame:
-    """One compact document per model from rings(model_id, obj_id, type, lod, sem_type, poly_idx, ring_idx, ring): surfaces of
-    polygons, vertices numbered by first use after quantisation. A model is a bounded group."""
+    """One compact document per model from rings(model_id, obj_id, type, lod, sem_type, poly_idx, ring_idx, ring, and parent, if
+    there): surfaces of polygons, vertices numbered by first use after quantisation, children linked with their parents. A model is
+    a bounded group."""
+    if "parent" not in rings.columns:
+        rings = rings.withColumn("parent", F.lit(None).cast("string"))
     q = lambda p: F.struct(*(F.bround(p[c] / scale, 0).cast("long").alias(c) for c in "xyz"))
-    rows = rings.withColumn("q", F.transform("ring", q)).groupBy("model_id").agg(F.collect_list(F.struct("obj_id", "type", "lod", "sem_type", "poly_idx", "ring_idx", "q")).alias("rows"))
+    rows = rings.withColumn("q", F.transform("ring", q)).groupBy("model_id").agg(F.collect_list(F.struct("obj_id", "type", "lod", "sem_type", "poly_idx", "ring_idx", "q", "parent")).alias("rows"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -63,6 +66,11 @@ def cityjson_document(rings: DataFrame, scale: float = 0.001) -> DataFrame:
                             names.append(r["sem_type"])
                         g["semantics"]["values"].append(names.index(r["sem_type"]) if r["sem_type"] else None)
                     g["boundaries"][-1].append(ids)
+                for r in sorted(model_rows, key=lambda r: r["obj_id"]):
+                    if (parent := r["parent"]) is not None and "parents" not in objects[r["obj_id"]]:
+                        objects[r["obj_id"]]["parents"] = [parent]
+                        if parent in objects:
+                            objects[parent].setdefault("children", []).append(r["obj_id"])
                 out.append(json.dumps({"type": "CityJSON", "version": "1.1", "transform": {"scale": [scale] * 3, "translate": [0.0] * 3}, "CityObjects": objects, "vertices": [list(v) for v in vertices]}, separators=(",", ":")))
             yield pa.record_batch([batch.column(0), pa.array(out, pa.string())], names=["model_id", "value"])
 
@@ -88,35 +96,43 @@ def gml_surface(kind: Column, surface_id: Column, rings: Column) -> Column:
 
 
 def read_footprints(spark: SparkSession, path: str) -> DataFrame:
-    """GeoJSON polygons and multipolygons: polygon_id, ring (exterior, without its closing vertex); null and empty ones dropped."""
+    """GeoJSON polygons and multipolygons: source, polygon_id (unique over files), ring (exterior, without its closing vertex); null and empty ones dropped."""
     text = spark.read.text(path, wholetext=True)
     schema = "features array<struct<geometry:struct<type:string,coordinates:string>>>"
-    g = text.select(F.posexplode(F.from_json("value", schema)["features"]).alias("n", "f")).select("n", "f.geometry.*")
+    source = F.regexp_extract(F.input_file_name(), "([^/]+?)(?:[.][^./]*)?$", 1)
+    g = text.select(source.alias("source"), F.posexplode(F.from_json("value", schema)["features"]).alias("n", "f")).select("source", "n", "f.geometry.*")
     many = F.when(F.col("type") == "MultiPolygon", F.from_json("coordinates", "array<array<array<array<double>>>>")).otherwise(F.array(F.from_json("coordinates", "array<array<array<double>>>")))
-    p = g.filter("coordinates IS NOT NULL").select("n", F.posexplode(many).alias("m", "polygon")).filter("size(polygon) > 0")
+    p = g.filter("coordinates IS NOT NULL").select("source", "n", F.posexplode(many).alias("m", "polygon")).filter("size(polygon) > 0")
     ring = F.transform(F.slice(F.col("polygon")[0], 1, F.greatest(F.size(F.col("polygon")[0]) - 1, F.lit(0))), lambda c: F.struct(c[0].alias("x"), c[1].alias("y"), F.lit(0.0).alias("z")))
-    return p.select(F.concat_ws("_", "n", "m").alias("polygon_id"), ring.alias("ring")).filter("size(ring) >= 3")
+    return p.select("source", F.concat_ws("_", "source", "n", "m").alias("polygon_id"), ring.alias("ring")).filter("size(ring) >= 3")
 
 
 def read_obj(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """mesh_vertex(vid from 0, x, y, z) and mesh_face(fid, grp, vids from 0); a g line names the faces after it."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("line", "text"))
+    """mesh_vertex(model_id, vid from 0, x, y, z) and mesh_face(model_id, fid, grp, vids from 0, nids: of normals, null where a corner
+    has none), numbered within each file; a g line names the faces after it."""
+    lines = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("model_id"), F.posexplode(F.split("value", r"\r?\n")).alias("line", "text"))
     t = lines.withColumn("w", F.split(F.trim("text"), r"\s+")).withColumn("token", F.col("w")[0])
-    by_line = Window.orderBy("line")
-    v = t.filter("token = 'v'").select((F.row_number().over(by_line) - 1).alias("vid"), *(F.col("w")[k + 1].cast("double").alias(c) for k, c in enumerate("xyz")))
+    by_line = Window.partitionBy("model_id").orderBy("line")
+    v = t.filter("token = 'v'").select("model_id", (F.row_number().over(by_line) - 1).alias("vid"), *(F.col("w")[k + 1].cast("double").alias(c) for k, c in enumerate("xyz")))
     groups = t.filter("token IN ('f', 'g')").withColumn("grp", F.last(F.when(F.col("token") == "g", F.array_join(F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))), " ")), ignorenulls=True).over(by_line))
     vids = F.transform(F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))), lambda s: F.split_part(s, F.lit("/"), F.lit(1)).cast("int") - 1)
-    f = groups.filter("token = 'f'").select((F.row_number().over(by_line) - 1).alias("fid"), "grp", vids.alias("vids"))
+    nids = F.transform(F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))), lambda s: F.split_part(s, F.lit("/"), F.lit(3)).try_cast("int") - 1)
+    f = groups.filter("token = 'f'").select("model_id", (F.row_number().over(by_line) - 1).alias("fid"), "grp", vids.alias("vids"), nids.alias("nids"))
     return v, f
 
 
-def obj_lines(faces: DataFrame) -> DataFrame:
-    """faces(fid, grp, ring) to text lines in order (line, value): vertices from 1, six decimals, a group line per face."""
+def obj_lines(faces: DataFrame, normals: bool = False) -> DataFrame:
+    """faces(fid, grp, ring; normal, if asked for) to text lines in order (value): vertices from 1, six decimals, a group line per
+    face, and a normal per face, which its corners name."""
     w = Window.orderBy("fid").rowsBetween(Window.unboundedPreceding, -1)
     f = faces.withColumn("before", F.coalesce(F.sum(F.size("ring")).over(w), F.lit(0)))
     vertex = F.transform("ring", lambda p: F.format_string("v %.6f %.6f %.6f", p["x"], p["y"], p["z"]))
-    face = F.concat(F.lit("f "), F.array_join(F.transform("ring", lambda p, i: (F.col("before") + i + 1).cast("string")), " "))
-    return f.select("fid", F.posexplode(F.concat(F.array(F.concat(F.lit("g "), F.coalesce("grp", F.lit("default")))), vertex, F.array(face))).alias("k", "value")).orderBy("fid", "k").select("value")
+    number = F.row_number().over(Window.orderBy("fid")).cast("string")
+    named = F.concat(F.lit("//"), F.col("number")) if normals else F.lit("")
+    face = F.concat(F.lit("f "), F.array_join(F.transform("ring", lambda p, i: F.concat((F.col("before") + i + 1).cast("string"), named)), " "))
+    normal = F.array(F.format_string("vn %.6f %.6f %.6f", *(F.col("normal")[c] for c in "xyz"))) if normals else F.array().cast("array<string>")
+    f = f.withColumn("number", number)
+    return f.select("fid", F.posexplode(F.concat(F.array(F.concat(F.lit("g "), F.coalesce("grp", F.lit("default")))), vertex, normal, F.array(face))).alias("k", "value")).orderBy("fid", "k").select("value")
 
 
 def read_glb_vertices(files: DataFrame) -> DataFrame:
