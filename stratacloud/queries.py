@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 from .functions import color as C
 from .functions import geometry as G
 from .functions import text as X
-from .operators import align, clouds, clustering, facades, meshes, models, panorama, spatial, walls
+from .operators import align, clouds, clustering, facades, meshes, models, panorama, selection, spatial, walls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -169,15 +169,12 @@ def gps_bin_origins(spark, sf):
     return o.select("bin", r6("ox", "ox"), r6("oy", "oy"), r6("oz", "oz"), "n")
 
 
-@query(sql="""WITH a AS (SELECT 'customer' AS src, CAST(c_custkey AS DOUBLE) AS x, c_nationkey AS red FROM customer UNION ALL SELECT 'supplier', CAST(s_suppkey AS DOUBLE), NULL FROM supplier)
-  SELECT src, count(*) AS n, CAST(sum(x) AS BIGINT) AS sx, CAST(0 AS BIGINT) AS colored FROM a GROUP BY 1""")
+@query(sql="""WITH a AS (SELECT 'customer' AS src, c_nationkey % 5 AS group_id, CAST(c_custkey AS DOUBLE) AS x, c_nationkey AS red FROM customer UNION ALL SELECT 'supplier', s_nationkey, CAST(s_suppkey AS DOUBLE), CASE WHEN s_nationkey <> 3 THEN s_suppkey END FROM supplier WHERE s_nationkey < 4),
+  h AS (SELECT group_id, bool_and(red IS NOT NULL) AS has FROM a GROUP BY 1) SELECT group_id, src, count(*) AS n, CAST(sum(x) AS BIGINT) AS sx, count(CASE WHEN has THEN red END) AS colored FROM a JOIN h USING (group_id) GROUP BY 1, 2""")
 def merge_clouds_union(spark, sf):
-    a = _table(spark, sf, "customer").select(F.lit("customer").alias("src"), F.col("c_custkey").cast("double").alias("x"), F.col("c_nationkey").alias("red"))
-    b = _table(spark, sf, "supplier").select(F.lit("supplier").alias("src"), F.col("s_suppkey").cast("double").alias("x"))
-    both = a.unionByName(b, allowMissingColumns=True).withColumn("group_id", F.lit(0))
-    lacks = both.groupBy("group_id").agg(F.bool_and(F.col("red").isNotNull()).alias("has"))
-    both = both.join(F.broadcast(lacks), "group_id").withColumn("red", F.when(F.col("has"), F.col("red")))
-    return both.groupBy("src").agg(F.count("*").alias("n"), F.sum("x").cast("bigint").alias("sx"), F.count("red").alias("colored"))
+    a = _table(spark, sf, "customer").select(F.lit("customer").alias("src"), (F.col("c_nationkey") % 5).alias("group_id"), F.col("c_custkey").cast("double").alias("x"), F.col("c_nationkey").alias("red"))
+    b = _table(spark, sf, "supplier").filter("s_nationkey < 4").select(F.lit("supplier").alias("src"), F.col("s_nationkey").alias("group_id"), F.col("s_suppkey").cast("double").alias("x"), F.when(F.col("s_nationkey") != 3, F.col("s_suppkey")).alias("red"))
+    return clouds.merge_clouds(a.unionByName(b), ("red",)).groupBy("group_id", "src").agg(F.count("*").alias("n"), F.sum("x").cast("bigint").alias("sx"), F.count("red").alias("colored"))
 
 
 @query("cloud", sql="SELECT count(*) AS n, round(sum(x), 6) + 0.0 AS sx FROM cloud WHERE pid NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
@@ -203,15 +200,19 @@ def hsv_cluster_stats(spark, sf):
     return c.withColumn("pct", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()), 6))
 
 
-@query("rgb", sql=", t AS (SELECT (red // 64) * 64 AS r, (green // 64) * 64 AS g, (blue // 64) * 64 AS b, count(*) AS n FROM rgb GROUP BY ALL) SELECT r AS red, g AS green, b AS blue, n, concat(CASE WHEN r >= g AND r >= b THEN 'red' WHEN g >= b THEN 'green' ELSE 'blue' END, CASE WHEN count(*) OVER (PARTITION BY CASE WHEN r >= g AND r >= b THEN 'red' WHEN g >= b THEN 'green' ELSE 'blue' END) > 1 THEN ' #' || row_number() OVER (PARTITION BY CASE WHEN r >= g AND r >= b THEN 'red' WHEN g >= b THEN 'green' ELSE 'blue' END ORDER BY n DESC, r, g, b) ELSE '' END) AS name FROM t")
+_NAMED = """, t AS (SELECT (red // 64) * 16384 AS r16, (green // 64) * 16384 AS g16, (blue // 64) * 16384 AS b16, count(*) AS n FROM rgb GROUP BY ALL),
+  e AS (SELECT *, (r16 // 256) / 255.0 AS r, (g16 // 256) / 255.0 AS g, (b16 // 256) / 255.0 AS b FROM t),
+  f AS (SELECT *, greatest(r, g, b) AS v, greatest(r, g, b) - least(r, g, b) AS d FROM e),
+  h AS (SELECT *, CASE WHEN v > 0 THEN d / v ELSE 0 END AS s, CASE WHEN d <= 1e-10 THEN 0.0 WHEN v = r THEN 60 * (((g - b) / d + 6) % 6) WHEN v = g THEN 60 * ((b - r) / d + 2) ELSE 60 * ((r - g) / d + 4) END AS h FROM f),
+  k AS (SELECT *, CASE WHEN s < 0.12 THEN CASE WHEN v < 0.25 THEN 'Black' WHEN v < 0.55 THEN 'Dark Gray' WHEN v < 0.8 THEN 'Light Gray' ELSE 'White' END
+    ELSE concat(CASE WHEN v < 0.35 THEN 'Dark ' WHEN v > 0.8 AND s < 0.5 THEN 'Light ' WHEN v > 0.8 THEN 'Bright ' ELSE '' END,
+      CASE WHEN h < 15 THEN 'Red' WHEN h < 40 THEN 'Orange' WHEN h < 70 THEN 'Yellow' WHEN h < 160 THEN 'Green' WHEN h < 200 THEN 'Cyan' WHEN h < 260 THEN 'Blue' WHEN h < 290 THEN 'Purple' WHEN h < 335 THEN 'Pink' ELSE 'Red' END) END AS base FROM h)"""
+
+
+@query("rgb", sql=_NAMED + " SELECT r16 AS red, g16 AS green, b16 AS blue, n, concat(base, CASE WHEN count(*) OVER (PARTITION BY base) > 1 THEN ' #' || row_number() OVER (PARTITION BY base ORDER BY n DESC, r16, g16, b16) ELSE '' END) AS name FROM k")
 def distinct_colors_named(spark, sf):
-    q = lambda c: (F.floor(F.col(c) / 64) * 64).cast("int").alias(c)
-    t = rgb(spark, sf).groupBy(q("red"), q("green"), q("blue")).agg(F.count("*").alias("n"))
-    r, g, b = F.col("red"), F.col("green"), F.col("blue")
-    t = t.withColumn("base", F.when((r >= g) & (r >= b), "red").when(g >= b, "green").otherwise("blue"))
-    same = Window.partitionBy("base")
-    suffix = F.when(F.count("*").over(same) > 1, F.concat(F.lit(" #"), F.row_number().over(same.orderBy(F.desc("n"), "red", "green", "blue")).cast("string"))).otherwise("")
-    return t.select("red", "green", "blue", "n", F.concat("base", suffix).alias("name"))
+    q = {c: (F.floor(F.col(c) / 64) * 16384).cast("int") for c in ("red", "green", "blue")}
+    return C.color_clusters(rgb(spark, sf).withColumns(q)).select("red", "green", "blue", "n", "name")
 
 
 @query(sql="SELECT * FROM (VALUES (0, 242, 36, 36), (1, 201, 242, 36), (2, 36, 242, 118), (3, 36, 118, 242), (4, 201, 36, 242)) t(k, red, green, blue)")
@@ -309,11 +310,11 @@ def wall_heading_filter(spark, sf):
     return walls.nearest_by_heading(wall(spark, sf), F.lit(10.0), F.lit(30.0)).select("idx", "heading", r6("distance", "distance"))
 
 
-@query("w", sql=", b AS (SELECT idx AS box_id, nx AS bnx, ny AS bny, wall_d AS bd, -ny AS tx, nx AS ty, z_min AS zl, 2.0 AS zh, -ny * ox + nx * oy - 2 AS t0, -ny * ox + nx * oy + 2 AS t1 FROM w WHERE idx % 7 = 0) SELECT box_id, idx FROM b, w WHERE nx * bnx + ny * bny >= 0.8 AND abs(wall_d - bd) <= 0.3 AND z_max >= zl - 0.05 AND z_min <= zh + 0.05 AND greatest(x_min * tx + y_min * ty, x_max * tx + y_max * ty) >= t0 - 0.05 AND least(x_min * tx + y_min * ty, x_max * tx + y_max * ty) <= t1 + 0.05")
+@query("w", sql=", b AS (SELECT idx AS box_id, nx AS bnx, ny AS bny, wall_d AS bd, -ny AS tx, nx AS ty, z_min AS zl, 2.0 AS zh, -ny * ox + nx * oy - 2 AS t0, -ny * ox + nx * oy + 2 AS t1 FROM w) SELECT box_id, idx FROM b, w WHERE nx * bnx + ny * bny >= 0.8 AND abs(wall_d - bd) <= 0.3 AND z_max >= zl - 0.05 AND z_min <= zh + 0.05 AND greatest(x_min * tx + y_min * ty, x_max * tx + y_max * ty) >= t0 - 0.05 AND least(x_min * tx + y_min * ty, x_max * tx + y_max * ty) <= t1 + 0.05")
 def wall_overlap(spark, sf):
     w = wall(spark, sf).drop("ring", "n_nationkey")
     t = -F.col("ny") * F.col("ox") + F.col("nx") * F.col("oy")
-    b = w.filter("idx % 7 = 0").select(F.col("idx").alias("box_id"), "nx", "ny", "wall_d", (-F.col("ny")).alias("tx"), F.col("nx").alias("ty"), (t - 2).alias("t_min"), (t + 2).alias("t_max"), F.col("z_min").alias("z_lo"), F.lit(2.0).alias("z_hi"))
+    b = w.select(F.col("idx").alias("box_id"), "nx", "ny", "wall_d", (-F.col("ny")).alias("tx"), F.col("nx").alias("ty"), (t - 2).alias("t_min"), (t + 2).alias("t_max"), F.col("z_min").alias("z_lo"), F.lit(2.0).alias("z_hi"))
     return walls.overlapping(b, w)
 
 
@@ -326,9 +327,13 @@ def opening_projection(spark, sf):
 
 @query("cloud", sql=", r AS (SELECT pid, classification AS wall, x AS t0, x + 0.1 AS t1, z AS z0, z + 0.1 AS z1 FROM cloud), j AS (SELECT a.pid AS a, b.pid AS b, greatest(least(a.t1, b.t1) - greatest(a.t0, b.t0), 0) * greatest(least(a.z1, b.z1) - greatest(a.z0, b.z0), 0) AS i, (a.t1 - a.t0) * (a.z1 - a.z0) + (b.t1 - b.t0) * (b.z1 - b.z0) AS s FROM r a JOIN r b ON a.wall = b.wall AND a.pid < b.pid) SELECT a, b, round(i / (s - i), 6) AS iou FROM j WHERE i / (s - i) > 0.3")
 def rect_iou_pairs(spark, sf):
-    r = cloud(spark, sf).select("pid", F.col("classification").alias("wall"), F.struct(F.col("x").alias("t0"), (F.col("x") + 0.1).alias("t1"), F.col("z").alias("z0"), (F.col("z") + 0.1).alias("z1")).alias("r"))
-    j = r.select(F.col("pid").alias("a"), "wall", F.col("r").alias("ra")).join(r.select(F.col("pid").alias("b"), "wall", F.col("r").alias("rb")), "wall").filter("a < b")
-    return j.withColumn("iou", G.rect_iou(F.col("ra"), F.col("rb"))).filter("iou > 0.3").select("a", "b", r6("iou", "iou"))
+    size = 0.1  # rectangles that overlap share a cell of their own size; a pair counts in the cell of the overlap's lower corner
+    r = cloud(spark, sf).select("pid", F.col("classification").alias("wall"), F.struct(F.col("x").alias("t0"), (F.col("x") + size).alias("t1"), F.col("z").alias("z0"), (F.col("z") + size).alias("z1")).alias("r"))
+    for c, k in (("t", "i"), ("z", "j")):
+        r = r.withColumn(k, F.explode(F.sequence(F.floor(F.col(f"r.{c}0") / size).cast("long"), F.floor(F.col(f"r.{c}1") / size).cast("long"))))
+    j = r.select(F.col("pid").alias("a"), "wall", "i", "j", F.col("r").alias("ra")).join(r.select(F.col("pid").alias("b"), "wall", "i", "j", F.col("r").alias("rb")), ["wall", "i", "j"]).filter("a < b")
+    lower = [F.floor(F.greatest(F.col(f"ra.{c}0"), F.col(f"rb.{c}0")) / size).cast("long") == F.col(k) for c, k in (("t", "i"), ("z", "j"))]
+    return j.filter(lower[0] & lower[1]).withColumn("iou", G.rect_iou(F.col("ra"), F.col("rb"))).filter("iou > 0.3").select("a", "b", r6("iou", "iou"))
 
 
 _EDGES = ", e AS (SELECT p.idx, p.k, p.x AS ax, p.y AS ay, p.z AS az, q.x AS ex, q.y AS ey, q.z AS ez FROM corner p JOIN corner q ON p.idx = q.idx AND q.k = (p.k + 1) % 4)"
@@ -443,7 +448,7 @@ def prefix_match(spark, sf):
 
 @query(sql="SELECT r_name AS sem_type, count(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1")
 def semantic_histogram(spark, sf):
-    n = _table(spark, sf, "nation").join(F.broadcast(_table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    n = _table(spark, sf, "nation").join(spatial.small(_table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
     return models.semantic_histogram(n.select(F.col("r_name").alias("sem_type"), F.lit(0).alias("ring_idx")))
 
 
@@ -456,14 +461,14 @@ def nms_openings(spark, sf):
     return models.keep_largest_openings(o, ["wall"], 0.0)
 
 
-@query()
+@query("w", sql="SELECT CAST(idx // 4 AS VARCHAR) AS obj_id, CAST(idx % 4 AS INT) AS group_idx, 0 AS piece, 2 AS n_members, 'outline' AS made, 6 AS n_vertices, 10.0 * z_max AS area FROM w")
 def merge_walls(spark, sf):
     w = wall(spark, sf).withColumns({"model_id": F.lit("m"), "obj_id": F.col("n_nationkey").cast("string")})
     half = lambda a, b: F.struct(*(((F.col("ring")[a][c] + F.col("ring")[b][c]) / 2).alias(c) for c in "xyz"))
     low, top, r = half(0, 1), half(2, 3), F.col("ring")
     both = F.explode(F.array(F.array(r[0], low, top, r[3]), F.array(low, r[1], r[2], top)))
     parts = w.withColumn("ring", both).withColumn("idx", F.row_number().over(Window.partitionBy("obj_id").orderBy("idx", F.col("ring")[0]["x"], F.col("ring")[0]["y"])).cast("int"))
-    return models.merge_walls(parts).select("obj_id", "group_idx", F.size("members").alias("n_members"), F.round("area", 6).alias("area"))
+    return models.merge_walls(parts).select("obj_id", "group_idx", "piece", F.size("members").alias("n_members"), "made", F.size("ring").alias("n_vertices"), F.round("area", 6).alias("area"))
 
 
 @query()
@@ -479,19 +484,19 @@ def ransac_planes(spark, sf):
     return clustering.ransac_planes(p, 0.05).groupBy("plane").agg(F.count("*").alias("n"))
 
 
-@query()
+@query("pts", "w", sql=", j AS (SELECT classification AS cluster_id, idx, nx, ny, wall_d, y * nx - x * ny AS t, z, x * nx + y * ny AS d FROM pts JOIN w ON idx = classification * 3), g AS (SELECT cluster_id, idx, min(wall_d) AS d_wall, min(t) AS t0, max(t) AS t1, min(z) AS z0, max(z) AS z1, min(d) AS d_far FROM j GROUP BY 1, 2) SELECT cluster_id, idx, round(t0, 6) + 0.0 AS t0, round(t1, 6) + 0.0 AS t1, round(z0, 6) + 0.0 AS z0, round(z1, 6) + 0.0 AS z1, round(d_far, 6) + 0.0 AS d_far, round(d_wall, 6) + 0.0 AS d_wall, 5 AS faces FROM g WHERE d_wall - d_far >= 0.05")
 def recess_boxes(spark, sf):
     p = pts(spark, sf).select(F.col("classification").alias("cluster_id"), "x", "y", "z", (F.col("classification") * 3).alias("idx")).join(spatial.small(wall(spark, sf).select("idx", "nx", "ny", "wall_d")), "idx")
-    return models.boxes(p, outward=False).withColumn("faces", F.size(models.box_faces(False)))
+    return models.boxes(p, outward=False).select("cluster_id", "idx", *(r6(c, c) for c in ("t0", "t1", "z0", "z1", "d_far", "d_wall")), F.size(models.box_faces(False)).alias("faces"))
 
 
-@query()
+@query("pts", "w", sql=", j AS (SELECT classification AS cluster_id, idx, nx, ny, wall_d, y * nx - x * ny AS t, z, x * nx + y * ny AS d FROM pts JOIN w ON idx = classification * 3), g AS (SELECT cluster_id, idx, min(wall_d) AS d_wall, min(t) AS t0, max(t) AS t1, min(z) AS z0, max(z) AS z1, max(d) AS d_far FROM j GROUP BY 1, 2) SELECT cluster_id, idx, round(t0, 6) + 0.0 AS t0, round(t1, 6) + 0.0 AS t1, round(z0, 6) + 0.0 AS z0, round(z1, 6) + 0.0 AS z1, round(d_far, 6) + 0.0 AS d_far, round(d_wall, 6) + 0.0 AS d_wall, 6 AS faces FROM g WHERE d_far > d_wall")
 def extrusion_boxes(spark, sf):
     p = pts(spark, sf).select(F.col("classification").alias("cluster_id"), "x", "y", "z", (F.col("classification") * 3).alias("idx")).join(spatial.small(wall(spark, sf).select("idx", "nx", "ny", "wall_d")), "idx")
-    return models.boxes(p, outward=True).withColumn("faces", F.size(models.box_faces(True)))
+    return models.boxes(p, outward=True).select("cluster_id", "idx", *(r6(c, c) for c in ("t0", "t1", "z0", "z1", "d_far", "d_wall")), F.size(models.box_faces(True)).alias("faces"))
 
 
-@query()
+@query("w", sql="SELECT concat('m', idx // 4 % 5) AS model_id, count(*) AS n_walls, round(sum(10 * (z_max - z_min)), 6) AS area FROM w GROUP BY 1")
 def cityjson_roundtrip(spark, sf):
     from .sources import documents
 
@@ -554,11 +559,11 @@ def clipped_walls(spark, sf):
 
 
 @query(sql="""WITH p AS (SELECT i // 16 AS row, i % 16 AS col, (i % 16 + 0.5) * (2.0 / 16) - 1 AS a, (i // 16 + 0.5) * (2.0 / 16) - 1 AS b FROM generate_series(0, 255) t(i)),
-  d AS (SELECT 'front' AS face, row, col, 1.0 AS x, a AS y, -b AS z FROM p UNION ALL SELECT 'up', row, col, b, a, 1.0 FROM p)
+  d AS (SELECT 'front' AS face, row, col, 1.0 AS x, a AS y, -b AS z FROM p UNION ALL SELECT 'up', row, col, b, a, 1.0 FROM p UNION ALL SELECT 'back', row, col, -1.0, -a, -b FROM p UNION ALL SELECT 'right', row, col, -a, 1.0, -b FROM p UNION ALL SELECT 'left', row, col, a, -1.0, -b FROM p UNION ALL SELECT 'down', row, col, -b, a, -1.0 FROM p)
   SELECT face, CAST(row AS INT) AS row, CAST(col AS INT) AS col, CAST(floor((atan2(y, x) / (2 * pi()) + 0.5) * 1000) % 1000 AS INT) AS u, CAST(least(greatest(floor((0.5 - atan2(z, sqrt(x * x + y * y)) / pi()) * 500), 0), 499) AS INT) AS v FROM d""")
 def panorama_mapping(spark, sf):
     u, v = panorama.panorama_pixel(1000, 500)
-    return panorama.face_pixels(spark, 16).filter("face IN ('front', 'up')").select("face", "row", "col", u.alias("u"), v.alias("v"))
+    return panorama.face_pixels(spark, 16).select("face", "row", "col", u.alias("u"), v.alias("v"))
 
 
 @query(sql="SELECT round(14.5 + i * (50 / 111139.0), 6) AS lat, round(121.0 + j * (50 / (111139.0 * cos(radians(14.51)))), 6) AS lng FROM generate_series(0, CAST(floor(0.02 / (50 / 111139.0)) AS BIGINT)) t(i), generate_series(0, CAST(floor(0.01 / (50 / (111139.0 * cos(radians(14.51))))) AS BIGINT)) s(j)")
@@ -608,11 +613,14 @@ def rekey_surfaces(spark, sf):
     return facades.rekey_surfaces(s).select(F.col("obj_id").alias("obj"), "sem_idx", F.col("new_idx").cast("bigint").alias("new_idx"), F.coalesce("new_parent", F.lit(-1)).cast("bigint").alias("new_parent"))
 
 
-@query(sql="WITH c AS (SELECT s_name AS name, upper(split_part(replace(s_name, '#', '_'), '_', 1)) AS p FROM supplier), g AS (SELECT DISTINCT p_type, upper(split_part(p_type, ' ', 1)) AS p FROM part) SELECT count(*) AS n FROM c, g WHERE c.p = g.p")
+@query(sql="""WITH n AS (SELECT n_nationkey AS k, replace(n_name, '_', '') AS n FROM nation), c AS (SELECT n || '_roof' AS name, lower(n) AS p FROM n), g AS (SELECT DISTINCT CASE s_suppkey % 3 WHEN 0 THEN concat(n, '_', s_suppkey % 7) WHEN 1 THEN concat('Old', n) ELSE concat(lower(n), 'x') END AS polygon_id FROM supplier JOIN n ON s_nationkey = k),
+  j AS (SELECT name, polygon_id, starts_with(lower(polygon_id), p || '_') AS strict FROM c JOIN g ON contains(lower(polygon_id), p)) SELECT name, polygon_id, strict FROM j QUALIFY strict OR NOT max(strict) OVER (PARTITION BY name)""")
 def prefix_join(spark, sf):
-    c = _table(spark, sf, "supplier").select(F.translate("s_name", "#", "_").alias("name"))
-    p = _table(spark, sf, "part").select(F.translate("p_type", " ", "_").alias("polygon_id")).distinct()
-    return facades.match_prefixes(c, p).agg(F.count("*").alias("n"))
+    n = _table(spark, sf, "nation").select("n_nationkey", F.replace("n_name", F.lit("_"), F.lit("")).alias("n"))
+    g = _table(spark, sf, "supplier").join(spatial.small(n), F.col("s_nationkey") == F.col("n_nationkey"))
+    k = F.col("s_suppkey")
+    name = F.when(k % 3 == 0, F.concat("n", F.lit("_"), (k % 7).cast("string"))).when(k % 3 == 1, F.concat(F.lit("Old"), "n")).otherwise(F.concat(F.lower("n"), F.lit("x")))
+    return facades.match_prefixes(n.select(F.concat("n", F.lit("_roof")).alias("name")), g.select(name.alias("polygon_id")).distinct())
 
 
 @query("cloud", sql="SELECT pid, round(x, 6) + 0.0 AS u, round(z, 6) + 0.0 AS v, round(-y, 6) + 0.0 AS d FROM cloud")
@@ -641,10 +649,10 @@ def panel_holes(spark, sf):
     return facades.panel_holes(b, p).select("box_id", "idx", r6("t0", "t0"), r6("z1", "z1"))
 
 
-@query("w", sql=", b AS (SELECT idx AS box_id, nx, ny, wall_d + 3 AS m, wall_d AS d FROM w WHERE idx % 5 = 0) SELECT box_id, round(coalesce((SELECT max(w.wall_d) FROM w WHERE b.nx * w.nx + b.ny * w.ny >= 0.8 AND w.wall_d <= b.m), d), 6) + 0.0 AS d_wall FROM b")
+@query("w", sql=", b AS (SELECT idx AS box_id, nx, ny, wall_d + 3 AS m, wall_d AS d FROM w) SELECT box_id, round(coalesce((SELECT max(w.wall_d) FROM w WHERE b.nx * w.nx + b.ny * w.ny >= 0.8 AND w.wall_d <= b.m), d), 6) + 0.0 AS d_wall FROM b")
 def snapped_extrusions(spark, sf):
     w = wall(spark, sf)
-    b = w.filter("idx % 5 = 0").select(F.col("idx").alias("box_id"), "nx", "ny", (F.col("wall_d") + 3).alias("d_median"), (F.col("wall_d") + 4).alias("d_far"), "wall_d").withColumnRenamed("wall_d", "d_wall")
+    b = w.select(F.col("idx").alias("box_id"), "nx", "ny", (F.col("wall_d") + 3).alias("d_median"), (F.col("wall_d") + 4).alias("d_far"), "wall_d").withColumnRenamed("wall_d", "d_wall")
     return facades.snap_near_face(b, w).select("box_id", r6("d_wall", "d_wall")).distinct()
 
 
@@ -688,3 +696,213 @@ def rotation_search(spark, sf):
     c = cloud(spark, sf)
     turned = c.select("pid", (-F.col("y")).alias("x"), F.col("x").alias("y"), "z")
     return spark.createDataFrame([facades.rotation_search(c, turned, 0.2, [float(d) for d in range(0, 360, 30)])], "angle double, distance double")
+
+
+# --- matching variants, selections, labels
+
+_MATCH = ", c AS (SELECT pid AS cluster_id, x, y, z - 0.5 AS z_lo, z + 0.5 AS z_hi FROM pts), j AS (SELECT c.*, w.*, (x - ox) * nx + (y - oy) * ny AS d FROM c, w)"
+
+
+def _clusters(spark, sf) -> DataFrame:
+    return pts(spark, sf).select(F.col("pid").alias("cluster_id"), "x", "y", (F.col("z") - 0.5).alias("z_lo"), (F.col("z") + 0.5).alias("z_hi"))
+
+
+def _plain_walls(spark, sf) -> DataFrame:
+    return wall(spark, sf).drop("ring", "n_nationkey")
+
+
+@query("pts", "w", sql=_MATCH + f" SELECT cluster_id, idx, round(d, 6) + 0.0 AS d FROM j WHERE abs(d) < 2 AND {_BOX} AND z_hi >= z_min - 0.5 AND z_lo <= z_max + 0.5")
+def wall_match_every(spark, sf):
+    return walls.match_clusters(_clusters(spark, sf), _plain_walls(spark, sf), many=True, last=None).filter("stage = 1").select("cluster_id", "idx", r6("d", "d"))
+
+
+@query("pts", "w", sql=_MATCH + """, one AS (SELECT cluster_id, idx, 1 AS stage, d, abs(d) AS far FROM j WHERE d < 2 AND d > -10 AND z_hi >= z_min - 1 AND z_lo <= z_max + 1 AND x - d * nx BETWEEN x_min - 2 AND x_max + 2 AND y - d * ny BETWEEN y_min - 2 AND y_max + 2),
+  two AS (SELECT cluster_id, idx, 3 AS stage, d, sqrt((x - ox) * (x - ox) + (y - oy) * (y - oy)) AS far FROM j WHERE d < 2 AND d > -10)
+  SELECT cluster_id, idx, stage, round(d, 6) + 0.0 AS d FROM (SELECT * FROM one UNION ALL SELECT * FROM two) QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY stage, far, idx) = 1""")
+def wall_match_deep(spark, sf):
+    return walls.match_clusters(_clusters(spark, sf), _plain_walls(spark, sf), tolerance=2.0, inward=10.0, z_expand=1.0, pad=2.0, last="centroid").select("cluster_id", "idx", "stage", r6("d", "d"))
+
+
+@query("pts", "w", sql=_MATCH + """, t AS (SELECT cluster_id, idx, d, CASE WHEN abs(d) < 5 AND x BETWEEN x_min - 5 AND x_max + 5 AND y BETWEEN y_min - 5 AND y_max + 5 THEN 1 ELSE 3 END AS stage FROM j WHERE z_hi >= z_min - 2 AND z_lo <= z_max + 2) SELECT cluster_id, idx, stage, round(d, 6) + 0.0 AS d FROM t QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY stage, abs(d), idx) = 1""")
+def wall_match_heights(spark, sf):
+    return walls.match_clusters(_clusters(spark, sf), _plain_walls(spark, sf), tolerance=5.0, z_expand=2.0, z_always=True).select("cluster_id", "idx", "stage", r6("d", "d"))
+
+
+@query("pts", "w", sql=", j AS (SELECT pid, idx, (x - ox) * nx + (y - oy) * ny AS d FROM pts, w) SELECT pid, idx, round(d, 6) + 0.0 AS d FROM j QUALIFY row_number() OVER (PARTITION BY pid ORDER BY abs(d), idx) = 1")
+def split_by_wall(spark, sf):
+    return walls.split_by_wall(pts(spark, sf), _plain_walls(spark, sf)).select("pid", "idx", r6("d", "d"))
+
+
+@query("pts", "w", sql=""", j AS (SELECT pts.*, classification AS cluster_id, (x - ox) * nx + (y - oy) * ny BETWEEN -10 AND 0.1 AS inside FROM pts JOIN w ON idx = classification * 3)
+  SELECT cluster_id, count(*) AS n, count(*) FILTER (inside) AS n_interior FROM j GROUP BY 1 HAVING count(*) FILTER (inside) >= 10 AND count(*) FILTER (inside) >= 0.1 * count(*) AND max(z) FILTER (inside) - min(z) FILTER (inside) >= 0.01
+  AND greatest(max(x) FILTER (inside) - min(x) FILTER (inside), max(y) FILTER (inside) - min(y) FILTER (inside)) >= 0.01""")
+def cluster_gates(spark, sf):
+    p = pts(spark, sf).withColumn("idx", F.col("classification") * 3).join(spatial.small(_plain_walls(spark, sf).select("idx", "nx", "ny", "ox", "oy")), "idx").withColumnRenamed("classification", "cluster_id")
+    inside = walls.interior_points(p).select("pid", F.lit(True).alias("interior"))
+    return walls.passing_clusters(p.join(inside, "pid", "left").na.fill(False, ["interior"]))
+
+
+@query("big", sql="SELECT cls, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, cls) AS place FROM big GROUP BY 1")
+def clusters_by_size(spark, sf):
+    return selection.by_size(big(spark, sf), "cls").withColumn("place", F.col("place").cast("bigint"))
+
+
+@query("cloud", sql=", s AS (SELECT classification, count(*) AS n, min(pid) AS first_pid FROM cloud GROUP BY 1), i AS (SELECT *, row_number() OVER (ORDER BY first_pid, classification) - 1 AS segment_id FROM s) SELECT *, row_number() OVER (ORDER BY n DESC, segment_id) AS place FROM i")
+def segments_by_size(spark, sf):
+    return selection.segments_by_size(cloud(spark, sf), "classification").withColumns({c: F.col(c).cast("bigint") for c in ("segment_id", "place")})
+
+
+@query("cloud", sql="SELECT classification, greatest(count(*) // 7, 2) AS n, true AS apart FROM cloud GROUP BY 1")
+def stride_subsample(spark, sf):
+    s = selection.stride_sample(cloud(spark, sf), "classification", 7)
+    return s.groupBy("classification").agg(F.count("*").alias("n"), (F.countDistinct("pid") == F.count("*")).alias("apart"))
+
+
+@query("cloud", sql="SELECT 100 AS n, 100 AS distinct_pids, 0 AS out_of_order")
+def capped_points(spark, sf):
+    c = selection.capped_in_order(cloud(spark, sf), 100).withColumn("before", F.lag("pid").over(Window.orderBy("place")))
+    return c.agg(F.count("*").alias("n"), F.countDistinct("pid").alias("distinct_pids"), F.count_if(F.col("before") > F.col("pid")).alias("out_of_order"))
+
+
+@query("pts", "w", sql=", b AS (SELECT min(x_min) AS x0, max(x_max) AS x1, min(y_min) AS y0, max(y_max) AS y1 FROM w) SELECT pid FROM pts, b WHERE x BETWEEN x0 - 3 AND x1 + 3 AND y BETWEEN y0 - 3 AND y1 + 3")
+def near_model_points(spark, sf):
+    return selection.near_model(pts(spark, sf), wall(spark, sf).select("ring"), 3.0).select("pid")
+
+
+@query(sql="SELECT CAST(n_regionkey AS VARCHAR) AS model_id, coalesce(min(CASE WHEN n_nationkey % 4 = 1 THEN n_nationkey - 10.0 END), 0) AS ground FROM nation GROUP BY 1")
+def ground_levels(spark, sf):
+    n = _table(spark, sf, "nation")
+    at = lambda x, y: F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), (F.col("n_nationkey") - 10.0).alias("z"))
+    kind = F.when(F.col("n_nationkey") % 4 == 1, "GroundSurface").otherwise("RoofSurface")
+    return selection.ground_level(n.select(F.col("n_regionkey").cast("string").alias("model_id"), kind.alias("sem_type"), F.array(at(0.0, 0.0), at(1.0, 0.0), at(1.0, 1.0)).alias("ring")))
+
+
+@query(sql="WITH f AS (SELECT CASE WHEN n_nationkey % 6 = 5 THEN NULL ELSE n_nationkey % 6 - 1 END AS i FROM nation) SELECT CASE WHEN i IS NULL THEN '' WHEN i = 0 THEN 'WallSurface' WHEN i = 1 THEN 'RoofSurface' ELSE concat('INVALID(', i, ')') END AS sem_type, count(*) AS n FROM f GROUP BY 1")
+def polygons_by_type(spark, sf):
+    i = F.when(F.col("n_nationkey") % 6 != 5, (F.col("n_nationkey") % 6 - 1).cast("int"))
+    return selection.polygons_by_type(_table(spark, sf, "nation").select(i.alias("sem_idx"), F.array(F.lit("WallSurface"), F.lit("RoofSurface")).alias("types")))
+
+
+@query("w", sql="SELECT concat('m', idx // 4 % 5) AS model_id, count(DISTINCT idx // 4) AS objects, count(*) AS polygons, count(*) * 4 AS vertices, 2.2 AS lod, count(*) FILTER (idx % 2 = 0) AS walls FROM w GROUP BY 1")
+def model_statistics(spark, sf):
+    s = selection.statistics(_model_rings(spark, sf).withColumn("sem_type", F.when(F.col("poly_idx") % 2 == 0, "WallSurface").otherwise("RoofSurface")))
+    return s.select("model_id", "objects", "polygons", "vertices", "lod", F.col("types")["WallSurface"].alias("walls"))
+
+
+def _model_rings(spark, sf) -> DataFrame:
+    w = wall(spark, sf)
+    return w.select(
+        F.concat(F.lit("m"), (F.col("n_nationkey") % 5).cast("string")).alias("model_id"), F.concat(F.lit("b"), F.col("n_nationkey").cast("string")).alias("obj_id"), F.lit("Building").alias("type"),
+        F.lit(2.2).alias("lod"), F.lit("WallSurface").alias("sem_type"), F.col("idx").cast("int").alias("poly_idx"), F.lit(0).alias("ring_idx"), "ring",
+    )
+
+
+def _model_openings(spark, sf) -> DataFrame:
+    """A window in every wall, a door in those of every fifth nation."""
+    w = wall(spark, sf).withColumns({"model_id": F.concat(F.lit("m"), (F.col("n_nationkey") % 5).cast("string")), "obj_id": F.concat(F.lit("b"), F.col("n_nationkey").cast("string")), "poly_idx": F.col("idx").cast("int")})
+    middle = F.col("oy") * F.col("nx") - F.col("ox") * F.col("ny")
+    kinds = F.explode(F.filter(F.array(F.struct(F.lit("Window").alias("feature_type"), F.lit(1).alias("opening_id"), F.lit(1.0).alias("t"), F.lit(1.0).alias("low")), F.when(F.col("n_nationkey") % 5 == 0, F.struct(F.lit("Door").alias("feature_type"), F.lit(2).alias("opening_id"), F.lit(-2.0).alias("t"), F.lit(0.1).alias("low")))), lambda k: k.isNotNull()))
+    o = w.withColumn("k", kinds).select("model_id", "obj_id", "poly_idx", "idx", "nx", "ny", "wall_d", "k.feature_type", "k.opening_id", (middle + F.col("k.t")).alias("t0"), (middle + F.col("k.t") + 1).alias("t1"), F.col("k.low").alias("z0"), (F.col("k.low") + 1.5).alias("z1"))
+    return models.opening_features(o)
+
+
+@query("w", sql="""SELECT concat('m', idx // 4 % 5) AS model_id, 'Building' AS type, count(DISTINCT idx // 4) AS n, CAST(sum(CASE WHEN idx // 4 % 5 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS holes, CAST(sum(CASE WHEN idx // 4 % 5 = 0 THEN 2 ELSE 1 END) AS BIGINT) + count(*) FILTER (idx % 4 = 0) AS linked, 2.2 AS lod FROM w GROUP BY 1
+  UNION ALL SELECT concat('m', idx // 4 % 5), 'Window', count(*), 0, count(*), 3.0 FROM w GROUP BY 1 UNION ALL SELECT 'm0', 'Door', count(*), 0, count(*), 3.0 FROM w WHERE idx // 4 % 5 = 0 UNION ALL SELECT concat('m', idx // 4 % 5), 'BuildingInstallation', count(*), 0, count(*), 3.0 FROM w WHERE idx % 4 = 0 GROUP BY 1""")
+def detailed_models(spark, sf):
+    """Openings punched, installations added, written as documents and read again: objects, holes and links by type."""
+    from .sources import assembly, documents
+
+    faces = wall(spark, sf).filter("idx % 4 = 0").select(F.concat(F.lit("m"), (F.col("n_nationkey") % 5).cast("string")).alias("model_id"), F.concat(F.lit("b"), F.col("n_nationkey").cast("string")).alias("parent"), F.concat(F.lit("i"), F.col("idx").cast("string")).alias("feature_id"), F.lit(0).alias("poly_idx"), F.lit("WallSurface").alias("sem_type"), "ring")
+    rings = assembly.with_installations(assembly.punched(_model_rings(spark, sf), _model_openings(spark, sf)), faces)
+    back = documents.parse_cityjson(documents.cityjson_document(rings))
+    objects = back.select("model_id", F.explode("objects").alias("obj_id", "o")).select("model_id", "obj_id", F.col("o.type").alias("type"), F.coalesce(F.size("o.parents"), F.lit(0)).alias("p"), F.coalesce(F.size("o.children"), F.lit(0)).alias("c"))
+    table = models.polygons(back).groupBy("model_id", "obj_id").agg(F.count_if(F.col("ring_idx") > 0).alias("holes"), F.max("lod").alias("lod"))
+    link = F.when(F.col("p") > 0, F.col("p")).otherwise(F.when(F.col("c") > 0, F.col("c")).otherwise(0))
+    return objects.join(table, ["model_id", "obj_id"]).groupBy("model_id", "type").agg(F.count("*").alias("n"), F.sum("holes").cast("bigint").alias("holes"), F.sum(link).cast("bigint").alias("linked"), F.max("lod").alias("lod"))
+
+
+@query("w", sql="SELECT concat('m', idx // 4 % 5) AS model_id, count(*) AS walls, count(*) AS windows, count(*) FILTER (idx // 4 % 5 = 0) AS doors, count(*) + count(*) FILTER (idx // 4 % 5 = 0) AS interiors FROM w GROUP BY 1")
+def detailed_gml_documents(spark, sf):
+    from .sources import assembly
+
+    g = assembly.detailed_gml(assembly.punched(_model_rings(spark, sf), _model_openings(spark, sf)))
+    n = lambda t: F.regexp_count("value", F.lit(t)).cast("bigint")
+    return g.select("model_id", n("<bldg:WallSurface ").alias("walls"), n("<bldg:opening><bldg:Window ").alias("windows"), n("<bldg:opening><bldg:Door ").alias("doors"), n("<gml:interior>").alias("interiors"))
+
+
+@query("w", sql="SELECT concat('m', idx // 4 % 5) AS model_id, 3 * count(DISTINCT idx // 4) AS surfaces, 1 AS fragments FROM w GROUP BY 1")
+def edited_gml_documents(spark, sf):
+    """The first wall of every building taken out of the documents, a fragment put into each."""
+    from .sources import assembly, sinks
+
+    g = sinks.gml_documents(_model_rings(spark, sf))
+    first = wall(spark, sf).filter("idx % 4 = 0").select(F.concat(F.lit("m"), (F.col("n_nationkey") % 5).cast("string")).alias("model_id"), F.concat(F.lit("b"), F.col("n_nationkey").cast("string"), F.lit("_"), F.col("idx").cast("string")).alias("surface_id"))
+    out = assembly.with_fragments(assembly.without_surfaces(g, first), g.select("model_id", F.lit("<bldg:outerBuildingInstallation/>").alias("fragment")))
+    n = lambda t: F.regexp_count("value", F.lit(t)).cast("bigint")
+    return out.select("model_id", n("<bldg:WallSurface ").alias("surfaces"), n("<bldg:outerBuildingInstallation/></bldg:Building></core:cityObjectMember></core:CityModel>").alias("fragments"))
+
+
+@query("cloud", sql=", m AS (SELECT classification, 0.5 * atan2(2 * covar_pop(x, y), var_pop(x) - var_pop(y)) AS a FROM cloud GROUP BY 1), p AS (SELECT classification, x * cos(a) + y * sin(a) AS u, y * cos(a) - x * sin(a) AS v, z FROM cloud JOIN m USING (classification)) SELECT classification, round(max(u) - min(u), 6) + 0.0 AS width, round(max(z) - min(z), 6) + 0.0 AS height, round(max(v) - min(v), 6) + 0.0 AS depth, round((max(u) - min(u)) * (max(v) - min(v)), 5) + 0.0 AS area FROM p GROUP BY 1")
+def oriented_boxes(spark, sf):
+    b = selection.oriented_boxes(cloud(spark, sf), "classification")
+    return b.select("classification", r6("width", "width"), r6("height", "height"), r6("depth", "depth"), (F.round(F.abs(G.area_xy(F.col("ring"))), 5) + 0.0).alias("area"))
+
+
+@query("w", sql="SELECT idx, CAST(2 * power(4, ceil(log2(sqrt(100 + z_max * z_max) / 2.0))) AS BIGINT) AS n, round(10 * z_max, 6) AS area FROM w")
+def subdivided_walls(spark, sf):
+    t = selection.subdivided(selection.triangles(wall(spark, sf), "idx"), 2.0)
+    area = G.norm(G.corner_normal(F.array("a", "b", "c"))) / 2
+    return t.groupBy("idx").agg(F.count("*").alias("n"), F.round(F.sum(area), 6).alias("area"))
+
+
+@query("w", sql="SELECT idx, greatest(100, CAST(floor(10 * z_max / 0.25) AS BIGINT)) AS n, 0.0 AS off_plane, 0 AS outside FROM w")
+def wall_samples(spark, sf):
+    s = selection.sampled(wall(spark, sf).select("idx", "ring"), "idx", 0.5).join(spatial.small(_plain_walls(spark, sf)), "idx")
+    out = ~(F.col("x").between(F.col("x_min") - 1e-9, F.col("x_max") + 1e-9) & F.col("y").between(F.col("y_min") - 1e-9, F.col("y_max") + 1e-9) & F.col("z").between(F.col("z_min"), F.col("z_max")))
+    return s.groupBy("idx").agg(F.count("*").alias("n"), (F.round(F.max(F.abs(walls.signed_distance())), 6) + 0.0).alias("off_plane"), F.count_if(out).alias("outside"))
+
+
+@query("corner", sql=", e AS (SELECT a.idx, CAST(a.k AS INT) AS i, a.x AS ax, a.y AS ay, a.z AS az, b.x AS bx, b.y AS by_, b.z AS bz FROM corner a JOIN corner b ON a.idx = b.idx AND b.k = (a.k + 1) % 4) SELECT p.idx AS face_1, p.i, q.idx AS face_2, q.i AS j FROM e p JOIN e q ON p.idx < q.idx AND ((sqrt((p.ax - q.ax) ** 2 + (p.ay - q.ay) ** 2 + (p.az - q.az) ** 2) <= 0.05 AND sqrt((p.bx - q.bx) ** 2 + (p.by_ - q.by_) ** 2 + (p.bz - q.bz) ** 2) <= 0.05) OR (sqrt((p.ax - q.bx) ** 2 + (p.ay - q.by_) ** 2 + (p.az - q.bz) ** 2) <= 0.05 AND sqrt((p.bx - q.ax) ** 2 + (p.by_ - q.ay) ** 2 + (p.bz - q.az) ** 2) <= 0.05))")
+def edges_within_tolerance(spark, sf):
+    return selection.shared_edges_within(wall(spark, sf).select(F.col("idx").alias("face_id"), "ring"))
+
+
+@query("pts", "w", sql=", n AS (SELECT pid, idx, least(greatest(((x - x_min) * (x_max - x_min) + (y - y_min) * (y_max - y_min)) / ((x_max - x_min) ** 2 + (y_max - y_min) ** 2), 0), 1) AS t, x_min, x_max, y_min, y_max, z_min FROM pts JOIN w ON idx = classification) SELECT pid, round(x_min + t * (x_max - x_min), 6) + 0.0 AS x, round(y_min + t * (y_max - y_min), 6) + 0.0 AS y, round(z_min, 6) + 0.0 AS z FROM n")
+def nearest_on_edges(spark, sf):
+    w = _plain_walls(spark, sf).select("idx", G.point(F.col("x_min"), F.col("y_min"), F.col("z_min")).alias("a"), G.point(F.col("x_max"), F.col("y_max"), F.col("z_min")).alias("b"))
+    p = pts(spark, sf).join(spatial.small(w), F.col("idx") == F.col("classification"))
+    n = G.nearest_on_segment({c: F.col(c) for c in "xyz"}, F.col("a"), F.col("b"))
+    return p.select("pid", n.alias("n")).select("pid", *(r6(f"n.{c}", c) for c in "xyz"))
+
+
+@query("rgb", sql=", t AS (SELECT pid, red * 257 AS r, blue * 257 AS b, p_size FROM rgb) SELECT CASE WHEN p_size % 4 = 0 THEN 'Wall' WHEN p_size % 4 = 1 THEN 'Roof' ELSE 'Other' END AS label, count(*) AS n, round(avg(r / 65535.0), 6) AS red, round(avg(CASE p_size % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 0.5 ELSE 0.2 END), 6) AS shown, count(*) FILTER (r = 0 AND b = 0) AS black FROM t GROUP BY 1")
+def labelled_classes(spark, sf):
+    t = rgb(spark, sf).withColumns({c: F.col(c) * 257 for c in ("red", "green", "blue")})
+    code = F.col("p_size") % 4
+    t = C.normalised(t).withColumns({"label": selection.labels_of(code, {0: "Wall", 1: "Roof"}), "shown": C.class_color(code, {0: (1.0, 0, 0), 1: (0.5, 0, 0)})["red"]})
+    return t.groupBy("label").agg(F.count("*").alias("n"), F.round(F.avg("red"), 6).alias("red"), F.round(F.avg("shown"), 6).alias("shown"), F.count_if((F.col("red") == 0) & (F.col("blue") == 0)).alias("black"))
+
+
+@query("rgb", sql=", q AS (SELECT pid, red // 64 AS red, green // 64 AS green, blue // 64 AS blue FROM rgb), l AS (SELECT red, green, blue, min(pid) % 5 + 1 AS class FROM q WHERE red > 0 GROUP BY ALL) SELECT coalesce(class, 0) AS classification, count(*) AS n FROM q LEFT JOIN l USING (red, green, blue) GROUP BY 1")
+def assigned_labels(spark, sf):
+    q = rgb(spark, sf).select("pid", *(F.floor(F.col(c) / 64).alias(c) for c in ("red", "green", "blue")))
+    labels = q.filter("red > 0").groupBy("red", "green", "blue").agg((F.min("pid") % 5 + 1).alias("class"))
+    return C.labelled(q, labels).groupBy("classification").agg(F.count("*").alias("n"))
+
+
+@query("big", sql=", g AS (SELECT cls AS wall, floor(x / 5) AS i, floor(y / 5) AS j, median(z) AS depth FROM big GROUP BY ALL), b AS (SELECT wall, median(depth) AS base FROM g GROUP BY 1) SELECT wall, CAST(sign(depth - base) AS INT) AS sign, count(*) AS n, round(base, 6) AS base FROM g JOIN b USING (wall) WHERE abs(depth - base) > 0.12 GROUP BY ALL")
+def depth_details(spark, sf):
+    g = big(spark, sf).groupBy(F.col("cls").alias("wall"), F.floor(F.col("x") / 5).alias("i"), F.floor(F.col("y") / 5).alias("j")).agg(F.median("z").alias("depth"))
+    return selection.detail_cells(g, selection.depth_baseline(g)).groupBy("wall", "sign", F.round("base", 6).alias("base")).agg(F.count("*").alias("n"))
+
+
+@query(sql="SELECT n_nationkey AS k, t.face, t.heading, t.pitch, concat(format('{:.6f}', 14.5 + n_nationkey / 100.0), '_', format('{:.6f}', 121.0), '_', t.face, '.jpg') AS name FROM nation, (VALUES ('front', 0, 0), ('right', 90, 0), ('back', 180, 0), ('left', 270, 0), ('up', 0, 90), ('down', 0, -90)) t(face, heading, pitch)")
+def tile_requests(spark, sf):
+    n = _table(spark, sf, "nation").select((F.lit(14.5) + F.col("n_nationkey") / 100.0).alias("lat"), F.lit(121.0).alias("lng"))
+    return selection.tile_requests(n).select(F.round((F.col("lat") - 14.5) * 100).cast("bigint").alias("k"), "face", "heading", "pitch", "name")
+
+
+@query(sql="SELECT n_nationkey AS k, concat('labelled_', n_name, '.las') AS labelled, concat('color_segmented_', n_name, '.las') AS segmented, concat(n_name, '_LOD3.json') AS lod3 FROM nation")
+def output_names(spark, sf):
+    name = F.concat("n_name", F.lit(".las"))
+    return _table(spark, sf, "nation").select(F.col("n_nationkey").alias("k"), *(X.output_name(name, k).alias(k) for k in ("labelled", "segmented", "lod3")))
