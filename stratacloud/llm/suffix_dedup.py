@@ -55,7 +55,8 @@ def _keyed(docs: DataFrame, *extra: Column) -> DataFrame:
 
 
 def candidate_runs(keyed: DataFrame, span: int) -> DataFrame:
-    """gram, region, doc, tie, start, count, kind: kind 1 says that the batch has an earlier row of the class (a repeat)."""
+    """gram, region, doc, tie, at, kind: at is the start and, in its low 16 bits, the count; kind 1 says that the batch has an earlier row
+    of the class (a repeat)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -72,13 +73,18 @@ def candidate_runs(keyed: DataFrame, span: int) -> DataFrame:
                 # a row repeated as it is (a document given twice) is no repeat of itself
                 first = np.maximum.accumulate(np.where(again == 0, np.arange(len(order)), 0))
                 again[(d == d[first]) & (t == t[first]) & (start == start[first])] = 0
-                yield pa.record_batch({"gram": gram, "region": region, "doc": d, "tie": t, "start": start, "count": r.count[order].astype(np.int16), "kind": again})
+                yield pa.record_batch({"gram": gram, "region": region, "doc": d, "tie": t, "at": start.astype(np.int64) << 16 | r.count[order], "kind": again})
 
-    return keyed.select("doc", "tie", "text").mapInArrow(find, "gram bigint, region bigint, doc bigint, tie bigint, start int, count short, kind short")
+    return keyed.select("doc", "tie", "text").mapInArrow(find, "gram bigint, region bigint, doc bigint, tie bigint, at bigint, kind short")
+
+
+def _unpacked(rows: DataFrame) -> DataFrame:
+    """doc, tie, start, count, kind, gram of candidate rows."""
+    return rows.select(*_KEY, F.shiftright("at", 16).cast("int").alias("start"), F.col("at").bitwiseAND(F.lit(65535)).cast("short").alias("count"), "kind", "gram")
 
 
 def _classes(rows: DataFrame) -> DataFrame:
-    """Rows sorted by gram, region, doc, tie, start to doc, tie, start, count, kind, gram: kind 1 for repeats, 2 for the first
+    """Rows sorted by gram, region, doc, tie, at to doc, tie, start, count, kind, gram: kind 1 for repeats, 2 for the first
     of a class whose anchor has several classes."""
     names = ["doc", "tie", "start", "count", "kind", "gram"]
 
@@ -87,7 +93,8 @@ def _classes(rows: DataFrame) -> DataFrame:
         held: np.ndarray | None = None  # the only class's first row of the last anchor so far
         first: np.ndarray | None = None  # the last class's first row
         for batch in batches:
-            c = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(6)], axis=1)  # gram region doc tie start count
+            c = [batch.column(k).to_numpy() for k in range(5)]
+            c = np.stack([*c[:4], c[4] >> 16, c[4] & 65535], axis=1)  # gram region doc tie start count
             if not len(c):
                 continue
             before = np.concatenate([[last], c[:-1]]) if last is not None else np.concatenate([[c[0] - 1], c[:-1]])
@@ -112,7 +119,7 @@ def _classes(rows: DataFrame) -> DataFrame:
             found = np.concatenate(out)
             yield pa.record_batch([pa.array(found[:, k].astype(t)) for k, t in enumerate((np.int64, np.int64, np.int32, np.int16, np.int16, np.int64))], names=names)
 
-    return rows.select("gram", "region", "doc", "tie", "start", "count").mapInArrow(scan, "doc bigint, tie bigint, start int, count short, kind short, gram bigint")
+    return rows.select("gram", "region", "doc", "tie", "at").mapInArrow(scan, "doc bigint, tie bigint, start int, count short, kind short, gram bigint")
 
 
 def _packed(rows: DataFrame) -> DataFrame:
@@ -250,13 +257,12 @@ def _removed(docs: DataFrame, span: int) -> DataFrame:
 def remove_repeats(docs: DataFrame, span: int = SPAN, keep: list[str] | None = None) -> DataFrame:
     """docs(doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text, and the columns to keep as they are."""
     small_batches(docs.sparkSession)
-    parts = task_count(docs.sparkSession)
+    parts = task_count(docs.sparkSession, docs)
     keyed = _keyed(docs)
     rows = candidate_runs(keyed, span)
     # repeats within a batch are known and go straight to their documents
-    once = rows.filter("kind = 0").repartition(parts, "gram").sortWithinPartitions("gram", "region", *_KEY, "start")
-    names = [*_KEY, "start", "count", "kind", "gram"]
-    runs = durable(_packed(rows.filter("kind = 1").select(*names).unionByName(_classes(once))))
+    once = rows.filter("kind = 0").drop("kind").repartition(parts, "gram").sortWithinPartitions("gram", "region", *_KEY, "at")
+    runs = durable(_packed(_unpacked(rows.filter("kind = 1")).unionByName(_classes(once))))
     keep = keep or []
     extra = F.struct(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(keep)), F.lit(None).cast("int").alias("none"))
     whole = _keyed(docs, extra.alias("extra"))
