@@ -250,3 +250,87 @@ def rotation_search(source: DataFrame, target: DataFrame, cell: float, degrees:
     near = nearest(turned, target, 1, cell)
     best = near.groupBy(F.col("qid.angle").alias("angle")).agg(F.avg(F.sqrt("d2")).alias("distance")).orderBy("distance", "angle").first()
     return best["angle"], best["distance"]
+
+
+def rotation_refined(source: DataFrame, target: DataFrame, cell: float, around: float = 2.0, step: float = 0.1) -> tuple[float, float]:
+    """rotation_search in whole degrees, then in fine steps around the best."""
+    best, _ = rotation_search(source, target, cell, [float(d) for d in range(360)])
+    n = round(around / step)
+    return rotation_search(source, target, cell, [best + k * step for k in range(-n, n + 1)])
+
+
+def facing(normals: DataFrame, points: DataFrame) -> DataFrame:
+    """normals(pid, nx, ny, nz) turned away from the centroid of the points."""
+    centre = points.agg(*(F.avg(c).alias(f"_{c}") for c in "xyz"))
+    j = normals.join(points.select("pid", "x", "y", "z"), "pid").join(F.broadcast(centre))
+    out = sum(((F.col(c) - F.col(f"_{c}")) * F.col(f"n{c}") for c in "xyz"), F.lit(0.0)) < 0
+    return j.select("pid", *(F.when(out, -F.col(f"n{c}")).otherwise(F.col(f"n{c}")).alias(f"n{c}") for c in "xyz"))
+
+
+def wall_planes(points: DataFrame, normals: DataFrame, steepest: float = 0.3, distance: float = 0.05, rounds: int = 500, most_planes: int = 6, least: int = 100) -> DataFrame:
+    """points with plane (-1 for none): planes among the points whose normal is near horizontal."""
+    from .clustering import ransac_planes
+
+    vertical = points.join(normals.filter(F.abs("nz") < steepest).select("pid"), "pid", "left_semi")
+    found = ransac_planes(vertical, distance, rounds, least, most_planes).select("pid", "plane")
+    return points.join(found, "pid", "left").withColumn("plane", F.coalesce("plane", F.lit(-1)))
+
+
+def classify_facade(points: DataFrame, radius: float = 0.3, near: float = 0.10, low: float = 0.40, longest: float = 1.5, rough: float = 0.35, eps: float = 0.3, least: int = 10) -> DataFrame:
+    """pid, part of a facade's points: wall (on a wall plane or within `near` of one); of the clusters of the others, door (reaching
+    into the lowest share of the height and higher than `longest` times long), detail (normals spread), else window; other for
+    points of no cluster."""
+    from .clustering import dbscan
+    from .meshes import normals as point_normals
+
+    normals = point_normals(points, radius)
+    planes = wall_planes(points, normals, distance=near)
+    out = planes.select("pid", "x", "y", "z", (F.col("plane") >= 0).alias("wall"))
+    rest = out.filter("NOT wall")
+    labels = dbscan(rest.select("pid", "x", "y", "z"), eps, least)
+    c = rest.join(labels.filter("label >= 0"), "pid")
+    ends = points.agg(F.min("z").alias("_z0"), F.max("z").alias("_z1"))
+    shape = elongation(c, "label").join(c.groupBy("label").agg(F.min("z").alias("bottom")), "label").join(F.broadcast(ends))
+    spread = normal_spread(points, normals, radius, rough).filter("rough").join(c.select("pid", "label"), "pid").groupBy("label").agg(F.count("*").alias("n_rough"))
+    size = c.groupBy("label").agg(F.count("*").alias("n"))
+    kinds = shape.join(size, "label").join(spread, "label", "left")
+    is_door = (F.col("bottom") <= F.col("_z0") + low * (F.col("_z1") - F.col("_z0"))) & (F.col("ratio") > longest)
+    kinds = kinds.select("label", F.when(is_door, "door").when(F.coalesce("n_rough", F.lit(0)) * 2 > F.col("n"), "detail").otherwise("window").alias("kind"))
+    named = c.select("pid", "label").join(kinds, "label").select("pid", "kind")
+    return out.join(named, "pid", "left").select("pid", F.when(F.col("wall"), "wall").otherwise(F.coalesce("kind", F.lit("other"))).alias("part"))
+
+
+def detail_patches(cells: DataFrame, least: int = 4) -> DataFrame:
+    """Detail cells(wall, i, j, sign) grown together by shared sides: wall, sign, component, n, and bounds in cells; patches of fewer
+    cells are left out."""
+    from .clustering import grid_components
+
+    keyed = cells.withColumn("key", F.struct("wall", "sign")).select("key", "i", "j")
+    p = grid_components(keyed, "key").groupBy("key", "component").agg(F.count("*").alias("n"), *(f(c).alias(f"{c}{k}") for c in "ij" for k, f in ((0, F.min), (1, F.max))))
+    return p.filter(F.col("n") >= least).select("key.wall", "key.sign", "component", "n", "i0", "i1", "j0", "j1")
+
+
+def spread_values(targets: DataFrame, sources: DataFrame, k: int = 3, cell: float = 1.0, column: str = "value") -> DataFrame:
+    """pid and the column of targets: the mean over the k nearest sources, weighted by the inverse distance."""
+    near = nearest(targets, sources.select("pid", "x", "y", "z"), k, cell).join(sources.select("pid", column), "pid")
+    w = 1 / (F.sqrt("d2") + 1e-8)
+    return near.groupBy(F.col("qid").alias("pid")).agg((F.sum(w * F.col(column)) / F.sum(w)).alias(column))
+
+
+def thinned_samples(samples: DataFrame, spacing: float) -> DataFrame:
+    """One sample a voxel, the least pid: points that keep about a distance, as by discs."""
+    cell = [F.floor(F.col(c) / spacing).alias(k) for c, k in zip("xyz", "ijk", strict=True)]
+    return samples.groupBy(*cell).agg(F.min_by(F.struct("pid", "x", "y", "z"), "pid").alias("p")).select("p.*")
+
+
+def apply_model(points: DataFrame, predict, columns: list[str], chunk: int = 40_960) -> DataFrame:
+    """points with label: predict takes an array (n, columns) of at most a chunk of points of one batch and returns n labels. Weights
+    are what predict closes over; Spark sends it to the executors once a task."""
+
+    def run(batches):
+        for pdf in batches:
+            values = pdf[columns].to_numpy(float)
+            parts = [np.asarray(predict(values[k : k + chunk])) for k in range(0, len(values), chunk)]
+            yield pdf.assign(label=np.concatenate(parts) if parts else np.zeros(0, int))
+
+    return points.mapInPandas(run, points.select("*").schema.add("label", "integer"))

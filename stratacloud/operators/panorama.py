@@ -45,3 +45,25 @@ def grid_coordinates(spark: SparkSession, south: float, west: float, north: floa
     dlat, dlng = spacing / per, spacing / (per * math.cos(math.radians((south + north) / 2)))
     rows, cols = int((north - south) / dlat + 1e-9) + 1, int((east - west) / dlng + 1e-9) + 1
     return spark.range(rows * cols).select((F.lit(south) + F.floor(F.col("id") / cols) * dlat).alias("lat"), (F.lit(west) + F.col("id") % cols * dlng).alias("lng"))
+
+
+def resampled(faces: DataFrame, pixels: DataFrame, width: int, height: int) -> DataFrame:
+    """faces (face_pixels, turned or not) with the colours of the panorama pixels(u, v, red, green, blue) that they look at."""
+    u, v = panorama_pixel(width, height)
+    return faces.withColumns({"u": u, "v": v}).join(pixels, ["u", "v"]).select("face", "row", "col", "red", "green", "blue")
+
+
+def panorama_source(spark: SparkSession, width: int, height: int, size: int) -> DataFrame:
+    """The inverse: each pixel u, v of a panorama with the face, row and col of a cube of that size which it is taken from."""
+    p = spark.range(width * height).select((F.col("id") % width).cast("int").alias("u"), (F.col("id") / width).cast("int").alias("v"))
+    lon, lat = ((F.col("u") + 0.5) / width - 0.5) * (2 * math.pi), (0.5 - (F.col("v") + 0.5) / height) * math.pi
+    x, y, z = F.cos(lat) * F.cos(lon), F.cos(lat) * F.sin(lon), F.sin(lat)
+    p = p.withColumns({"x": x, "y": y, "z": z})
+    # of the face that the direction leaves through, a and b follow from its own formulas
+    ax, ay, az = (F.abs(c) for c in "xyz")
+    face = F.when((ax >= ay) & (ax >= az), F.when(F.col("x") > 0, "front").otherwise("back")).when(ay >= az, F.when(F.col("y") > 0, "right").otherwise("left")).otherwise(F.when(F.col("z") > 0, "up").otherwise("down"))
+    p = p.withColumn("face", face).withColumn("m", F.greatest(ax, ay, az))
+    a = F.when(F.col("face") == "front", F.col("y")).when(F.col("face") == "back", -F.col("y")).when(F.col("face") == "right", -F.col("x")).when(F.col("face") == "left", F.col("x")).otherwise(F.col("y"))
+    b = F.when(F.col("face") == "up", F.col("x")).when(F.col("face") == "down", -F.col("x")).otherwise(-F.col("z"))
+    at = lambda c: F.least(F.greatest(F.floor((c / F.col("m") + 1) / 2 * size), F.lit(0)), F.lit(size - 1)).cast("int")
+    return p.select("u", "v", "face", at(b).alias("row"), at(a).alias("col"))
