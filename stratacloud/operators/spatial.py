@@ -16,6 +16,8 @@ from .durable import cut
 
 #: Rows up to which polygon and wall tables are broadcast.
 BROADCAST_ROWS = 100_000
+#: Of so many queries fewer than one left is few.
+FEW = 20
 
 
 def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
@@ -50,12 +52,14 @@ def nearest(queries: DataFrame, points: DataFrame, k: int, size: float, axes: tu
     """qid, pid, d2, rank of each query's k nearest points, ties by pid; same drops the pair of a point with itself.
 
     Exact: a query is settled once its k-th distance is within the cell size, which the neighbour cells cover; the others are
-    looked at again with doubled cells, so work adapts to the density, and the last round's cells cover everything.
+    looked at again with cells twice as wide (eight times, once fewer than one in FEW is left), so work adapts to the density,
+    and the last round's cells cover everything.
     """
     order = Window.partitionBy("qid").orderBy("d2", "pid")
     left, done = queries.select("pid", *axes), None
     extent = queries.select(*axes).unionByName(points.select(*axes)).agg(*(F.max(a) - F.min(a) for a in axes)).first()
     widest = max((v or 0.0) for v in extent)
+    before = None
     while True:
         found = radius_pairs_cells(left, points, size, axes)
         if same:
@@ -67,9 +71,11 @@ def nearest(queries: DataFrame, points: DataFrame, k: int, size: float, axes: tu
         settled = cut(found.filter((F.col("n") == k) & (F.col("far") <= size * size)).drop("far", "n"))
         done = settled if done is None else done.unionByName(settled)
         left = cut(left.join(settled.select(F.col("qid").alias("pid")).distinct(), "pid", "left_anti"))
-        if left.isEmpty():
+        n = left.count()
+        if not n:
             return done
-        size *= 2
+        before = before or queries.count()
+        size *= 8 if n * FEW < before else 2
 
 
 def radius_pairs_cells(queries: DataFrame, points: DataFrame, size: float, axes: tuple[str, ...]) -> DataFrame:

@@ -172,3 +172,62 @@ def report_errors(text: DataFrame, code: int | None = None) -> DataFrame:
     e = text.select(F.explode(F.from_json("value", REPORT)["features"]).alias("f")).select(F.col("f.id").alias("feature_id"), F.explode("f.errors").alias("e"))
     out = e.select("feature_id", "e.code", "e.description", key_values(F.col("e.id")).alias("id"))
     return out if code is None else out.filter(F.col("code") == code)
+
+
+def read_shapes(files: DataFrame) -> DataFrame:
+    """files(path, content) of .shp files with polygons (also with z or m): source, polygon_id, ring (exterior, without its closing
+    vertex or repeated ones, clockwise in the file), holes. Null and empty shapes are dropped; a hole belongs to the exterior that
+    holds its first vertex, the last one before it if none does."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                source, rows = path.rsplit("/", 1)[-1].rsplit(".", 1)[0], []
+                for n, rings in _shapes(path, content):
+                    rows += [(source, f"{source}_{n}_{m}", _corners(ring), [_corners(h) for h in holes]) for m, (ring, holes) in enumerate(rings)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 4, types, strict=True)], names=["source", "polygon_id", "ring", "holes"])
+
+    ring = pa.list_(pa.struct([(c, pa.float64()) for c in "xyz"]))
+    types = [pa.string(), pa.string(), ring, pa.list_(ring)]
+    point = "array<struct<x:double,y:double,z:double>>"
+    return files.select("path", "content").mapInArrow(run, f"source string, polygon_id string, ring {point}, holes array<{point}>")
+
+
+def _corners(ring: np.ndarray) -> list[dict]:
+    return [{"x": float(x), "y": float(y), "z": 0.0} for x, y in ring]
+
+
+def _shapes(path: str, content: bytes) -> Iterator[tuple[int, list]]:
+    """Number of each polygon record and its (exterior, holes)."""
+    from ..operators.outlines import inside, signed_area
+
+    if struct.unpack_from(">I", content)[0] != 9994:
+        raise ValueError(f"{path} is no shapefile")
+    at = 100
+    while at + 8 <= len(content):
+        number, words = struct.unpack_from(">II", content, at)
+        kind = struct.unpack_from("<I", content, at + 8)[0] if words >= 2 else 0
+        body, at = at + 8, at + 8 + 2 * words
+        if kind not in (5, 15, 25):
+            continue
+        parts, points = struct.unpack_from("<II", content, body + 36)
+        starts = [*np.frombuffer(content, "<u4", parts, body + 44).tolist(), points]
+        xy = np.frombuffer(content, "<f8", 2 * points, body + 44 + 4 * parts).reshape(-1, 2)
+        found: list = []
+        for a, b in zip(starts, starts[1:]):
+            ring = xy[a:b]
+            ring = ring[np.any(ring != np.roll(ring, 1, axis=0), axis=1)] if len(ring) else ring
+            if len(ring) < 3 or signed_area(ring) == 0:
+                continue
+            if signed_area(ring) < 0 or not found:
+                found.append((ring, []))
+            else:
+                next((f for f in found if inside(ring[0], f[0])), found[-1])[1].append(ring)
+        if found:
+            yield number - 1, found
+
+
+def list_images(spark: SparkSession, folder: str) -> DataFrame:
+    """path, name, length of the .jpg, .jpeg and .png files of a folder, ordered by name; contents are not read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{jpg,jpeg,png,JPG,JPEG,PNG}").load(folder)
+    return files.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length").orderBy("name")

@@ -129,15 +129,33 @@ def read_las_table(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInArrow(run, SCHEMA)
 
 
+def crs_of(content: bytes) -> str | None:
+    """The coordinate system that the variable-length records name: its WKT, or EPSG:<code> of the GeoTIFF keys (projected before
+    geographic); None if none does."""
+    head = parse_header(content)
+    at, wkt, code = struct.unpack_from("<H", content, 94)[0], None, {}
+    for _ in range(head["n_vlr"]):
+        user, record, length = content[at + 2 : at + 18].rstrip(b"\0"), *struct.unpack_from("<HH", content, at + 18)
+        body = content[at + 54 : at + 54 + length]
+        if user == b"LASF_Projection" and record == 2112:
+            wkt = body.rstrip(b"\0").decode(errors="replace")
+        elif user == b"LASF_Projection" and record == 34735:
+            keys = np.frombuffer(body[: len(body) // 8 * 8], "<u2").reshape(-1, 4)
+            code |= {int(k): int(v) for k, place, _, v in keys[1:] if place == 0}
+        at += 54 + length
+    found = code.get(3072) or code.get(2048)
+    return wkt or (f"EPSG:{found}" if found and found != 32767 else None)
+
+
 def las_metadata(files: DataFrame) -> DataFrame:
     """One row per file of files(path, content)."""
 
     def run(batches):
         for batch in batches:
-            rows = [{"cloud_id": p, **{k: v for k, v in parse_header(c).items() if k not in ("record_length", "data_offset", "n_vlr")}} for p, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("cloud_id", pa.string()), ("version", pa.string()), ("point_format", pa.int32()), ("n_points", pa.int64()), *((c, pa.list_(pa.float64())) for c in ("scales", "offsets", "mins", "maxs"))]))
+            rows = [{"cloud_id": p, "crs": crs_of(c), **{k: v for k, v in parse_header(c).items() if k not in ("record_length", "data_offset", "n_vlr")}} for p, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("cloud_id", pa.string()), ("crs", pa.string()), ("version", pa.string()), ("point_format", pa.int32()), ("n_points", pa.int64()), *((c, pa.list_(pa.float64())) for c in ("scales", "offsets", "mins", "maxs"))]))
 
-    return files.select("path", "content").mapInArrow(run, "cloud_id string, version string, point_format int, n_points bigint, scales array<double>, offsets array<double>, mins array<double>, maxs array<double>")
+    return files.select("path", "content").mapInArrow(run, "cloud_id string, crs string, version string, point_format int, n_points bigint, scales array<double>, offsets array<double>, mins array<double>, maxs array<double>")
 
 
 def las_images(points: DataFrame, key: str = "cloud_id") -> DataFrame:
@@ -149,3 +167,39 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.las", exclude
     """Recursive listing: path, length; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder)
     return files.select("path", "length").filter(~files["path"].rlike(exclude))
+
+
+def subset(content: bytes, records: np.ndarray) -> bytes:
+    """The LAS image with these records alone, in order: all their bytes (extra dimensions, too), the header's records, scales and
+    offsets stay; counts and bounds follow."""
+    h = parse_header(content)
+    length = h["record_length"]
+    raw = np.frombuffer(content, np.uint8, h["n_points"] * length, h["data_offset"]).reshape(-1, length)[np.sort(records)]
+    head = bytearray(content[: h["data_offset"]])
+    legacy = len(raw) if len(raw) < 1 << 32 else 0
+    struct.pack_into("<I", head, 107, legacy if struct.unpack_from("<I", content, 107)[0] or h["n_points"] == 0 else 0)
+    if h["version"] >= "1.4":
+        struct.pack_into("<Q", head, 247, len(raw))
+    xyz = np.stack([np.ascontiguousarray(raw[:, 4 * k : 4 * k + 4]).view("<i4").ravel() * h["scales"][k] + h["offsets"][k] for k in range(3)]) if len(raw) else np.zeros((3, 1))
+    for k in range(3):
+        struct.pack_into("<2d", head, 179 + 16 * k, xyz[k].max(), xyz[k].min())
+    return bytes(head) + raw.tobytes()
+
+
+def las_subsets(files: DataFrame, segments: DataFrame) -> DataFrame:
+    """files(path, content) and segments(path, segment, pid: number of the record) to one image per segment: path, segment, content.
+    A file is one task's, as binaryFile reads it."""
+    from pyspark.sql import functions as F
+
+    wanted = segments.groupBy("path", "segment").agg(F.collect_list(F.col("pid").cast("long")).alias("pids"))
+    # all segments of a file together, so that its bytes move once
+    wanted = wanted.groupBy("path").agg(F.collect_list(F.struct("segment", "pids")).alias("parts"))
+    kind = segments.schema["segment"].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for p in parts:
+                    yield pa.record_batch({"path": pa.array([path]), "segment": pa.array([p["segment"]]), "content": pa.array([subset(content, np.array(p["pids"], np.int64))], pa.binary())})
+
+    return files.select("path", "content").join(wanted, "path").select("path", "content", "parts").mapInArrow(run, f"path string, segment {kind.simpleString()}, content binary")

@@ -61,3 +61,56 @@ def test_facade_cases(spark, rings):
     box = spark.createDataFrame([("b", 0, SQUARE), ("b", 1, [(x + 50, y, z) for x, y, z in SQUARE])], "box_id string, face int, ring array<struct<x:double,y:double,z:double>>")
     near = spark.createDataFrame([("b", 1.0, 1.0, 0.2)], "box_id string, x double, y double, z double")
     assert [r.face for r in facades.supported_faces(box, near).collect()] == [0]
+
+
+def shapefile(records):
+    import struct
+
+    body = b""
+    for n, parts in enumerate(records):
+        points = [p for ring in parts for p in ring]
+        starts = [sum(len(r) for r in parts[:k]) for k in range(len(parts))]
+        shape = struct.pack("<I4dII", 5, 0, 0, 1, 1, len(parts), len(points)) + struct.pack(f"<{len(parts)}I", *starts) + b"".join(struct.pack("<2d", *p) for p in points) if parts else struct.pack("<I", 0)
+        body += struct.pack(">II", n + 1, len(shape) // 2) + shape
+    return struct.pack(">I20xI", 9994, (100 + len(body)) // 2) + b"\0" * 72 + body
+
+
+def test_shapes_and_images(spark, tmp_path):
+    square = lambda x, y, s: [(x, y), (x, y + s), (x + s, y + s), (x + s, y), (x, y)]  # noqa: E731 - clockwise
+    content = shapefile([[square(0, 0, 4), square(1, 1, 1)[::-1], square(9, 9, 2)], [], [[*square(5, 5, 1)[:1], *square(5, 5, 1)]]])
+    (tmp_path / "area.shp").write_bytes(content)
+    files = spark.read.format("binaryFile").load(str(tmp_path / "area.shp"))
+    rows = {r.polygon_id: (len(r.ring), len(r.holes)) for r in documents.read_shapes(files).collect()}
+    assert rows == {"area_0_0": (4, 1), "area_0_1": (4, 0), "area_2_0": (4, 0)}
+    for name in ("b.png", "a.jpg", "c.txt"):
+        (tmp_path / name).write_bytes(b"x")
+    assert [r.name for r in documents.list_images(spark, str(tmp_path)).collect()] == ["a.jpg", "b.png"]
+
+
+def test_las_subsets(spark, tmp_path):
+    import struct
+
+    import numpy as np
+    import pandas as pd
+
+    from stratacloud.sources import las
+
+    n = 50
+    image = las.encode(pd.DataFrame({"x": np.arange(n) * 1.5, "y": np.arange(n) * 2.0, "z": np.zeros(n), "classification": 2, "red": 5, "green": 6, "blue": 7}))
+    # three bytes of an extra dimension behind each record, and a record that names the coordinate system
+    head, length = bytearray(image[:227]), struct.unpack_from("<H", image, 105)[0]
+    raw = np.frombuffer(image[227:], np.uint8).reshape(n, length)
+    raw = np.concatenate([raw, np.arange(3 * n, dtype=np.uint8).reshape(n, 3)], axis=1)
+    keys = struct.pack("<8H", 1, 1, 0, 1, 3072, 0, 1, 32651)
+    vlr = struct.pack("<H16sHH32s", 0, b"LASF_Projection", 34735, len(keys), b"") + keys
+    struct.pack_into("<IIBH", head, 96, 227 + len(vlr), 1, 2, length + 3)
+    (tmp_path / "a.las").write_bytes(bytes(head) + vlr + raw.tobytes())
+    files = spark.read.format("binaryFile").load(str(tmp_path / "a.las"))
+    path = files.first().path
+    assert las.las_metadata(files).first().crs == "EPSG:32651"
+    segments = spark.createDataFrame([(path, "even" if k % 2 == 0 else "odd", k) for k in range(n)], "path string, segment string, pid long")
+    out = {r.segment: bytes(r.content) for r in las.las_subsets(files, segments).collect()}
+    h = las.parse_header(out["odd"])
+    assert (h["n_points"], h["record_length"], h["maxs"][0], h["mins"][1]) == (25, length + 3, 49 * 1.5, 2.0) and las.crs_of(out["odd"]) == "EPSG:32651"
+    kept = np.frombuffer(out["odd"], np.uint8, 25 * (length + 3), h["data_offset"]).reshape(25, -1)
+    assert (kept == raw[1::2]).all()
