@@ -84,6 +84,8 @@ class Normaliser:
         out, source, at = [], [], 0
         space = SPACE_BYTES if self.escape else b" "
 
+        spaced = True  # a space of the text came last; U+2581 of the text itself is none
+
         def put(piece: bytes, start: int) -> None:
             out.append(piece)
             source.extend([start] * len(piece))
@@ -96,10 +98,12 @@ class Normaliser:
                 piece = text[at : at + n]
             # a replacement may hold spaces of its own
             for k, part in enumerate(piece.split(b" ")):
-                if k and not (self.squeeze and (not out or out[-1] == space)):
+                if k and not (self.squeeze and spaced):
                     put(space, at)
+                    spaced = True
                 if part:
                     put(part, at)
+                    spaced = False
             at += n
         while self.squeeze and out and out[-1] == space:
             del source[len(source) - len(out.pop()) :]
