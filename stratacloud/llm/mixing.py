@@ -10,7 +10,8 @@ Hot sources: sums are taken by (source, slice of the seeded order) with partial
 that holds a source's boundary is looked at document by document.
 
 Null or empty text: size 0, nothing is taken. Null source: a source of its own, last in order. Repeated rows count as
-often as they occur; rows equal in document id and text tie and are taken or left together by row count. An empty table
+often as they occur; rows equal in document id tie and are taken or left together, rows without an id are told apart by their
+text. An empty table
 gives an empty result. Columns of the input named like the results' are not read.
 """
 
@@ -29,6 +30,11 @@ BROADCAST_SOURCES = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def place_of(seed: int) -> Column:
+    """A row's place in the seeded order: by doc_id, or by text where that is null (which leaves the hash of others as it is)."""
+    return F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(1 << PLACES_LOG2))
+
+
 def word_count(text: Column) -> Column:
     """Number of maximal runs of other than ASCII white space; null counts 0."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -81,12 +87,12 @@ def mix_sources(docs: DataFrame, weight: Column, max_epochs: float = 3.0, seed:
     """docs with added columns mix_size, mix_source_size, mix_target, mix_copies (times the document is taken)."""
     sized = docs.select(
         F.col("doc_id").alias("doc_id"), F.col("source").alias("source"), word_count(F.col("text")).alias("size"),
-        F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << PLACES_LOG2)).alias("place"),
+        place_of(seed).alias("place"),
     )
     plan = durable(mix_plan(durable(sized.drop("doc_id")), weight, max_epochs).withColumnsRenamed({c: f"mix_{c}" for c in ("source", "source_size", "target", "whole", "upto")}))
     if plan.count() <= BROADCAST_SOURCES:
         plan = F.broadcast(plan)
-    place = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << PLACES_LOG2))
+    place = place_of(seed)
     out = docs.drop(*(c for c in docs.columns if c.startswith("mix_"))).withColumn("mix_size", word_count(F.col("text")))
     out = out.join(plan, F.col("source").eqNullSafe(F.col("mix_source")))
     copies = F.when(F.col("mix_size") == 0, 0).otherwise(F.col("mix_whole") + (place <= F.col("mix_upto")).cast("long"))
