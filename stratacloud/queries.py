@@ -906,3 +906,67 @@ def tile_requests(spark, sf):
 def output_names(spark, sf):
     name = F.concat("n_name", F.lit(".las"))
     return _table(spark, sf, "nation").select(F.col("n_nationkey").alias("k"), *(X.output_name(name, k).alias(k) for k in ("labelled", "segmented", "lod3")))
+
+
+# --- files written and read again
+
+
+@query("w", sql="SELECT concat('m', idx // 4 % 5) AS model_id, 'WallSurface' AS surface_type, count(*) AS n, round(sum(10 * z_max), 6) AS area FROM w GROUP BY 1")
+def gml_roundtrip(spark, sf):
+    from .sources import documents, sinks
+
+    back = documents.parse_gml_surfaces(sinks.gml_documents(_model_rings(spark, sf)))
+    return back.groupBy("model_id", "surface_type").agg(F.count("*").alias("n"), F.round(F.sum(G.norm(G.newell(F.col("ring"))) / 2), 6).alias("area"))
+
+
+@query(sql="SELECT 'all' AS source, n_nationkey AS k, round((1 + n_nationkey) * 2.0, 6) AS area FROM nation")
+def geojson_roundtrip(spark, sf):
+    from .sources import documents, sinks
+
+    at = lambda x, y: F.struct(F.lit(float(x)).cast("double").alias("x") if not isinstance(x, Column) else x.cast("double").alias("x"), F.lit(float(y)).alias("y"), F.lit(0.0).alias("z"))
+    k = F.col("n_nationkey")
+    features = sinks.geojson_features(_table(spark, sf, "nation").select("n_nationkey", F.array(at(0, 0), at(k + 1, 0), at(k + 1, 2), at(0, 2)).alias("ring")), "n_nationkey")
+    text = features.agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.sort_array(F.collect_list("value")), ","), F.lit("]}")).alias("value")).select(F.lit("all").alias("source"), "value")
+    back = documents.parse_footprints(text)
+    return back.select("source", (F.array_max("ring.x") - 1).cast("bigint").alias("k"), F.round(F.abs(G.area_xy(F.col("ring"))), 6).alias("area"))
+
+
+@query(sql="SELECT l_returnflag AS cloud_id, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS x, CAST(sum(l_linenumber) AS BIGINT) AS y, round(max(l_discount) * 100, 3) AS z, CAST(sum(l_suppkey % 32) AS BIGINT) AS classes FROM lineitem GROUP BY 1")
+def las_roundtrip(spark, sf):
+    """One image a return flag, whose records are read again."""
+    from .sources import las
+
+    t = _table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("cloud_id"), F.col("l_quantity").cast("double").alias("x"), F.col("l_linenumber").cast("double").alias("y"), (F.col("l_discount") * 100).cast("double").alias("z"), (F.col("l_suppkey") % 32).cast("int").alias("classification"))
+    back = las.read_las_table(las.las_images(t).withColumnRenamed("cloud_id", "path"))
+    total = lambda c: F.round(F.sum(c)).cast("bigint")
+    return back.groupBy("cloud_id").agg(F.count("*").alias("n"), total("x").alias("x"), total("y").alias("y"), F.round(F.max("z"), 3).alias("z"), F.sum("classification").cast("bigint").alias("classes"))
+
+
+@query(sql="SELECT concat('f', n_regionkey) AS feature_id, 100 + n_nationkey % 3 AS code, concat('b', n_nationkey) AS obj_id, n_nationkey % 4 AS face FROM nation WHERE n_nationkey % 3 = 1")
+def report_scan(spark, sf):
+    from .sources import documents
+
+    e = F.struct((F.col("n_nationkey") % 3 + 100).alias("code"), F.lit("d").alias("description"), F.lit("").alias("info"), F.concat(F.lit("coid=b"), F.col("n_nationkey").cast("string"), F.lit("|geom=0|shell=0|face="), (F.col("n_nationkey") % 4).cast("string")).alias("id"))
+    f = _table(spark, sf, "nation").groupBy("n_regionkey").agg(F.collect_list(e).alias("errors")).select(F.struct(F.concat(F.lit("f"), F.col("n_regionkey").cast("string")).alias("id"), F.lit("Building").alias("type"), "errors").alias("f"))
+    text = f.agg(F.to_json(F.struct(F.collect_list("f").alias("features"))).alias("value"))
+    return documents.report_errors(text, 101).select("feature_id", F.col("code").cast("bigint").alias("code"), F.col("id")["coid"].alias("obj_id"), F.col("id")["face"].cast("bigint").alias("face"))
+
+
+@query("cloud", sql=", d AS (SELECT a.pid AS qid, b.classification AS value, sqrt((a.x + 0.05 - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2) AS r, row_number() OVER (PARTITION BY a.pid ORDER BY (a.x + 0.05 - b.x) * (a.x + 0.05 - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z), b.pid) AS k FROM cloud a, cloud b) SELECT qid AS pid, round(sum(value / (r + 1e-8)) / sum(1 / (r + 1e-8)), 5) + 0.0 AS value FROM d WHERE k <= 3 GROUP BY 1")
+def spread_values(spark, sf):
+    c = cloud(spark, sf)
+    s = facades.spread_values(c.withColumn("x", F.col("x") + 0.05), c.withColumn("value", F.col("classification").cast("double")), 3, 0.1)
+    return s.select("pid", (F.round("value", 5) + 0.0).alias("value"))
+
+
+@query("pts", sql="SELECT min(pid) AS pid FROM pts GROUP BY floor(x / 10), floor(y / 10), floor(z / 10)")
+def thinned_samples(spark, sf):
+    return facades.thinned_samples(pts(spark, sf), 10.0).select("pid")
+
+
+@query(sql="""WITH p AS (SELECT i % 64 AS u, i // 64 AS v, ((i % 64 + 0.5) / 64 - 0.5) * 2 * pi() AS lon, (0.5 - (i // 64 + 0.5) / 32) * pi() AS lat FROM generate_series(0, 2047) t(i)),
+  d AS (SELECT *, cos(lat) * cos(lon) AS x, cos(lat) * sin(lon) AS y, sin(lat) AS z FROM p),
+  f AS (SELECT *, CASE WHEN abs(x) >= abs(y) AND abs(x) >= abs(z) THEN CASE WHEN x > 0 THEN 'front' ELSE 'back' END WHEN abs(y) >= abs(z) THEN CASE WHEN y > 0 THEN 'right' ELSE 'left' END WHEN z > 0 THEN 'up' ELSE 'down' END AS face, greatest(abs(x), abs(y), abs(z)) AS m FROM d)
+  SELECT face, count(*) AS n, CAST(min(u) AS INT) AS u0, CAST(max(v) AS INT) AS v1 FROM f GROUP BY 1""")
+def panorama_inverse(spark, sf):
+    return panorama.panorama_source(spark, 64, 32, 16).groupBy("face").agg(F.count("*").alias("n"), F.min("u").alias("u0"), F.max("v").alias("v1"))

@@ -78,13 +78,16 @@ def cityjson_document(rings: DataFrame, scale: float = 0.001) -> DataFrame:
 
 
 def read_gml_surfaces(spark: SparkSession, path: str, tags: tuple[str, ...] = ("bldg:WallSurface", "bldg:RoofSurface", "bldg:GroundSurface")) -> DataFrame:
-    """surface_type, surface_id, ring of every posList in the surfaces, by block extraction over whole texts."""
-    text = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("model_id"), "value")
-    found = None
-    for tag in tags:
-        blocks = text.select("model_id", F.explode(F.regexp_extract_all("value", F.lit(f"(?s)(<{tag}[ >].*?</{tag}>)"), F.lit(1))).alias("block"))
-        rows = blocks.select("model_id", F.lit(tag.split(":")[-1]).alias("surface_type"), F.regexp_extract("block", 'gml:id="([^"]*)"', 1).alias("surface_id"), F.posexplode(F.regexp_extract_all("block", F.lit("(?s)<gml:posList[^>]*>(.*?)</gml:posList>"), F.lit(1))).alias("ring_idx", "pos"))
-        found = rows if found is None else found.unionByName(rows)
+    """model_id, surface_type, surface_id, ring_idx, ring of every posList in the surfaces."""
+    return parse_gml_surfaces(spark.read.text(path, wholetext=True).select(F.input_file_name().alias("model_id"), "value"), tags)
+
+
+def parse_gml_surfaces(text: DataFrame, tags: tuple[str, ...] = ("bldg:WallSurface", "bldg:RoofSurface", "bldg:GroundSurface")) -> DataFrame:
+    """text(model_id, value): surfaces by block extraction, in one pass for all tags."""
+    kinds = "|".join(tags)
+    blocks = text.select("model_id", F.explode(F.regexp_extract_all("value", F.lit(rf"(?s)<({kinds})[ >].*?</\1>"), F.lit(0))).alias("block"))
+    kind = F.element_at(F.split(F.regexp_extract("block", f"^<({kinds})", 1), ":"), -1)
+    found = blocks.select("model_id", kind.alias("surface_type"), F.regexp_extract("block", 'gml:id="([^"]*)"', 1).alias("surface_id"), F.posexplode(F.regexp_extract_all("block", F.lit("(?s)<gml:posList[^>]*>(.*?)</gml:posList>"), F.lit(1))).alias("ring_idx", "pos"))
     return found.select("model_id", "surface_type", "surface_id", "ring_idx", pos_list(F.col("pos")).alias("ring")).filter("ring IS NOT NULL")
 
 
@@ -97,10 +100,14 @@ def gml_surface(kind: Column, surface_id: Column, rings: Column) -> Column:
 
 def read_footprints(spark: SparkSession, path: str) -> DataFrame:
     """GeoJSON polygons and multipolygons: source, polygon_id (unique over files), ring (exterior, without its closing vertex); null and empty ones dropped."""
-    text = spark.read.text(path, wholetext=True)
-    schema = "features array<struct<geometry:struct<type:string,coordinates:string>>>"
     source = F.regexp_extract(F.input_file_name(), "([^/]+?)(?:[.][^./]*)?$", 1)
-    g = text.select(source.alias("source"), F.posexplode(F.from_json("value", schema)["features"]).alias("n", "f")).select("source", "n", "f.geometry.*")
+    return parse_footprints(spark.read.text(path, wholetext=True).select(source.alias("source"), "value"))
+
+
+def parse_footprints(text: DataFrame) -> DataFrame:
+    """text(source, value): footprints of feature collections."""
+    schema = "features array<struct<geometry:struct<type:string,coordinates:string>>>"
+    g = text.select("source", F.posexplode(F.from_json("value", schema)["features"]).alias("n", "f")).select("source", "n", "f.geometry.*")
     many = F.when(F.col("type") == "MultiPolygon", F.from_json("coordinates", "array<array<array<array<double>>>>")).otherwise(F.array(F.from_json("coordinates", "array<array<array<double>>>")))
     p = g.filter("coordinates IS NOT NULL").select("source", "n", F.posexplode(many).alias("m", "polygon")).filter("size(polygon) > 0")
     ring = F.transform(F.slice(F.col("polygon")[0], 1, F.greatest(F.size(F.col("polygon")[0]) - 1, F.lit(0))), lambda c: F.struct(c[0].alias("x"), c[1].alias("y"), F.lit(0.0).alias("z")))
