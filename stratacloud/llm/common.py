@@ -14,20 +14,26 @@ U64 = np.uint64
 BLOCK_BYTES = 1 << 18
 #: Bytes and rows of an Arrow batch between an executor and its Python workers.
 BATCH_BYTES, BATCH_ROWS = 4 << 20, 2000
+#: Keys that can be hot: those of more rows than one in so many, and than so many.
+HOT, LEAST_HOT = 2000, 256
 #: Bytes of input files to a task of an explicit exchange, and ranges of doc_id at most.
 TASK_BYTES, MOST_RANGES = 128 << 20, 1 << 12
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Keep the checkpoint folder the cluster names; set a local one only where none is set, as in tests."""
+    """Keep the checkpoint folder the cluster names; set a local one only where none is set and the session is local, as in
+    tests; on a cluster other machines would not see it."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if not named and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="stratacloud-checkpoint-"))
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Let no Arrow batch hold more than BATCH_BYTES (or one row): executors and their Python workers hold several at once."""
+    """Let no Arrow batch hold more than BATCH_BYTES (or one row): executors and their Python workers hold several at once. This
+    stays set in the session, since plans are run after the operator returns."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     spark.conf.set(key, BATCH_BYTES)
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -41,6 +47,21 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def salted_join(many: DataFrame, one: DataFrame, on: list[str], sizes: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
+    """many joined with one, whose keys are never null; sizes(on, n) says how many rows of many a key has. A key with more than a
+    HOT share of those rows is taken apart: its rows of one are copied, and its rows of many are dealt to the copies by a hash of
+    the columns by. At most HOT keys can be that hot, so that their list is broadcast."""
+    total, most = sizes.agg(F.sum("n"), F.max("n")).first()
+    limit = max(LEAST_HOT, (total or 0) // HOT)
+    if (most or 0) <= limit:
+        return many.join(one, on, how)
+    hot = F.broadcast(durable(sizes.filter(F.col("n") > limit).select(*on, F.ceil(F.col("n") / limit).cast("int").alias("salts"))))
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))
+    one = one.join(hot, on, "left").withColumn("salt", copies).drop("salts")
+    many = many.join(hot, on, "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64(*by), F.col("salts")).cast("int"), F.lit(0))).drop("salts")
+    return many.join(one, [*on, "salt"], how).drop("salt")
+
+
 def task_count(spark: SparkSession, df: DataFrame | None = None) -> int:
     """Tasks for an explicit exchange: spark.sql.shuffle.partitions or the cores, and where the files behind df are known to be
     larger, one for each TASK_BYTES of them."""

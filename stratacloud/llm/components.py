@@ -1,25 +1,26 @@
-"""Connected components by alternating large-star and small-star rounds over distinct links."""
+"""Connected components by alternating large-star and small-star rounds over distinct links. A node with very many links is one
+row of the least neighbours and is joined with its links by salted copies."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, salted_join
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     """Each node tells its larger neighbours the least node next to it."""
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least, larger = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), both.filter("v > u")
+    return salted_join(larger, least, ["u"], larger.groupBy("u").agg(F.count("*").alias("n")), ["v"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Each node tells its smaller neighbours, and itself, the least of them."""
     down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    near = down.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    near = salted_join(down, least, ["u"], down.groupBy("u").agg(F.count("*").alias("n")), ["v"]).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return near.unionByName(least.select("u", F.col("m").alias("v")))
 
 

@@ -8,8 +8,10 @@
    than five standard deviations below 0.8) are checked on full sets. Components are found over these links. This is
    linear in the group's size, however large the group.
 4. Rest: buckets that still hold several components are looked at once more, pair by pair inside a task, skipping pairs of
-   one component and pairs that share an earlier band; a bucket of more than BLOCK nodes is cut into blocks and each pair
-   of blocks is a task of its own. Only links that join two components leave the task. Their components are the result.
+   one component and pairs that share an earlier band; a bucket of more than BLOCK nodes or BLOCK_BYTES of texts is cut into
+   blocks and each pair of blocks is a group of its own. Only links that join two components leave the task. Their components
+   are the result.
+Keys that very many rows share (copies of one text, a bucket, a hub of links) are salted, see common.salted_join.
 
 Null or empty text, or one without words: an empty set, linked with nothing. Fewer words than a shingle: the whole sequence
 is one shingle. A null doc_id takes no part: component null, kept. Rows that repeat a doc_id are one node with the links of
@@ -25,15 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, column_bytes, durable, small_batches, task_count, text_blocks
+from .common import U64, column_bytes, durable, salted_join, small_batches, task_count, text_blocks
 from .components import connected_components
 from .shingles import intersections, set_sums, shingle_sets
 
 N_HASHES, ROWS = 128, 4
 BANDS = N_HASHES // ROWS
 LEAST_AGREEMENT = 0.6
-#: Nodes of a bucket that one task compares with each other, and ids up to which a list of them is broadcast.
-BLOCK, BROADCAST_IDS = 1024, 1_000_000
+#: Nodes of a block and about the bytes of their texts, and ids up to which a list of them is broadcast.
+BLOCK, BLOCK_BYTES, BROADCAST_IDS = 4096, 16 << 20, 1_000_000
 #: Bytes of shingle sets that one task keeps for a block.
 KEPT_BYTES = 64 << 20
 _rng = np.random.default_rng(2024)
@@ -53,7 +55,7 @@ def minima(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, s1, s2 (sums that equal sets share), signature."""
+    """doc_id, n_bytes, n_shingles, s1, s2 (sums that equal sets share), signature."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -62,11 +64,11 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 sets, bounds = shingle_sets(texts[a:b], width)
                 sums = set_sums(sets, bounds)
                 yield pa.record_batch({
-                    "doc_id": batch.column(0).slice(a, b - a), "n_shingles": pa.array(np.diff(bounds)), "s1": pa.array(sums[:, 0]), "s2": pa.array(sums[:, 1]),
+                    "doc_id": batch.column(0).slice(a, b - a), "n_bytes": pa.array([len(t) for t in texts[a:b]], pa.int64()), "n_shingles": pa.array(np.diff(bounds)), "s1": pa.array(sums[:, 0]), "s2": pa.array(sums[:, 1]),
                     "signature": pa.array([x.tobytes() for x in minima(sets, bounds)], pa.binary()),
                 })
 
-    return docs.select("doc_id", "text").mapInArrow(sketch, "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, signature binary")
+    return docs.select("doc_id", "text").mapInArrow(sketch, "doc_id bigint, n_bytes bigint, n_shingles bigint, s1 bigint, s2 bigint, signature binary")
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
@@ -176,38 +178,43 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     small_batches(spark)
     docs = docs.select("doc_id", "text")
     found = durable(sketches(docs, width))
-    sets = found.filter("doc_id IS NOT NULL AND n_shingles > 0").groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"))
+    key = ["s1", "s2", "n_shingles"]
+    sets = found.filter("doc_id IS NOT NULL AND n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("node"), F.max("n_bytes").alias("n_bytes"), F.first("signature").alias("signature"), F.count("*").alias("n"))
     sets = durable(sets)
-    nodes = sets.select("node", "signature")
+    nodes = sets.select("node", "signature", "n_bytes")
     texts = docs.withColumnRenamed("doc_id", "node")
 
     # stars
-    buckets = _bands(nodes).groupBy("band", "key").agg(F.min("node").alias("v"), F.count("*").alias("n")).filter("n > 1")
-    pairs = _bands(nodes).join(buckets, ["band", "key"]).filter("node <> v").select(F.col("node").alias("u"), "v").distinct()
+    buckets = durable(_bands(nodes).groupBy("band", "key").agg(F.min("node").alias("v"), F.count("*").alias("n")).filter("n > 1"))
+    pairs = durable(salted_join(_bands(nodes), buckets.drop("n"), ["band", "key"], buckets, ["node"]).filter("node <> v").select(F.col("node").alias("u"), "v").distinct())
+    hubs = lambda links: links.groupBy("v").agg(F.count("*").alias("n"))
     u, v = nodes.select(F.col("node").alias("u"), F.col("signature").alias("su")), nodes.select(F.col("node").alias("v"), F.col("signature").alias("sv"))
-    pairs = durable(_agree(pairs.join(u, "u").join(v, "v")).distinct())
+    pairs = durable(_agree(salted_join(pairs.join(u, "u"), v, ["v"], hubs(pairs), ["u"])).distinct())
     involved = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node")))
     some = _with(involved, texts, "node")
-    stars = _linked(pairs.join(some.select(F.col("node").alias("u"), F.col("text").alias("tu")), "u").join(some.select(F.col("node").alias("v"), F.col("text").alias("tv")), "v"), width, percent)
-    first = connected_components(stars)
+    tu, tv = some.select(F.col("node").alias("u"), F.col("text").alias("tu")), some.select(F.col("node").alias("v"), F.col("text").alias("tv"))
+    first = connected_components(_linked(salted_join(pairs.join(tu, "u"), tv, ["v"], hubs(pairs), ["u"]), width, percent))
 
     # buckets with several components, equal ones once
-    labelled = durable(nodes.join(first, "node", "left").select("node", "signature", F.coalesce("component", "node").alias("component")))
+    labelled = durable(nodes.join(first, "node", "left").select("node", "signature", "n_bytes", F.coalesce("component", "node").alias("component")))
     member = _bands(labelled)
-    mixed = member.join(labelled.select("node", "component"), "node").groupBy("band", "key").agg(
-        F.count("*").alias("n"), F.min("component").alias("least"), F.max("component").alias("most"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x"),
+    mixed = member.join(labelled.select("node", "component", "n_bytes"), "node").groupBy("band", "key").agg(
+        F.count("*").alias("n"), F.sum("n_bytes").alias("size"), F.min("component").alias("least"), F.max("component").alias("most"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x"),
     )
-    mixed = mixed.filter("least <> most").groupBy("n", "s", "x").agg(F.min(F.struct("band", "key")).alias("b")).select("b.band", "b.key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rest = durable(member.join(mixed, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int")))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.least(F.ceil(F.col("size") / BLOCK_BYTES), F.col("n"))).cast("int")
+    mixed = mixed.filter("least <> most").withColumn("blocks", blocks).groupBy("n", "s", "x").agg(F.min(F.struct("band", "key", "blocks")).alias("b")).select("b.band", "b.key", "b.blocks", "n")
+    mixed = durable(mixed)
+    rest = durable(salted_join(member, mixed.drop("n"), ["band", "key"], mixed, ["node"]).withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int")))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = rest.select("band", "key", "node", "block", other).select("band", "key", "node", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    dealt = dealt.join(labelled, "node").join(_with(rest, texts, "node"), "node")
+    dealt = dealt.join(labelled.drop("n_bytes"), "node").join(_with(rest, texts, "node"), "node")
     group = ["band", "key", "i", "j"]
-    dealt = dealt.repartition(task_count(spark), *group).sortWithinPartitions(*group)
+    dealt = dealt.repartition(task_count(spark, docs), *group).sortWithinPartitions(*group)
     second = connected_components(_pairwise(dealt, width, percent)).select(F.col("node").alias("component"), F.col("component").alias("joined"))
-    final = labelled.join(second, "component", "left").select("node", F.coalesce("joined", "component").alias("component"))
+    # a node that rows with other texts share has several labels, which are one component
+    final = labelled.select("node", "component").join(second, "component", "left").select("node", F.coalesce("joined", "component").alias("component")).groupBy("node").agg(F.min("component").alias("component"))
 
-    whole = found.select("doc_id", "n_shingles", "s1", "s2").join(sets.drop("signature"), ["s1", "s2", "n_shingles"], "left")
-    out = whole.join(final.groupBy("node").agg(F.min("component").alias("component")), "node", "left")
+    answers = sets.select(*key, "node").join(final, "node")
+    out = salted_join(found.select("doc_id", *key), answers, key, sets.select(*key, "n"), ["doc_id"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

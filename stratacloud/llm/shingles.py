@@ -13,14 +13,10 @@ from .common import U64, SpanHasher, mix
 _words = SpanHasher(101, fold_case=True)
 _space = np.zeros(256, bool)
 _space[[32, *range(9, 14)]] = True
-#: Low bits of a shingle's hash that are kept, so that a row number fits above them.
-BITS = 50
-_mask = U64((1 << BITS) - 1)
 
 
 def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all texts' sets, text by text and ascending in each, and the bounds (len(texts) + 1) between the texts.
-    At most 2 ** (64 - BITS) texts at once."""
+    """64-bit hashes of all texts' sets, text by text and ascending in each, and the bounds (len(texts) + 1) between the texts."""
     lengths = np.array([len(t) for t in texts], np.int64)
     data = np.frombuffer(b"\n".join([b"", *texts, b""]), np.uint8)
     first = np.concatenate([[0], np.cumsum(lengths + 1)])  # where the line break in front of each text is
@@ -38,7 +34,7 @@ def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray
         shifted = np.zeros(n, U64)
         shifted[: max(n - k, 0)] = hashes[k:]
         rolled = rolled * factor + shifted
-    rolled = mix(rolled) & _mask
+    rolled = mix(rolled)
     owner = np.repeat(np.arange(len(texts)), counts)
     keep = np.arange(n) + width <= bound[1:][owner]
     for k in np.flatnonzero((counts > 0) & (counts < width)):
@@ -46,13 +42,17 @@ def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray
         with np.errstate(over="ignore"):
             for h in hashes[bound[k] : bound[k + 1]]:
                 whole = whole * factor + h
-            rolled[bound[k]] = mix(np.array([whole + U64(int(counts[k]))]))[0] & _mask
+            rolled[bound[k]] = mix(np.array([whole + U64(int(counts[k]))]))[0]
         keep[bound[k]] = True
-    keyed = np.sort((owner[keep].astype(U64) << U64(BITS)) | rolled[keep])
-    if len(keyed):
-        keyed = keyed[np.concatenate([[True], keyed[1:] != keyed[:-1]])]
-    limits = np.searchsorted(keyed, np.arange(len(texts) + 1, dtype=U64) << U64(BITS)) if len(texts) < 1 << (64 - BITS) else None
-    return keyed & _mask, limits
+    owner, found = owner[keep], rolled[keep]
+    limits = np.searchsorted(owner, np.arange(len(texts) + 1))
+    for a, b in zip(limits[:-1].tolist(), limits[1:].tolist(), strict=True):
+        found[a:b].sort()
+    if len(found):
+        new = np.concatenate([[True], (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])])
+        limits = np.concatenate([[0], np.cumsum(new)])[limits]
+        found = found[new]
+    return found, limits
 
 
 def set_sums(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -69,7 +69,9 @@ def intersections(a: list[bytes], b: list[bytes], width: int) -> tuple[np.ndarra
     """Sizes of a[k]'s set, b[k]'s set and what they share."""
     x, at_x = shingle_sets(a, width)
     y, at_y = shingle_sets(b, width)
-    rows = lambda at: np.repeat(np.arange(len(a), dtype=U64) << U64(BITS), np.diff(at))
-    both = np.sort(np.concatenate([x | rows(at_x), y | rows(at_y)]))
-    twice = both[1:][both[1:] == both[:-1]]
-    return np.diff(at_x), np.diff(at_y), np.bincount((twice >> U64(BITS)).astype(np.int64), minlength=len(a))
+    both = np.zeros(len(a), np.int64)
+    for k in range(len(a)):
+        merged = np.concatenate([x[at_x[k] : at_x[k + 1]], y[at_y[k] : at_y[k + 1]]])
+        merged.sort()
+        both[k] = np.count_nonzero(merged[1:] == merged[:-1])
+    return np.diff(at_x), np.diff(at_y), both

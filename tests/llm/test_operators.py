@@ -9,7 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratacloud.llm import imatch, langid, license_scan, mixing, near_dedup, pieces, suffix_dedup, token_output, topk, url_filter
-from stratacloud.llm.collection_bwt import collection_suffixes, repeated_windows
+from stratacloud.llm import collection_bwt
+from stratacloud.llm import common as llm_common
+from stratacloud.llm.anchors import longer_gram
+from stratacloud.llm.collection_bwt import Strings, collection_suffixes, repeated_windows
 from stratacloud.llm.common import range_of
 from stratacloud.llm.components import connected_components
 from stratacloud.llm.queries import URL_RULES
@@ -267,7 +270,11 @@ def test_urls_against_plain(spark):
 
 
 @pytest.mark.parametrize("n", [0, 5, 60, 300])
-def test_collection_suffixes(n):
+@pytest.mark.parametrize("block", [1 << 20, 7])
+def test_collection_suffixes(monkeypatch, n, block):
+    """Blocks of a few rows and files on disk give what one block in memory does."""
+    monkeypatch.setattr(collection_bwt, "BLOCK", block)
+    monkeypatch.setattr(collection_bwt, "FILE_BYTES", 32 << 20 if block > 7 else 100)
     rng = random.Random(n)
     strings = [bytes(rng.choice(b"ab\x00") for _ in range(rng.randint(0, 14))) for _ in range(n)]
     string, start, front, common = collection_suffixes(strings)
@@ -287,7 +294,34 @@ def test_repeated_windows():
         for k in range(len(s) - 3):
             want.append(s[k : k + 4] in seen)
             seen.add(s[k : k + 4])
-    assert repeated_windows(strings, windows, 4).tolist() == want and not len(repeated_windows([], np.zeros(0, int), 4))
+    assert repeated_windows(Strings.of(strings), windows, 4).tolist() == want and not len(repeated_windows(Strings.of([]), np.zeros(0, int), 4))
+
+
+def test_one_key_of_very_many_strings(monkeypatch):
+    """200,000 strings of one key, which differ beyond it: files go to disk, memory stays near the strings' own size."""
+    import pyarrow as pa
+    import resource
+
+    monkeypatch.setattr(collection_bwt, "FILE_BYTES", 1 << 20)
+    rng = np.random.default_rng(3)
+    n, gram = 200_000, longer_gram(100)
+    data = rng.integers(97, 101, (n, 115), dtype=np.uint8)
+    data[:, 20 : 20 + gram] = rng.integers(97, 123, gram, dtype=np.uint8)
+    data[1::1000, :] = data[0, :]
+    strings = pa.table({"key": pa.array(np.ones(n, np.int64)), "doc": pa.array(np.arange(n)), "tie": pa.array(np.zeros(n, np.int64)), "start": pa.array(np.zeros(n, np.int32)), "count": pa.array(np.full(n, 16, np.int16)), "place": pa.array(np.full(n, 20, np.int16)), "bytes": pa.array([x.tobytes() for x in data], pa.binary())})
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    out = suffix_dedup.repeated_runs(strings, 100).to_pydict()
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 600 << 10
+    seen, want = set(), []
+    for k in range(n):
+        text = data[k].tobytes()
+        flags = []
+        for w in range(16):
+            flags.append(text[w : w + 100] in seen)
+            seen.add(text[w : w + 100])
+        want += [(k, w) for w in range(16) if flags[w]]
+    got = [(d, w) for d, s, c in zip(out["doc"], out["start"], out["count"], strict=True) for w in range(s, s + c)]
+    assert sorted(got) == want and len(want) > 3000
 
 
 def test_ranges(spark):
@@ -388,6 +422,26 @@ def test_character_map():
     assert text.decode() == "▁c▁bbé" and source.tolist() == [2, 2, 2, 2, 4, 4, 4, 6, 6, 7, 7, 10]
 
 
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc_cf"])
+@pytest.mark.parametrize("prefix, escape, squeeze", [(False, False, False), (True, True, True), (True, False, True), (False, True, False)])
+def test_normaliser_against_library(rule, prefix, escape, squeeze):
+    """The library's own compiled maps: long replacements, combining marks, removed characters, white space of all kinds."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
+
+    library = sentencepiece.SentencePieceNormalizer(rule_name=rule, add_dummy_prefix=prefix, escape_whitespaces=escape, remove_extra_whitespaces=squeeze)
+    model = sentencepiece_model_pb2.ModelProto()
+    model.ParseFromString(library.serialized_model_proto())
+    own, rng = pieces.Normaliser(model.normalizer_spec, False), random.Random(5)
+    assert own.map.units and not own.plain
+    parts = ["a", "B", " ", "  ", "Ａ", "ﬁ", "é", "e\u0301", "①", "㈱", "ﷺ", "\t", "\n", "　", "ß", "Ⅷ", "½", "가", "\u1100\u1161", "\u200b", "\xad", "İ", "ﾊ\uff9f", "中", "😀", "\xa0", "▁", "\x00"]
+    for _ in range(1500):
+        raw = "".join(rng.choice(parts) for _ in range(rng.randint(0, 9)))
+        text, source = own(raw.encode())
+        assert text.decode() == library.normalize(raw)
+        assert len(source) == len(text) + 1 and (np.diff(source) >= 0).all() and (not len(text) or 0 <= source[0] and source[-1] <= len(raw.encode()))
+
+
 # 6
 
 
@@ -427,6 +481,15 @@ def test_mixing_degenerate(spark, empty):
     assert mixing.repeat_rows(m, ["doc_id"]).count() == 1
 
 
+def test_mixing_without_ids(spark):
+    """A source of null ids comes near its target: its documents are not one place."""
+    rows = [(None, T.prose(random.Random(k), 20), None, "a", 0) for k in range(60)] + [(k, "w " * 50, None, "b", 0) for k in range(60)]
+    out = mixing.mix_sources(T.table(spark, rows).repartition(3), F.col("ord") % 3 + 1).collect()
+    taken = sum(r.mix_size * r.mix_copies for r in out if r.source == "a")
+    target = next(r.mix_target for r in out if r.source == "a")
+    assert abs(taken - target) <= 10 and 0 < target < 1200 * 3
+
+
 # 7
 
 
@@ -672,8 +735,11 @@ def test_near_duplicates(docs, rows, width):
 
 
 def test_near_duplicates_blocks(spark, monkeypatch):
-    """Chains of copies at and around the limit, buckets of many blocks."""
+    """Chains of copies at and around the limit, buckets of many blocks by rows and by bytes, hot keys."""
     monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(llm_common, "LEAST_HOT", 3)
+    monkeypatch.setattr(llm_common, "HOT", 30)
     rng = random.Random(8)
     base = T.prose(rng, 80).split(" ")
     rows = []
@@ -686,6 +752,32 @@ def test_near_duplicates_blocks(spark, monkeypatch):
     want = T.near_components(rows, 4)
     assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(T.table(spark, rows), 4).collect()} == want
     assert 1 < len(set(want.values())) < 70
+    copies = rows + [(1000 + k, rows[3][1], None, None, 0) for k in range(40)] + [(rows[5][0], rows[5][1], None, None, 0)] * 9
+    out = near_dedup.near_duplicates(T.table(spark, copies).repartition(3), 4).collect()
+    want |= {1000 + k: want[3] for k in range(40)}
+    assert len(out) == len(copies) and all(r.component_id == want[r.doc_id] for r in out)
+
+
+def test_salted_join(spark, monkeypatch):
+    monkeypatch.setattr(llm_common, "LEAST_HOT", 5)
+    many = spark.createDataFrame([(k % 7 if k % 3 else 0, k) for k in range(200)], "a long, x long")
+    sizes, one = many.groupBy("a").agg(F.count("*").alias("n")), many.filter("a <> 6").groupBy("a").agg(F.max("x").alias("top"))
+    plain = sorted(map(tuple, many.join(one, "a", "left").collect()))
+    assert sorted(map(tuple, llm_common.salted_join(many, one, ["a"], sizes, ["x"], "left").collect())) == plain
+    assert sorted(map(tuple, llm_common.salted_join(many, one.limit(0), ["a"], sizes.limit(0), ["x"]).collect())) == []
+
+
+def test_shingle_hashes_are_whole():
+    """Shingles that agree in 50 bits are two; sets and intersections against plain sets on long and repeated texts."""
+    from stratacloud.llm import shingles
+
+    rng = random.Random(4)
+    texts = [T.prose(rng, n, "ab") for n in (0, 1, 3, 4, 5, 60, 5000)] + ["", "x " * 300]
+    sets, bounds = shingles.shingle_sets([t.encode() for t in texts], 4)
+    assert np.diff(bounds).tolist() == [len(T.shingles(t, 4)) for t in texts]
+    assert all((np.diff(sets[a:b].astype(object)) > 0).all() for a, b in zip(bounds, bounds[1:])) and int(sets.max()).bit_length() > 60
+    x, y, both = shingles.intersections([t.encode() for t in texts], [t.encode() for t in texts[::-1]], 4)
+    assert both.tolist() == [len(T.shingles(a, 4) & T.shingles(b, 4)) for a, b in zip(texts, texts[::-1])]
 
 
 def test_near_duplicates_degenerate(spark, empty):
@@ -708,3 +800,35 @@ def test_components(spark):
         root[max(top(a), top(b))] = min(top(a), top(b))
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert all(got.get(x, x) == top(x) for x in root)
+
+
+def test_very_long_texts(spark, monkeypatch):
+    """A text of 400,000 characters, half of which another document has, through every operator of documents."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    from stratacloud.llm import anchors
+
+    monkeypatch.setattr(anchors, "LONGEST", 1 << 16)
+    monkeypatch.setattr(token_output, "LONGEST", 1 << 16)
+    rng = random.Random(11)
+    half = T.prose(rng, 45_000, "abcdefgh")
+    long = T.prose(rng, 45_000, "abcdefgh") + "\n\n" + half
+    rows = [(1, half, "en", "a", 0), (2, long, "en", "a", 0), (3, "x" * 150_000, None, "b", 0), (4, long.upper(), "en", "b", 0)]
+    df = T.table(spark, rows)
+    words = [len(T.WORD.findall(r[1])) for r in rows]
+    assert [r.lang_pred for r in langid.identify(df).orderBy("doc_id").collect()] == ["en"] * 4
+    prints = imatch.fingerprint_edits(df).orderBy("doc_id").collect()
+    assert [r.n_chars for r in prints] == [len(r[1]) for r in rows] and prints[1].fingerprint == prints[3].fingerprint
+    want = T.repeats(rows)
+    for r in suffix_dedup.remove_repeats(df).collect():
+        assert (r.n_bytes, r.n_removed) == (len(want[r.doc_id][1]), sum(want[r.doc_id][0]))
+    sp = sentencepiece.SentencePieceProcessor(model_file=tokenizers.path("piece_bpe_32k.model"))
+    assert [r.ids for r in pieces.encode_pieces(df, tokenizers.path("piece_bpe_32k.model")).orderBy("doc_id").collect()] == [sp.encode(r[1], add_eos=True) for r in rows]
+    assert [r.mix_size for r in mixing.mix_sources(df, F.lit(1)).orderBy("doc_id").collect()] == words
+    assert all(r.licenses == "" for r in license_scan.scan_licenses(df).collect())
+    t = Tokenizer.from_file(tokenizers.path("byte_bpe_50k.json"))
+    out = token_output.read_documents(*token_output.write_shards(df, tokenizers.path("byte_bpe_50k.json"), 2)).orderBy("doc_id").collect()
+    assert [r.n_tokens for r in out] == [len(t.encode(r[1], add_special_tokens=False).ids) + 1 for r in rows]
+    near = near_dedup.near_duplicates(df, 4).orderBy("doc_id").collect()
+    assert [r.n_shingles for r in near] == [len(T.shingles(r[1], 4)) for r in rows] and [r.component_id for r in near] == [1, 2, 3, 2]
