@@ -33,7 +33,7 @@ UNDER = (
 #: What a list's mark leaves of itself.
 MARK = "^([0-9]{1,2}|[a-z])$"
 #: One of these stands in every known sentence: texts without any have none.
-TRIGGERS = ["licen", "permission", "redistribut", "as is", "copyright", "public domain", "gpl", "cc by", "cc0", "mpl", "under"]
+TRIGGERS = ["licen", "permission", "redistribut", "warrant", "copyright", "public domain", "gpl", "cc by", "cc0", "mpl", "creative commons"]
 #: Known sentences, normalised, by identifier.
 KNOWN = {
     "apache2": ["under apache license version 2 0", "under apache license 2 0", "under apache 2 0 license"],
