@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from stratacloud.operators import spatial
+from stratacloud.operators import clouds, spatial
 
 #: A cloud of so many points in reach of each other has 9 million pairs.
 DENSE = 3000
@@ -82,3 +82,12 @@ def test_nearest_leaves_out_rows_without_a_place(spark):
     cloud = spark.createDataFrame([(1, 0.0, 0.0, 0.0), (2, 1.0, 0.0, 0.0), (3, None, 0.0, 0.0), (4, float("nan"), 0.0, 0.0)], "pid long, x double, y double, z double")
     assert sorted((r.qid, r.pid) for r in spatial.nearest(cloud, cloud, 2, 1.0, same=True).collect()) == [(1, 2), (2, 1)]
     assert spatial.nearest(cloud, cloud.filter("pid > 9"), 2, 1.0).count() == 0
+
+
+def test_outliers_of_a_dense_cloud(spark, disk_mb):
+    p = np.concatenate([dense(), [[9.0, 9.0, 9.0]]])
+    c = table(spark, p)
+    got = clouds.outliers(spatial.nearest(c, c, 20, 1.0, same=True)).toPandas().sort_values("pid")
+    assert disk_mb() < 10
+    means = np.sqrt(plain(p, p, 20, True)[1]).mean(axis=1)
+    assert np.allclose(got["mean_distance"], means) and (got["outlier"].to_numpy() == (means > means.mean() + 2 * means.std(ddof=1))).all()
