@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from stratacloud.operators import clouds, spatial
+from stratacloud.operators import clouds, facades, spatial
 
 #: A cloud of so many points in reach of each other has 9 million pairs.
 DENSE = 3000
@@ -91,3 +91,13 @@ def test_outliers_of_a_dense_cloud(spark, disk_mb):
     assert disk_mb() < 10
     means = np.sqrt(plain(p, p, 20, True)[1]).mean(axis=1)
     assert np.allclose(got["mean_distance"], means) and (got["outlier"].to_numpy() == (means > means.mean() + 2 * means.std(ddof=1))).all()
+
+
+def test_spread_values_of_a_dense_cloud(spark, disk_mb):
+    p = dense()
+    values = np.arange(DENSE) % 7.0
+    got = facades.spread_values(table(spark, p + 0.05), table(spark, p, value=values), 3, 1.0).toPandas().sort_values("pid")
+    assert disk_mb() < 10
+    order, d2 = plain(p + 0.05, p, 3, False)
+    w = 1 / (np.sqrt(d2) + 1e-8)
+    assert np.allclose(got["value"], (w * values[order]).sum(axis=1) / w.sum(axis=1))
