@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from stratacloud.operators import clouds, facades, spatial
+from stratacloud.operators import clouds, facades, meshes, spatial
 
 #: A cloud of so many points in reach of each other has 9 million pairs.
 DENSE = 3000
@@ -101,3 +101,10 @@ def test_spread_values_of_a_dense_cloud(spark, disk_mb):
     order, d2 = plain(p + 0.05, p, 3, False)
     w = 1 / (np.sqrt(d2) + 1e-8)
     assert np.allclose(got["value"], (w * values[order]).sum(axis=1) / w.sum(axis=1))
+
+
+def test_spacing_of_a_dense_cloud(spark, disk_mb):
+    p = dense()
+    got = meshes.spacing(table(spark, p), 1.0).first().spacing
+    assert disk_mb() < 10
+    assert np.isclose(got, np.median(np.sqrt(plain(p, p, 1, True)[1])))
