@@ -9,8 +9,8 @@ Equal texts have equal fingerprints. Likeness of two fingerprints is 1 if the wh
 whose hashes agree, among those in which either document has a term (0 where there is none).
 
 The band's rarest terms occur in 1 of 2000 documents, so that the lexicon has at most 2000 times as many terms as a document has
-distinct ones on average, however large the corpus. A lexicon of up to LEXICON_TERMS goes along with the tasks as hash tables in
-constant arrays; a larger one is joined by a shuffle of (row, term).
+distinct ones on average, however large the corpus. A lexicon of up to LEXICON_TERMS goes along with the tasks as hash tables, the
+value of a scalar subquery; a larger one is joined by a shuffle of (row, term).
 
 Null text: as empty. Text without terms: the whole list's hash is that of the text, all others are missing. Repeated
 rows: each has its row; rows with one doc_id follow each other by text. A null doc_id sorts first. An empty table gives an
@@ -19,10 +19,10 @@ empty result. Other columns are not read. Texts are hashed whole.
 
 from __future__ import annotations
 
-import json
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -107,18 +107,16 @@ class Lexicon:
     def __init__(self, found: DataFrame):
         self.found, self.n = found, found.count()
         if self.n <= LEXICON_TERMS:
-            tables, rest = hash_tables(np.array([r["term"] for r in found.collect()], np.int64))
-            # constants of the plan, which the optimiser reads once
-            self.tables = [(len(t) - 1, self._constant(t.tolist())) for t in tables]
-            self.rest = self._constant(rest.tolist())
-
-    @staticmethod
-    def _constant(values: list) -> Column:
-        return F.from_json(F.lit(json.dumps(values)), "array<bigint>")
+            tables, rest = hash_tables(found.toArrow()["term"].to_numpy())
+            self.masks = [len(t) - 1 for t in tables]
+            values = {f"t{k}": t for k, t in enumerate(tables)} | {"rest": rest}
+            row = pa.table({name: pa.ListArray.from_arrays([0, len(v)], pa.array(v, pa.int64())) for name, v in values.items()})
+            # a subquery's value, which plans and their descriptions don't hold
+            self.tables = found.sparkSession.createDataFrame(row).select(F.struct(*values)).scalar()
 
     def holds(self, tables: Column, term: Column) -> Column:
         out = F.array_contains(tables["rest"], term)
-        for k, (mask, _) in reversed(list(enumerate(self.tables))):
+        for k, mask in reversed(list(enumerate(self.masks))):
             there = tables[f"t{k}"][F.shiftrightunsigned(term, SHIFT * k).bitwiseAND(F.lit(mask)).cast("int")]
             out = F.when(there.isNull(), F.lit(False)).when(there == term, F.lit(True)).otherwise(out)
         return out
@@ -127,9 +125,9 @@ class Lexicon:
         """docs with the fingerprint of the column text as a column of that name."""
         own = terms(F.col(text))
         if self.n <= LEXICON_TERMS:
-            tables = F.struct(*(t.alias(f"t{k}") for k, (_, t) in enumerate(self.tables)), self.rest.alias("rest"))
             kept = lambda tables: lambda own: fingerprint(own, F.filter(own, lambda t: self.holds(tables, t)), F.col(text))
-            return docs.withColumn(name, _let(tables, lambda t: _let(own, kept(t))))
+            # used once, so that the optimiser puts the subquery in its place and rows never hold it
+            return docs.withColumn("tables", self.tables).withColumn(name, _let(F.col("tables"), lambda t: _let(own, kept(t)))).drop("tables")
         rows = durable(docs.withColumn("row", F.monotonically_increasing_id()))
         kept = rows.select("row", F.explode(own).alias("term")).join(self.found, "term").groupBy("row").agg(F.collect_list("term").alias("kept"))
         rows = rows.join(kept, "row", "left").withColumn("kept", F.coalesce("kept", F.array().cast("array<bigint>")))
