@@ -41,6 +41,25 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(rows, BATCH_ROWS)
 
 
+def released(f):
+    """f for mapInArrow, after which the Python worker, which waits for other tasks, gives the memory it no longer uses back."""
+
+    def run(batches: Iterator) -> Iterator:
+        import ctypes
+
+        import pyarrow as pa
+
+        try:
+            yield from f(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim:
+                trim(0)
+
+    return run
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and read it from there: later steps don't recompute it, lost executors don't lose it."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_bytes, durable, small_batches, text_blocks, unit_hash
+from .common import column_bytes, durable, released, small_batches, text_blocks, unit_hash
 
 UNDETERMINED = "und"
 BUCKETS_LOG2, ORDERS, SMOOTHING = 15, (1, 2, 3), 0.5
@@ -92,7 +92,7 @@ def train(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, seed: int = 5) ->
             at = np.flatnonzero(found[:-1])
             yield pa.record_batch({"k": pa.array(np.full(len(at), k, np.int32)), "bucket": pa.array(at.astype(np.int32)), "n": pa.array(found[at].astype(np.int64))})
 
-    counts = durable(sample.mapInArrow(count, "k int, bucket int, n bigint").groupBy("k", "bucket").agg(F.sum("n").alias("n")))
+    counts = durable(sample.mapInArrow(released(count), "k int, bucket int, n bigint").groupBy("k", "bucket").agg(F.sum("n").alias("n")))
     docs_of = {r["lang"]: r["count"] for r in sizes}
     out = np.zeros((len(langs), width), np.float32)
     for first in range(0, len(langs), TOGETHER):
@@ -141,7 +141,7 @@ def predict(docs: DataFrame, langs: list[str], matrix: np.ndarray, keep: list[st
             yield pa.record_batch([*kept, pa.array(pred, pa.string()), pa.array(score)], names=[*keep, "lang_pred", "score"])
 
     schema = schema.add("lang_pred", "string").add("score", "double")
-    return docs.select(*columns, F.col("text")).mapInArrow(run, schema)
+    return docs.select(*columns, F.col("text")).mapInArrow(released(run), schema)
 
 
 def identify(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> DataFrame:

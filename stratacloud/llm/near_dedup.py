@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, column_bytes, durable, salted_join, small_batches, task_count, text_blocks
+from .common import U64, column_bytes, durable, released, salted_join, small_batches, task_count, text_blocks
 from .components import connected_components
 from .shingles import intersections, set_sums, shingle_sets
 
@@ -68,7 +68,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                     "signature": pa.array([x.tobytes() for x in minima(sets, bounds)], pa.binary()),
                 })
 
-    return docs.select("doc_id", "text").mapInArrow(sketch, "doc_id bigint, n_bytes bigint, n_shingles bigint, s1 bigint, s2 bigint, signature binary")
+    return docs.select("doc_id", "text").mapInArrow(released(sketch), "doc_id bigint, n_bytes bigint, n_shingles bigint, s1 bigint, s2 bigint, signature binary")
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
@@ -91,7 +91,7 @@ def _agree(pairs: DataFrame) -> DataFrame:
             x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint16).reshape(-1, N_HASHES) for c in (batch.column(2), batch.column(3)))
             yield batch.select([0, 1]).filter(pa.array((x == y).mean(axis=1) >= LEAST_AGREEMENT))
 
-    return pairs.select("u", "v", "su", "sv").mapInArrow(check, "u bigint, v bigint")
+    return pairs.select("u", "v", "su", "sv").mapInArrow(released(check), "u bigint, v bigint")
 
 
 def _linked(pairs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -105,7 +105,7 @@ def _linked(pairs: DataFrame, width: int, percent: int) -> DataFrame:
                 ok = (100 * both >= percent * (x + y - both)) & (both > 0)
                 yield batch.slice(i, j - i).select([0, 1]).filter(pa.array(ok))
 
-    return pairs.select("u", "v", "tu", "tv").mapInArrow(check, "u bigint, v bigint")
+    return pairs.select("u", "v", "tu", "tv").mapInArrow(released(check), "u bigint, v bigint")
 
 
 def _pairwise(members: DataFrame, width: int, percent: int) -> DataFrame:
@@ -168,7 +168,7 @@ def _pairwise(members: DataFrame, width: int, percent: int) -> DataFrame:
         out = links(group) if group else []
         yield pa.record_batch([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["u", "v"])
 
-    return members.select("band", "key", "i", "j", "block", "node", "component", "signature", "text").mapInArrow(run, "u bigint, v bigint")
+    return members.select("band", "key", "i", "j", "block", "node", "component", "signature", "text").mapInArrow(released(run), "u bigint, v bigint")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import column_bytes, small_batches
+from .common import column_bytes, released, small_batches
 
 SPACE = "▁"
 SPACE_BYTES = SPACE.encode()
@@ -217,4 +217,4 @@ def encode_pieces(docs: DataFrame, path: str, keep: tuple[str, ...] = OUTPUTS) -
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, spans_crc32 bigint"
     fields += [pa.field(c, pa.string() if c == "decoded" else ints) for c in keep]
     schema += "".join(f", {c} {'string' if c == 'decoded' else 'array<int>'}" for c in keep)
-    return docs.select("doc_id", "text").mapInArrow(code, schema)
+    return docs.select("doc_id", "text").mapInArrow(released(code), schema)

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .anchors import anchored_runs, longer_gram, sides
 from .collection_bwt import Strings, repeated_windows
-from .common import column_bytes, durable, small_batches, task_count, text_blocks
+from .common import column_bytes, durable, released, small_batches, task_count, text_blocks
 
 SPAN = 100
 #: Strings whose transform is built together, but for a group that has more; and the symbols that number a gram, each of 7 bits.
@@ -75,7 +75,7 @@ def candidate_runs(keyed: DataFrame, span: int) -> DataFrame:
                 again[(d == d[first]) & (t == t[first]) & (start == start[first])] = 0
                 yield pa.record_batch({"gram": gram, "region": region, "doc": d, "tie": t, "at": start.astype(np.int64) << 16 | r.count[order], "kind": again})
 
-    return keyed.select("doc", "tie", "text").mapInArrow(find, "gram bigint, region bigint, doc bigint, tie bigint, at bigint, kind short")
+    return keyed.select("doc", "tie", "text").mapInArrow(released(find), "gram bigint, region bigint, doc bigint, tie bigint, at bigint, kind short")
 
 
 def _unpacked(rows: DataFrame) -> DataFrame:
@@ -119,7 +119,7 @@ def _classes(rows: DataFrame) -> DataFrame:
             found = np.concatenate(out)
             yield pa.record_batch([pa.array(found[:, k].astype(t)) for k, t in enumerate((np.int64, np.int64, np.int32, np.int16, np.int16, np.int64))], names=names)
 
-    return rows.select("gram", "region", "doc", "tie", "at").mapInArrow(scan, "doc bigint, tie bigint, start int, count short, kind short, gram bigint")
+    return rows.select("gram", "region", "doc", "tie", "at").mapInArrow(released(scan), "doc bigint, tie bigint, start int, count short, kind short, gram bigint")
 
 
 def _packed(rows: DataFrame) -> DataFrame:
@@ -160,7 +160,7 @@ def _strings(docs: DataFrame, span: int) -> DataFrame:
 
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.int16(), pa.binary()]
     # extra isn't read; with it the rows are those of the last join, which then reuses their shuffle
-    return docs.select("doc", "tie", "text", "extra", "runs").mapInArrow(cut, "key bigint, doc bigint, tie bigint, start int, count short, place short, bytes binary")
+    return docs.select("doc", "tie", "text", "extra", "runs").mapInArrow(released(cut), "key bigint, doc bigint, tie bigint, start int, count short, place short, bytes binary")
 
 
 def with_grams_numbered(data: np.ndarray, bounds: np.ndarray, place: np.ndarray, gram: int) -> Strings:
@@ -225,7 +225,7 @@ def _repeats(strings: DataFrame, span: int) -> DataFrame:
         if held:
             yield repeated_runs(pa.Table.from_batches(held), span)
 
-    return strings.mapInArrow(run, "doc bigint, tie bigint, start int, count short, kind short, gram bigint")
+    return strings.mapInArrow(released(run), "doc bigint, tie bigint, start int, count short, kind short, gram bigint")
 
 
 def _removed(docs: DataFrame, span: int) -> DataFrame:
@@ -251,7 +251,7 @@ def _removed(docs: DataFrame, span: int) -> DataFrame:
     types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
     docs = docs.select("doc", "extra", "text", "runs", "more")
     schema = docs.select("doc", "extra").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string").add("kept_text", "string")
-    return docs.mapInArrow(cut, schema)
+    return docs.mapInArrow(released(cut), schema)
 
 
 def remove_repeats(docs: DataFrame, span: int = SPAN, keep: list[str] | None = None) -> DataFrame:
