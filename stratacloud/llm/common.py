@@ -60,10 +60,21 @@ def released(f):
     return run
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and read it from there: later steps don't recompute it, lost executors don't lose it."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def durable(df: DataFrame, clear: bool = False) -> DataFrame:
+    """Write df to the shared checkpoint folder and read it from there: later steps don't recompute it, lost executors don't lose it.
+    With clear, the shuffle files that this took go as soon as it is written, not when the driver next collects its garbage."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    if not clear:
+        return df.checkpoint(eager=True)
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        # a plan takes the setting when it is made, so that plans over df made elsewhere keep their files
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def salted_join(many: DataFrame, one: DataFrame, on: list[str], sizes: DataFrame, by: list[str], how: str = "inner") -> DataFrame:

@@ -262,7 +262,8 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, keep: list[str] | None = N
     rows = candidate_runs(keyed, span)
     # repeats within a batch are known and go straight to their documents
     once = rows.filter("kind = 0").drop("kind").repartition(parts, "gram").sortWithinPartitions("gram", "region", *_KEY, "at")
-    runs = durable(_packed(_unpacked(rows.filter("kind = 1")).unionByName(_classes(once))))
+    # the candidates are the most that is ever shuffled here; they are gone before the texts are
+    runs = durable(_packed(_unpacked(rows.filter("kind = 1")).unionByName(_classes(once))), clear=True)
     keep = keep or []
     extra = F.struct(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(keep)), F.lit(None).cast("int").alias("none"))
     whole = _keyed(docs, extra.alias("extra"))

@@ -1,7 +1,9 @@
 """Operators of the llm folder against plain versions, on tables with nulls, ties, repeated rows and clashing columns."""
 
 import hashlib
+import os
 import random
+import time
 import zlib
 
 import numpy as np
@@ -352,6 +354,20 @@ def test_suffix_dedup_degenerate(spark, empty):
     assert out == [(0, 119), (7, 149), (7, 149)]  # the first byte starts no repeat
 
 
+def test_suffix_dedup_leaves_no_candidates_on_disk(spark):
+    folders = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    shuffled = lambda: {f for folder in folders for _, _, files in os.walk(folder) for f in files if f.startswith("shuffle_")}
+    key, before, rows = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", shuffled(), T.documents(200)[:-1]
+    setting = spark.conf.get(key, None)
+    out = suffix_dedup.remove_repeats(T.table(spark, rows))
+    ends = time.monotonic() + 10
+    while (left := shuffled() - before) and time.monotonic() < ends:
+        time.sleep(0.1)
+    assert not left and spark.conf.get(key, None) == setting
+    want = {d: sum(flags) for d, (flags, _) in T.repeats(rows).items()}
+    assert {r.doc_id: r.n_removed for r in out.collect()} == want and sum(want.values())
+
+
 def test_suffix_dedup_tiny_collections(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "COLLECTION", 4)
     rng = random.Random(9)
