@@ -7,9 +7,10 @@ import tempfile
 from pyspark.sql import DataFrame
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, clear: bool = False) -> DataFrame:
     """df written to the checkpoint folder that the session names, and read from there. A local folder is made only where none
-    is named and the session is local, as in tests; on a cluster other machines would not see it."""
+    is named and the session is local, as in tests; on a cluster other machines would not see it. With clear, the shuffle files that
+    this took go as soon as it is written, not when the driver next collects its garbage."""
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
@@ -17,4 +18,13 @@ def cut(df: DataFrame) -> DataFrame:
         if not named and not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="stratacloud-checkpoint-"))
-    return df.checkpoint()
+    if not clear:
+        return df.checkpoint()
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        # a plan takes the setting when it is made, so that plans over df made elsewhere keep their files
+        return df.select("*").checkpoint()
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)

@@ -63,12 +63,12 @@ def nearest(queries: DataFrame, points: DataFrame, k: int, size: float, axes: tu
     """
     here = Window.partitionBy(*axes).orderBy("pid")
     points = points.filter(finite(axes)).select("pid", *axes).withColumn("nth", F.row_number().over(here)).filter(F.col("nth") <= k + 1)
-    points = cut(points.drop("nth"))
+    points = cut(points.drop("nth"), clear=True)
     blocks = Blocks(points, axes)
     points = points.withColumn("block", blocks.of(axes))
     bounds = points.groupBy("block").agg(*(f(a) for f in (F.min, F.max) for a in axes)).toPandas().to_numpy(float).reshape(-1, 1 + 2 * len(axes))
     asked = queries.filter(finite(axes)).select(F.col("pid").alias("qid"), *axes).withColumns({"block": blocks.of(axes), "most": F.lit(float("inf"))})
-    first = cut(_ranked(asked, points, k, axes, same, bounds))
+    first = cut(_ranked(asked, points, k, axes, same, bounds), clear=True)
     again = first.select("qid", *axes, F.explode("others").alias("block"), "most")
     found = first.unionByName(_ranked(again, points, k, axes, same)).select("qid", F.explode(F.arrays_zip("pids", "d2s")).alias("p"))
     found = found.select("qid", F.col("p.pids").alias("pid"), F.col("p.d2s").alias("d2"))

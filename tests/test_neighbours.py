@@ -3,6 +3,7 @@
 import contextlib
 import os
 import threading
+import time
 
 import numpy as np
 import pandas as pd
@@ -67,6 +68,18 @@ def test_nearest_of_a_dense_cloud(spark, disk_mb):
     assert (got["pid"].to_numpy().reshape(-1, 5) == plain(p, p, 5, True)[0]).all()
 
 
+def test_nearest_frees_its_first_round(spark):
+    folders = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    shuffled = lambda: {os.path.join(d, f) for folder in folders for d, _, files in os.walk(folder) for f in files if f.startswith("shuffle_")}
+    p, before = dense(), shuffled()
+    got = spatial.nearest(table(spark, p), table(spark, p), 5, 1.0, same=True)  # the first round has run, the second hasn't
+    ends = time.monotonic() + 10
+    while (left := sum(os.path.getsize(f) for f in shuffled() - before if os.path.exists(f))) > 50_000 and time.monotonic() < ends:
+        time.sleep(0.1)
+    assert left <= 50_000
+    assert (got.toPandas().sort_values(["qid", "rank"])["pid"].to_numpy().reshape(-1, 5) == plain(p, p, 5, True)[0]).all()
+
+
 @pytest.mark.parametrize("same", [True, False])
 def test_nearest_with_ties_copies_and_few_points(spark, same):
     rng = np.random.default_rng(1)
