@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -60,6 +61,19 @@ def released(f):
     return run
 
 
+@contextmanager
+def cleared(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of what is run in here go as soon as it has run. A plan takes the setting when it is made, so that plans
+    made elsewhere keep their files."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def durable(df: DataFrame, clear: bool = False) -> DataFrame:
     """Write df to the shared checkpoint folder and read it from there: later steps don't recompute it, lost executors don't lose it.
     With clear, the shuffle files that this took go as soon as it is written, not when the driver next collects its garbage."""
@@ -67,25 +81,20 @@ def durable(df: DataFrame, clear: bool = False) -> DataFrame:
     ensure_checkpoint_dir(spark)
     if not clear:
         return df.checkpoint(eager=True)
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
-        # a plan takes the setting when it is made, so that plans over df made elsewhere keep their files
+    with cleared(spark):
         return df.select("*").checkpoint(eager=True)
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def salted_join(many: DataFrame, one: DataFrame, on: list[str], sizes: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
     """many joined with one, whose keys are never null; sizes(on, n) says how many rows of many a key has. A key with more than a
     HOT share of those rows is taken apart: its rows of one are copied, and its rows of many are dealt to the copies by a hash of
     the columns by. At most HOT keys can be that hot, so that their list is broadcast."""
-    total, most = sizes.agg(F.sum("n"), F.max("n")).first()
+    with cleared(many.sparkSession):
+        total, most = sizes.agg(F.sum("n"), F.max("n")).first()
     limit = max(LEAST_HOT, (total or 0) // HOT)
     if (most or 0) <= limit:
         return many.join(one, on, how)
-    hot = F.broadcast(durable(sizes.filter(F.col("n") > limit).select(*on, F.ceil(F.col("n") / limit).cast("int").alias("salts"))))
+    hot = F.broadcast(durable(sizes.filter(F.col("n") > limit).select(*on, F.ceil(F.col("n") / limit).cast("int").alias("salts")), clear=True))
     copies = F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))
     one = one.join(hot, on, "left").withColumn("salt", copies).drop("salts")
     many = many.join(hot, on, "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64(*by), F.col("salts")).cast("int"), F.lit(0))).drop("salts")

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, salted_join
+from .common import cleared, durable, salted_join
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -26,13 +26,15 @@ def _small_star(links: DataFrame) -> DataFrame:
 
 def connected_components(links: DataFrame) -> DataFrame:
     """links(u, v), any order, loops allowed: node, component (its least node); nodes without a link to another are left out."""
-    now = durable(links.select("u", "v").filter("u <> v").distinct())
+    now = durable(links.select("u", "v").filter("u <> v").distinct(), clear=True)
     if now.isEmpty():
         return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     seen = None
     while True:
-        now = durable(_small_star(durable(_large_star(now).filter("u <> v").distinct())).filter("u <> v").distinct())
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        now = durable(_large_star(now).filter("u <> v").distinct(), clear=True)
+        now = durable(_small_star(now).filter("u <> v").distinct(), clear=True)
+        with cleared(now.sparkSession):
+            state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
         seen = state

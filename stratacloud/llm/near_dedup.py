@@ -11,7 +11,8 @@
    one component and pairs that share an earlier band; a bucket of more than BLOCK nodes or BLOCK_BYTES of texts is cut into
    blocks and each pair of blocks is a group of its own. Only links that join two components leave the task. Their components
    are the result.
-Keys that very many rows share (copies of one text, a bucket, a hub of links) are salted, see common.salted_join.
+Keys that very many rows share (copies of one text, a bucket, a hub of links) are salted, see common.salted_join. Each step ends in
+a checkpoint, after which its shuffle files go at once: dozens of steps would else pile up until the driver collects its garbage.
 
 Null or empty text, or one without words: an empty set, linked with nothing. Fewer words than a shingle: the whole sequence
 is one shingle. A null doc_id takes no part: component null, kept. Rows that repeat a doc_id are one node with the links of
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, column_bytes, durable, released, salted_join, small_batches, task_count, text_blocks
+from .common import U64, cleared, column_bytes, durable, released, salted_join, small_batches, task_count, text_blocks
 from .components import connected_components
 from .shingles import intersections, set_sums, shingle_sets
 
@@ -79,8 +80,10 @@ def _bands(nodes: DataFrame) -> DataFrame:
 
 def _with(ids: DataFrame, table: DataFrame, on: str) -> DataFrame:
     """Rows of table whose key is among ids(on): by broadcast while the list is small."""
-    ids = durable(ids.select(on).distinct())
-    return table.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, on)
+    ids = durable(ids.select(on).distinct(), clear=True)
+    with cleared(ids.sparkSession):
+        n = ids.count()
+    return table.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, on)
 
 
 def _agree(pairs: DataFrame) -> DataFrame:
@@ -177,34 +180,34 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select("doc_id", "text")
-    found = durable(sketches(docs, width))
+    found = durable(sketches(docs, width), clear=True)
     key = ["s1", "s2", "n_shingles"]
     sets = found.filter("doc_id IS NOT NULL AND n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("node"), F.max("n_bytes").alias("n_bytes"), F.first("signature").alias("signature"), F.count("*").alias("n"))
-    sets = durable(sets)
+    sets = durable(sets, clear=True)
     nodes = sets.select("node", "signature", "n_bytes")
     texts = docs.withColumnRenamed("doc_id", "node")
 
     # stars
-    buckets = durable(_bands(nodes).groupBy("band", "key").agg(F.min("node").alias("v"), F.count("*").alias("n")).filter("n > 1"))
-    pairs = durable(salted_join(_bands(nodes), buckets.drop("n"), ["band", "key"], buckets, ["node"]).filter("node <> v").select(F.col("node").alias("u"), "v").distinct())
+    buckets = durable(_bands(nodes).groupBy("band", "key").agg(F.min("node").alias("v"), F.count("*").alias("n")).filter("n > 1"), clear=True)
+    pairs = durable(salted_join(_bands(nodes), buckets.drop("n"), ["band", "key"], buckets, ["node"]).filter("node <> v").select(F.col("node").alias("u"), "v").distinct(), clear=True)
     hubs = lambda links: links.groupBy("v").agg(F.count("*").alias("n"))
     u, v = nodes.select(F.col("node").alias("u"), F.col("signature").alias("su")), nodes.select(F.col("node").alias("v"), F.col("signature").alias("sv"))
-    pairs = durable(_agree(salted_join(pairs.join(u, "u"), v, ["v"], hubs(pairs), ["u"])).distinct())
+    pairs = durable(_agree(salted_join(pairs.join(u, "u"), v, ["v"], hubs(pairs), ["u"])).distinct(), clear=True)
     involved = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node")))
     some = _with(involved, texts, "node")
     tu, tv = some.select(F.col("node").alias("u"), F.col("text").alias("tu")), some.select(F.col("node").alias("v"), F.col("text").alias("tv"))
     first = connected_components(_linked(salted_join(pairs.join(tu, "u"), tv, ["v"], hubs(pairs), ["u"]), width, percent))
 
     # buckets with several components, equal ones once
-    labelled = durable(nodes.join(first, "node", "left").select("node", "signature", "n_bytes", F.coalesce("component", "node").alias("component")))
+    labelled = durable(nodes.join(first, "node", "left").select("node", "signature", "n_bytes", F.coalesce("component", "node").alias("component")), clear=True)
     member = _bands(labelled)
     mixed = member.join(labelled.select("node", "component", "n_bytes"), "node").groupBy("band", "key").agg(
         F.count("*").alias("n"), F.sum("n_bytes").alias("size"), F.min("component").alias("least"), F.max("component").alias("most"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x"),
     )
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.least(F.ceil(F.col("size") / BLOCK_BYTES), F.col("n"))).cast("int")
     mixed = mixed.filter("least <> most").withColumn("blocks", blocks).groupBy("n", "s", "x").agg(F.min(F.struct("band", "key", "blocks")).alias("b")).select("b.band", "b.key", "b.blocks", "n")
-    mixed = durable(mixed)
-    rest = durable(salted_join(member, mixed.drop("n"), ["band", "key"], mixed, ["node"]).withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int")))
+    mixed = durable(mixed, clear=True)
+    rest = durable(salted_join(member, mixed.drop("n"), ["band", "key"], mixed, ["node"]).withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int")), clear=True)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = rest.select("band", "key", "node", "block", other).select("band", "key", "node", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     dealt = dealt.join(labelled.drop("n_bytes"), "node").join(_with(rest, texts, "node"), "node")

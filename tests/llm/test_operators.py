@@ -774,6 +774,23 @@ def test_near_duplicates_blocks(spark, monkeypatch):
     assert len(out) == len(copies) and all(r.component_id == want[r.doc_id] for r in out)
 
 
+def test_near_duplicates_leaves_no_steps_on_disk(spark, rows, monkeypatch):
+    """The shuffle files of all steps go before the result is read, those of hot keys, counts and component rounds included."""
+    monkeypatch.setattr(llm_common, "LEAST_HOT", 3)
+    monkeypatch.setattr(llm_common, "HOT", 30)
+    folders = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    shuffled = lambda: {f for folder in folders for _, _, files in os.walk(folder) for f in files if f.startswith("shuffle_")}
+    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", shuffled()
+    setting, copies = spark.conf.get(key, None), rows + [(100_000 + k, rows[0][1], None, None, 0) for k in range(40)]
+    out = near_dedup.near_duplicates(T.table(spark, copies), 4)
+    ends = time.monotonic() + 10
+    while (left := shuffled() - before) and time.monotonic() < ends:
+        time.sleep(0.1)
+    assert not left and spark.conf.get(key, None) == setting
+    want = T.near_components(copies, 4)
+    assert all(r.component_id == want[r.doc_id] for r in out.collect())
+
+
 def test_salted_join(spark, monkeypatch):
     monkeypatch.setattr(llm_common, "LEAST_HOT", 5)
     many = spark.createDataFrame([(k % 7 if k % 3 else 0, k) for k in range(200)], "a long, x long")
